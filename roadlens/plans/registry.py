@@ -60,6 +60,8 @@ def with_views(body: str, *views: str) -> str:
             order.append(v)
     for v in views:
         add(v)
+    if not order:
+        return body.strip()
     ctes = ",\n".join(f"{v} AS ({_VIEW_SQL[v]})" for v in order)
     body = body.strip()
     if body.upper().startswith("WITH "):
