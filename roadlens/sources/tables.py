@@ -92,12 +92,13 @@ select record_id, status, street_name, intersection1, intersection2, road_type,
 from {devices}
 """
 
-# Attachments: each document is a file of one device record; the source is
-# the folder, the extension follows doc_id % 4.
+# Attachments: each document is a file of one of 30 device records (so that
+# records hold many files); the source is the folder, the extension follows
+# doc_id % 4, and names like 12.pdf / 312.pdf share a suffix within a record.
 ATTACHMENTS_SQL = """
-select chr(65 + cast(doc_id % 7 as int)) || '-' || lpad(cast(doc_id % 1000 as varchar(20)), 3, '0') as record_id,
+select chr(65 + cast(doc_id % 3 as int)) || '-' || lpad(cast(doc_id % 10 as varchar(20)), 3, '0') as record_id,
   source as folder,
-  'doc' || cast(doc_id as varchar(20)) || case doc_id % 4 when 0 then '.pdf' when 1 then '.PNG' when 2 then '.jpeg' else '.txt' end as file_name,
+  cast(doc_id as varchar(20)) || case doc_id % 4 when 0 then '.pdf' when 1 then '.PNG' when 2 then '.jpeg' else '.txt' end as file_name,
   doc_id, text as content
 from {documents}
 """
