@@ -2,14 +2,13 @@
 
 from roadlens.plans.registry import REGISTRY, Query, register  # noqa: F401
 
+MODULES = ("dashboard_queries", "quality_queries", "etl_queries", "nested_queries",
+           "stream_queries", "model_queries", "fuzzy_queries")
+
 
 def load_all():
     """Import every query module so that it registers its queries."""
-    from roadlens.plans import dashboard_queries  # noqa: F401
-    for mod in ("quality_queries", "etl_queries", "nested_queries", "stream_queries", "model_queries"):
-        try:
-            __import__(f"roadlens.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"roadlens.plans.{mod}":
-                raise
+    import importlib
+    for mod in MODULES:
+        importlib.import_module(f"roadlens.plans.{mod}")
     return REGISTRY
