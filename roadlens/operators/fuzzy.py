@@ -75,8 +75,13 @@ def apply_matches(df: DataFrame, cols: list[str], refs: DataFrame, threshold: fl
                   lower: bool = True) -> DataFrame:
     """Replace each listed column by its best reference (or keep it); '' stays ''."""
     from functools import reduce
+    from roadlens.session import checkpoint_dir
     names = reduce(lambda a, b: a.unionByName(b), [df.select(F.col(c).alias("name")) for c in cols])
-    m = best_matches(names, refs, threshold=threshold, lower=lower).select("name", "matched")
+    # The mapping (one row per distinct name) is joined once per column: write
+    # it once; its exact size then lets the planner broadcast it when small.
+    checkpoint_dir(df.sparkSession)
+    m = best_matches(names, refs, threshold=threshold, lower=lower).select("name", "matched") \
+        .checkpoint(eager=True)
     out = df
     for c in cols:
         mc = m.select(F.col("name").alias(f"__n_{c}"), F.col("matched").alias(f"__m_{c}"))

@@ -115,14 +115,18 @@ def _tree_arrays(nodes_pdf: pd.DataFrame):
     return trees
 
 
-def score(df: DataFrame, nodes: DataFrame, features: list[str]) -> DataFrame:
-    """Adds ``score_samples`` (= -s(x), higher is more normal)."""
+MAX_NODES = 2_000_000
+
+
+def score(df: DataFrame, nodes, features: list[str]) -> DataFrame:
+    """Adds ``score_samples`` (= -s(x), higher is more normal).  ``nodes`` is
+    the node table (DataFrame or its pandas copy)."""
     spark = df.sparkSession
-    # The node table is bounded by trees x 2^(depth+1) rows (the model, not
-    # the data); it is checked, then shipped once per executor.
-    if nodes.limit(2_000_001).count() > 2_000_000:
+    # The node table is the model, bounded by trees x 2^(depth+1) rows
+    # whatever the data size; it is size-checked, then shipped once per executor.
+    pdf = nodes if isinstance(nodes, pd.DataFrame) else nodes.limit(MAX_NODES + 1).toPandas()
+    if len(pdf) > MAX_NODES:
         raise ValueError("forest too large to broadcast")
-    pdf = nodes.toPandas()
     psi = int(pdf["psi"].iloc[0])
     bc = spark.sparkContext.broadcast(pdf)
     cn = _c(psi)
@@ -154,11 +158,13 @@ def score(df: DataFrame, nodes: DataFrame, features: list[str]) -> DataFrame:
 def detect(df: DataFrame, features: list[str], key: str, contamination: float = fv.IFOREST_CONTAMINATION,
            trees: int = fv.IFOREST_TREES, max_samples: int = fv.IFOREST_SAMPLE, seed: int = fv.SEED) -> DataFrame:
     """Fit on ``df`` and flag it: adds anomaly_score (decision value) and is_anomaly."""
-    nodes = fit(df, features, key, trees, max_samples, seed)
-    # Scores are read twice (offset, then flags): materialise them once in the
-    # checkpoint folder instead of re-running the Python scorer.
     from roadlens.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
+    # The input is read three times (count, sample, score): write it once to
+    # the checkpoint folder, which also cuts the lineage.
+    df = df.checkpoint(eager=True)
+    nodes = fit(df, features, key, trees, max_samples, seed).limit(MAX_NODES + 1).toPandas()
+    # Scores are read twice (offset, then flags): materialise them once.
     scored = score(df, nodes, features).checkpoint(eager=True)
     # Offset: contamination quantile of the training scores (rank-accurate
     # approximate quantile; an exact one would hold every distinct score).

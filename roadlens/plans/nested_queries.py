@@ -196,7 +196,7 @@ SELECT {KEY_SQL}, CAST(to_json({_s_reports()}) AS VARCHAR) AS cc_report_items,
 FROM legacy_records
 """, "legacy_records"))
 def q_nested_reports(spark, sf):
-    return T.legacy_records(spark, sf).select(
+    return N.stage(T.legacy_records(spark, sf)).select(
         *KEY, F.to_json(N.council_reports()).alias("cc_report_items"),
         F.to_json(N.removal_items()).alias("removal_items"),
         F.to_json(N.maintenance_items()).alias("maintenance_items"))

@@ -16,7 +16,22 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A file written as a single row group is read by one task however many
+    splits it has, and every row-local step after it (joins against broadcast
+    sides, projections, Python UDFs) inherits that single task.  When the
+    scan has fewer partitions than the cluster's default parallelism, rows
+    are dealt round-robin to that many partitions.  A large input (thousands
+    of splits) is left untouched, so at scale this adds no shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 # Device inventory: one row per lineitem, shaped like the canonical record.
