@@ -31,13 +31,16 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("average_speed", T.DoubleType()),
     T.StructField("speed", T.DoubleType()),
     T.StructField("speed_limit", T.DoubleType()),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 
 def parse_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON payloads to columns; malformed payloads are dropped."""
-    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA).alias("m"))
-    return parsed.filter(F.col("m").isNotNull()).select("m.*")
+    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA,
+                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("m"))
+    return (parsed.filter(F.col("m").isNotNull() & F.col("m._corrupt_record").isNull())
+                  .select("m.*").drop("_corrupt_record"))
 
 
 def enrich(events: DataFrame, processed_at: Column | None = None) -> DataFrame:
