@@ -172,6 +172,10 @@ def business_rules(df: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     table, then a grouped count per class, then a sum over the classes."""
     ranges = ranges if ranges is not None else volume_ranges(df.sparkSession)
     order = {k: i for i, k in enumerate(fv.VOLUME_RANGES)}
+    # A rule whose columns are absent finds nothing (absent reads as NULL).
+    needed = {"road_type": "string", "volume_vpd": "double", "average_speed": "double",
+              "posted_speed_limit": "double", "percentile_speed_85": "double"}
+    df = df.withColumns({c: F.lit(None).cast(t) for c, t in needed.items() if c not in df.columns})
     j = df.select("road_type", "volume_vpd", "average_speed", "posted_speed_limit",
                   "percentile_speed_85").join(F.broadcast(ranges), "road_type", "left")
     per_class = j.groupBy("road_type").agg(
