@@ -3,7 +3,7 @@
 from roadlens.plans.registry import REGISTRY, Query, register  # noqa: F401
 
 MODULES = ("dashboard_queries", "quality_queries", "etl_queries", "nested_queries",
-           "stream_queries", "model_queries", "fuzzy_queries")
+           "stream_queries", "model_queries", "fuzzy_queries", "io_queries")
 
 
 def load_all():

@@ -22,10 +22,16 @@ def read_inventory_csv(spark: SparkSession, paths, columns=None) -> DataFrame:
     return reader.csv(paths)
 
 
-def read_export_json(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
+def read_export_json(spark: SparkSession, paths, schema: T.StructType | None = None,
+                     json_lines: bool | None = None) -> DataFrame:
     """JSON export: a bare list of records or an object holding a ``records``
-    list.  Anything else yields no rows."""
-    reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
+    list (one document per file), or JSON Lines (one record per line, as Spark
+    writes them; chosen when the path is a directory).  Anything else yields
+    no rows.  Values are read as text; coercion comes later."""
+    if json_lines is None:
+        first = paths if isinstance(paths, str) else paths[0]
+        json_lines = _is_dir(spark, first)
+    reader = spark.read.option("multiLine", not json_lines).option("primitivesAsString", True)
     raw = reader.schema(schema).json(paths) if schema is not None else reader.json(paths)
     if "records" in raw.columns and isinstance(raw.schema["records"].dataType, T.ArrayType):
         return raw.select(F.inline("records"))
@@ -46,6 +52,13 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*walk(df.schema, []))
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's Hadoop file system."""
     jvm = spark.sparkContext._jvm
