@@ -134,6 +134,7 @@ def zscore_outliers(df: DataFrame, cols: list[str] | None = None, table: str = "
         F.avg(F.col(c).cast("double")).alias(f"__m{i}"),
         F.stddev_samp(F.col(c).cast("double")).alias(f"__s{i}"),
         F.count(F.col(c)).alias(f"__n{i}"))])
+    stats = _materialised(stats)   # read twice: by the count pass and by the result
     joined = df.select(*cols).crossJoin(F.broadcast(stats))
     counts = []
     for i, c in enumerate(cols):
@@ -185,6 +186,7 @@ def business_rules(df: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
         F.count_if(F.col("min_volume").isNotNull()
                    & ((F.col("volume_vpd") < F.col("min_volume")) | (F.col("volume_vpd") > F.col("max_volume"))))
          .alias("vol"))
+    per_class = _materialised(per_class)   # one row per class, read twice below
     totals = per_class.agg(F.sum("speed").alias("speed"), F.sum("p85").alias("p85"))
     speed = totals.select(
         F.lit(0).alias("position"), F.lit("speed_limit_violation").alias("rule"),
@@ -210,14 +212,112 @@ def _severity_deduction(col) -> F.Column:
              .otherwise(F.lit(d["low"])))
 
 
-def quality_score(df: DataFrame, anomalies: DataFrame | None = None) -> DataFrame:
+def profile(df: DataFrame, numeric: list[str] | None = None) -> DataFrame:
+    """Every global counter of the quality checks in ONE aggregation pass:
+    row and non-null counts, column-rule counts, moments of the numeric
+    columns, and the business-rule counts (class ranges from the fixed
+    configuration).  Sections derived from this one-row frame share it, so a
+    report built on it scans the data once (plus the z-score and duplicate
+    passes)."""
+    cols = df.columns
+    numeric = numeric if numeric is not None else numeric_columns(df)
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs += [F.count(F.col(f"`{c}`")).alias(f"__nn{i}") for i, c in enumerate(cols)]
+    dtypes = dict(df.dtypes)
+    for i, (_, c, r) in enumerate(_rules_for(df, None)):
+        x = F.col(c)
+        text = dtypes[c] == "string"
+        if r.get("required"):
+            aggs.append(F.count_if(x.isNull()).alias(f"__required_nulls{i}"))
+        if "min_value" in r:
+            aggs.append(F.count_if(x < F.lit(r["min_value"])).alias(f"__below_min{i}"))
+        if "max_value" in r:
+            aggs.append(F.count_if(x > F.lit(r["max_value"])).alias(f"__above_max{i}"))
+        if "min_length" in r and text:
+            aggs.append(F.count_if(F.length(x) < F.lit(r["min_length"])).alias(f"__short_strings{i}"))
+        if "pattern" in r and text:
+            aggs.append(F.count_if(~F.coalesce(x.rlike(r["pattern"]), F.lit(False))).alias(f"__pattern_misses{i}"))
+    for i, c in enumerate(numeric):
+        v = F.col(c).cast("double")
+        aggs += [F.avg(v).alias(f"__m{i}"), F.stddev_samp(v).alias(f"__s{i}"), F.count(v).alias(f"__cn{i}")]
+    have = set(cols)
+    if {"average_speed", "posted_speed_limit"} <= have:
+        aggs.append(F.count_if(F.col("average_speed") > F.col("posted_speed_limit")
+                               * F.lit(fv.VIOLATION_FACTOR_ALERT)).alias("__b_speed"))
+    if {"percentile_speed_85", "average_speed"} <= have:
+        aggs.append(F.count_if(F.col("percentile_speed_85") < F.col("average_speed")).alias("__b_p85"))
+    if {"road_type", "volume_vpd"} <= have:
+        for j, (k, (lo, hi)) in enumerate(fv.VOLUME_RANGES.items()):
+            aggs.append(F.count_if((F.col("road_type") == k)
+                                   & ((F.col("volume_vpd") < F.lit(float(lo)))
+                                      | (F.col("volume_vpd") > F.lit(float(hi))))).alias(f"__b_vol{j}"))
+    return df.agg(*aggs)
+
+
+def _materialised(one_row: DataFrame) -> DataFrame:
+    """The profile row is read by every section; write it once (one row) to
+    the checkpoint folder so the data pass behind it runs once."""
+    from roadlens.session import checkpoint_dir
+    checkpoint_dir(one_row.sparkSession)
+    return one_row.checkpoint(eager=True)
+
+
+def _sections_from_profile(df: DataFrame, prof: DataFrame, numeric: list[str]):
+    cols = df.columns
+    # completeness
+    comp = _long(prof, [(c, [F.col("__n"), F.col(f"__nn{i}")]) for i, c in enumerate(cols)],
+                 ["column", "total_values", "non_null_values"])
+    pct = F.col("non_null_values") * F.lit(100.0) / F.col("total_values")
+    comp = comp.select("column", "position", "total_values", pct.alias("completeness_percentage"),
+                       (pct >= F.lit(fv.COMPLETE_PCT)).alias("is_complete"))
+    # column rules
+    names = ["required_nulls", "below_min", "above_max", "short_strings", "pattern_misses"]
+    entries = []
+    for i, (_, c, _r) in enumerate(_rules_for(df, None)):
+        entries.append((c, [F.col(f"__{n}{i}") if f"__{n}{i}" in prof.columns else F.lit(None).cast("bigint")
+                            for n in names]))
+    rules = _long(prof, entries, ["column"] + names)
+    issue_count = reduce(lambda a, b: a + b, [F.coalesce((F.col(n) > 0).cast("int"), F.lit(0)) for n in names])
+    rules = rules.withColumn("issue_count", issue_count.cast("bigint"))
+    # z-scores: a second pass against the broadcast moments
+    counts = []
+    for i, c in enumerate(numeric):
+        z = F.abs(F.try_divide(F.col(c).cast("double") - F.col(f"__m{i}"), F.col(f"__s{i}")))
+        counts.append(F.count_if(F.coalesce(z > F.lit(fv.ZSCORE_LIMIT), F.lit(False))).alias(f"__o{i}"))
+    moments = prof.select(*[F.col(f"__{k}{i}") for i in range(len(numeric)) for k in ("m", "s", "cn")])
+    zc = df.select(*numeric).crossJoin(F.broadcast(moments)).agg(*counts)
+    zl = _long(zc.crossJoin(moments), [(c, [F.col(f"__cn{i}"), F.col(f"__o{i}"), F.col(f"__s{i}")])
+                                        for i, c in enumerate(numeric)], ["column", "n", "outliers", "std"])
+    anom = zl.filter((F.col("n") > 0) & (F.col("outliers") > 0)).select(
+        F.when(F.col("outliers") > F.col("n") * F.lit(fv.OUTLIER_HIGH_SHARE), "high").otherwise("medium")
+         .alias("severity")).unionByName(
+        zl.filter((F.col("n") > 0) & (F.col("std") == 0)).select(F.lit("high").alias("severity")))
+    # business rules
+    parts = []
+    if "__b_speed" in prof.columns:
+        parts.append(prof.select(F.col("__b_speed").alias("count"), F.lit("medium").alias("severity")))
+    for j in range(len(fv.VOLUME_RANGES)):
+        if f"__b_vol{j}" in prof.columns:
+            parts.append(prof.select(F.col(f"__b_vol{j}").alias("count"), F.lit("low").alias("severity")))
+    if "__b_p85" in prof.columns:
+        parts.append(prof.select(F.col("__b_p85").alias("count"), F.lit("high").alias("severity")))
+    biz = reduce(lambda a, b: a.unionByName(b), parts).filter(F.col("count") > 0) if parts else None
+    return comp, rules, anom, biz
+
+
+def quality_score(df: DataFrame, anomalies: DataFrame | None = None,
+                  numeric: list[str] | None = None) -> DataFrame:
     """Dataset score: 1 - completeness, duplicate, column-issue, anomaly and
-    business-rule deductions, clamped to [0, 1] (one row)."""
-    comp = completeness(df)
+    business-rule deductions, clamped to [0, 1] (one row).
+
+    Built on :func:`profile`: one aggregation pass for the counters, one for
+    the z-score counts and one grouping pass for duplicates."""
+    numeric = numeric if numeric is not None else numeric_columns(df)
+    prof = _materialised(profile(df, numeric))
+    comp, rules, anom, biz = _sections_from_profile(df, prof, numeric)
+    if anomalies is not None:
+        anom = anomalies.select("severity")
     dup = duplicates(df)
-    rules = column_rules(df)
-    anom = anomalies if anomalies is not None else zscore_outliers(df)
-    biz = business_rules(df)
     c = comp.agg(F.sum(F.when(~F.col("is_complete"),
                               (F.lit(100.0) - F.col("completeness_percentage")) / F.lit(1000.0))
                        .otherwise(F.lit(0.0))).alias("d_completeness"),
@@ -228,7 +328,10 @@ def quality_score(df: DataFrame, anomalies: DataFrame | None = None) -> DataFram
     a = anom.agg(F.coalesce(F.sum(F.when(F.col("severity") == "high", F.lit(0.1))
                                   .when(F.col("severity") == "medium", F.lit(0.05))
                                   .otherwise(F.lit(0.0))), F.lit(0.0)).alias("d_anomalies"))
-    b = biz.agg(F.coalesce(F.sum(_severity_deduction(F.col("severity"))), F.lit(0.0)).alias("d_business"))
+    if biz is not None:
+        b = biz.agg(F.coalesce(F.sum(_severity_deduction(F.col("severity"))), F.lit(0.0)).alias("d_business"))
+    else:
+        b = prof.select(F.lit(0.0).alias("d_business"))
     one = c.crossJoin(d).crossJoin(r).crossJoin(a).crossJoin(b)
     d_cols = F.least(F.lit(fv.COLUMN_ISSUE_CAP),
                      F.try_divide(F.col("column_issues").cast("double"), F.col("total_records").cast("double")))
@@ -244,12 +347,16 @@ def quality_score(df: DataFrame, anomalies: DataFrame | None = None) -> DataFram
         F.round("d_business", 6).alias("d_business"))
 
 
-def recommendations(df: DataFrame, anomalies: DataFrame | None = None) -> DataFrame:
-    """Improvement texts from the sections, in their fixed order."""
-    comp = completeness(df)
+def recommendations(df: DataFrame, anomalies: DataFrame | None = None,
+                    numeric: list[str] | None = None) -> DataFrame:
+    """Improvement texts from the sections, in their fixed order (built on
+    :func:`profile`, like the score)."""
+    numeric = numeric if numeric is not None else numeric_columns(df)
+    prof = _materialised(profile(df, numeric))
+    comp, _rules, anom, biz = _sections_from_profile(df, prof, numeric)
+    if anomalies is not None:
+        anom = anomalies.select("severity")
     dup = duplicates(df)
-    anom = anomalies if anomalies is not None else zscore_outliers(df)
-    biz = business_rules(df)
     inc = comp.filter(~F.col("is_complete")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "column"))),
                                  lambda s: s["column"]), ", ").alias("cols"),
@@ -263,8 +370,10 @@ def recommendations(df: DataFrame, anomalies: DataFrame | None = None) -> DataFr
     r3 = ha.filter(F.col("n") > 0).select(
         F.lit(3).alias("seq"), F.concat(F.lit("Investigate "), F.col("n").cast("string"),
                                         F.lit(" high-severity data anomalies")).alias("recommendation"))
-    hb = biz.filter(F.col("severity") == "high").agg(F.count(F.lit(1)).alias("n"))
-    r4 = hb.filter(F.col("n") > 0).select(
-        F.lit(4).alias("seq"), F.concat(F.lit("Address "), F.col("n").cast("string"),
-                                        F.lit(" high-severity business rule violations")).alias("recommendation"))
-    return r1.unionByName(r2).unionByName(r3).unionByName(r4)
+    out = r1.unionByName(r2).unionByName(r3)
+    if biz is not None:
+        hb = biz.filter(F.col("severity") == "high").agg(F.count(F.lit(1)).alias("n"))
+        out = out.unionByName(hb.filter(F.col("n") > 0).select(
+            F.lit(4).alias("seq"), F.concat(F.lit("Address "), F.col("n").cast("string"),
+                                            F.lit(" high-severity business rule violations")).alias("recommendation")))
+    return out

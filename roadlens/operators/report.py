@@ -238,6 +238,9 @@ def box_summary(df: DataFrame, value: str = "average_speed", key: str = "road_ty
          .select(key, "min", F.round(F.col("_q")[0], 6).alias("q1"),
                  F.round(F.col("_q")[1], 6).alias("median"),
                  F.round(F.col("_q")[2], 6).alias("q3"), "max"))
+    # One row per class, read by the whisker pass and by the result: write it once.
+    from roadlens.operators.quality import _materialised
+    q = _materialised(q)
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr"))
           .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr")))

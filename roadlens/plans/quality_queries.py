@@ -172,8 +172,7 @@ SELECT round(greatest(CAST(0.0 AS DOUBLE), least(CAST(1.0 AS DOUBLE),
 FROM parts
 """, "devices"))
 def q_dataset_score(spark, sf):
-    d = T.devices(spark, sf)
-    return Q.quality_score(d, Q.zscore_outliers(d, DEVICE_NUMERIC))
+    return Q.quality_score(T.devices(spark, sf), numeric=DEVICE_NUMERIC)
 
 
 @register("recommendations", ("A19",), with_views(_sections_sql() + """
@@ -189,5 +188,4 @@ SELECT 4 AS seq, 'Address ' || CAST(count(*) AS VARCHAR) || ' high-severity busi
 FROM biz WHERE severity = 'high' HAVING count(*) > 0
 """, "devices"))
 def q_recommendations(spark, sf):
-    d = T.devices(spark, sf)
-    return Q.recommendations(d, Q.zscore_outliers(d, DEVICE_NUMERIC))
+    return Q.recommendations(T.devices(spark, sf), numeric=DEVICE_NUMERIC)
