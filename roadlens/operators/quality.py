@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from roadlens import fixed_values as fv
 
+MAX_BROADCAST_ROWS = 100_000
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
 
@@ -177,8 +178,12 @@ def business_rules(df: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     needed = {"road_type": "string", "volume_vpd": "double", "average_speed": "double",
               "posted_speed_limit": "double", "percentile_speed_85": "double"}
     df = df.withColumns({c: F.lit(None).cast(t) for c, t in needed.items() if c not in df.columns})
+    # The range table is configuration (one row per class); it is broadcast only
+    # after its size is checked, otherwise the planner chooses the join.
+    small = ranges.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    side = F.broadcast(ranges) if small else ranges
     j = df.select("road_type", "volume_vpd", "average_speed", "posted_speed_limit",
-                  "percentile_speed_85").join(F.broadcast(ranges), "road_type", "left")
+                  "percentile_speed_85").join(side, "road_type", "left")
     per_class = j.groupBy("road_type").agg(
         F.count_if(F.col("average_speed") > F.col("posted_speed_limit") * F.lit(fv.VIOLATION_FACTOR_ALERT))
          .alias("speed"),
