@@ -3,11 +3,15 @@
 
 Plan shape, per SURVEY's strategy:
   * distinct names first (the table repeats names; each is scored once);
-  * a lossless length band: ratio = 2M / (la + lb) <= 2 min(la, lb) / (la + lb),
-    so a reference can only reach the threshold when its length lies in
-    [ceil(t la / (2 - t)), floor((2 - t) la / t)].  Names are exploded over that
-    band and equi-joined with references on length: no pair outside the band
-    is ever formed, and no cap is put on the pairs inside it;
+  * two lossless filters on candidate pairs.  Length band: ratio = 2M / (la + lb)
+    <= 2 min(la, lb) / (la + lb), so a reference can only reach the threshold
+    when its length lies in [ceil(t la / (2 - t)), floor((2 - t) la / t)].
+    Prefix filter: the matched characters M never exceed the multiset overlap
+    of the two strings, and two multisets overlapping by >= o share a token
+    among each one's first |s| - o + 1 tokens in any fixed global order
+    (rarest characters first).  Candidates are the equi-join of those prefix
+    tokens, restricted to the band: no pair that could reach the threshold is
+    dropped, and no cap is put on the pairs that remain;
   * the pairs are scored by a pandas UDF (difflib, with its own quick upper
     bounds first), the best per name is an aggregation
     ``max(struct(ratio, -position))`` (earliest reference wins ties), and the
@@ -48,25 +52,76 @@ def length_band(la, t: float) -> tuple:
     return lo, hi
 
 
+def _min_overlap(la, t: float):
+    """Smallest multiset overlap a string of length ``la`` needs with any
+    partner in its length band to reach ratio t: ceil(t (la + lb_min) / 2)."""
+    lb_min = F.ceil(la * F.lit(t / (2.0 - t)))
+    return F.ceil((la + lb_min) * F.lit(t / 2.0) - F.lit(1e-9))
+
+
+def _prefix_tokens(text, length, t: float, rank_map):
+    """The rarest-first prefix of a string's character multiset.
+
+    Tokens are (character, occurrence number); the order is global (rarity of
+    the character, then occurrence).  A pair whose overlap is >= o shares a
+    token among the first |s| - o + 1 tokens of each side (prefix filtering),
+    and matching characters never exceed the overlap, so joining on these
+    tokens loses no pair that can reach the threshold."""
+    chars = F.split(text, "")
+    n = F.size(chars)
+    toks = F.transform(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: F.struct(
+            F.coalesce(F.try_element_at(rank_map, F.element_at(chars, i)), F.lit(0)).alias("r"),
+            F.size(F.filter(F.slice(chars, 1, i), lambda x: x == F.element_at(chars, i))).alias("k"),
+            F.element_at(chars, i).alias("c")))
+    p = length - _min_overlap(length, t) + 1
+    return F.slice(F.array_sort(toks), 1, F.greatest(p, F.lit(0)).cast("int"))
+
+
+MAX_ALPHABET = 200_000
+
+
 def best_matches(names: DataFrame, refs: DataFrame, name_col: str = "name", ref_col: str = "ref_name",
                  pos_col: str = "ref_pos", threshold: float = fv.FUZZY_THRESHOLD,
                  lower: bool = True) -> DataFrame:
     """For each distinct name: the best reference (if its ratio reaches the
     threshold), its ratio, and the output text (reference or the name)."""
+    from roadlens.session import checkpoint_dir
+    checkpoint_dir(names.sparkSession)
     norm = (lambda c: F.lower(c)) if lower else (lambda c: c)
-    n = (names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
-              .withColumn("__a", norm(F.col("name"))).withColumn("__la", F.length("__a")))
-    lo, hi = length_band(F.col("__la"), threshold)
-    n_band = n.withColumn("__len", F.explode(F.sequence(F.greatest(lo, F.lit(1)).cast("int"),
-                                                        F.greatest(hi, F.lit(1)).cast("int"))))
+    # Distinct names and the references are read by several steps below:
+    # write each once (they are de-duplicated, far smaller than the rows).
+    all_names = (names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
+                      .withColumn("__a", norm(F.col("name"))).withColumn("__la", F.length("__a"))
+                      .checkpoint(eager=True))
+    n = all_names.filter(F.col("__la") > 0)
     r = (refs.select(F.col(ref_col).alias("ref"), F.col(pos_col).alias("pos"))
-             .withColumn("__b", norm(F.col("ref"))).withColumn("__len", F.length("__b")))
-    pairs = n_band.filter(F.col("__la") > 0).join(r, "__len")
+             .withColumn("__b", norm(F.col("ref"))).withColumn("__lb", F.length("__b"))
+             .filter(F.col("__lb") > 0).checkpoint(eager=True))
+    # Global token order: characters by how rarely they occur (one row per
+    # distinct character; bounded by the alphabet and size-checked).
+    chars = (n.select(F.explode(F.split("__a", "")).alias("c"))
+              .unionByName(r.select(F.explode(F.split("__b", "")).alias("c")))
+              .groupBy("c").agg(F.count(F.lit(1)).alias("f")))
+    ranked = chars.orderBy("f", "c").limit(MAX_ALPHABET + 1).collect()
+    if len(ranked) > MAX_ALPHABET:
+        raise ValueError("alphabet too large for the prefix filter")
+    rank_map = F.create_map(*[v for i, row in enumerate(ranked) for v in (F.lit(row["c"]), F.lit(i + 1))]) \
+        if ranked else F.create_map().cast("map<string,int>")
+    nt = n.select("name", "__a", "__la",
+                  F.explode(_prefix_tokens(F.col("__a"), F.col("__la"), threshold, rank_map)).alias("tok"))
+    rt = r.select("ref", "pos", "__b", "__lb",
+                  F.explode(_prefix_tokens(F.col("__b"), F.col("__lb"), threshold, rank_map)).alias("tok"))
+    lo, hi = length_band(F.col("__la"), threshold)
+    pairs = (nt.join(rt, ["tok"])
+               .filter((F.col("__lb") >= lo) & (F.col("__lb") <= hi))
+               .select("name", "__a", "ref", "pos", "__b").distinct())
     scored = pairs.withColumn("ratio", _ratio_udf(threshold)(F.col("__a"), F.col("__b")))
     best = (scored.filter(F.col("ratio") >= threshold)
                   .groupBy("name")
                   .agg(F.max(F.struct(F.col("ratio"), (-F.col("pos")).alias("neg_pos"), F.col("ref"))).alias("b")))
-    out = n.select("name").join(best, "name", "left")
+    out = all_names.select("name").join(best, "name", "left")
     return out.select("name", F.col("b.ref").alias("best_ref"), F.col("b.ratio").alias("ratio"),
                       F.coalesce(F.col("b.ref"), F.col("name")).alias("matched"))
 

@@ -65,3 +65,26 @@ def test_positional(spark, tmp_dir):
     assert [r.row_id for r in rows] == [371, 372, 373, 374]
     assert [r.output for r in rows] == ["Main Street", "N/A", "qqqq", "Oak Avenue"]
     _ = F
+
+
+def test_prefix_filter_stress(spark):
+    """Small alphabet, many near-threshold pairs: the filtered plan still equals brute force."""
+    rng = random.Random(11)
+    alpha = "abcde "
+    refs = sorted({"".join(rng.choice(alpha) for _ in range(rng.randint(3, 12))) for _ in range(60)})
+    names = ["".join(rng.choice(alpha) for _ in range(rng.randint(1, 14))) for _ in range(150)]
+    got = {r.name: r.matched for r in Z.best_matches(
+        spark.createDataFrame([(n,) for n in names], "name string"), _refs_df(spark, refs)).collect()}
+    for n in set(names):
+        assert got[n] == Z.brute_force_best(n, refs), n
+
+
+def test_fixture_names_against_brute_force(spark):
+    from roadlens.plans.fuzzy_queries import _refs
+    from roadlens.sources import tables as T
+    sf = "/root/testdata/sf0.001"
+    refs = [r.ref_name for r in _refs(spark, sf).orderBy("ref_pos").collect()]
+    got = {r.name: r.matched for r in
+           Z.best_matches(T.devices(spark, sf).select(F.col("street_name").alias("name")), _refs(spark, sf)).collect()}
+    for n, m in got.items():
+        assert m == Z.brute_force_best(n, refs), n
