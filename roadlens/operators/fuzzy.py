@@ -87,8 +87,9 @@ def best_matches(names: DataFrame, refs: DataFrame, name_col: str = "name", ref_
                  lower: bool = True) -> DataFrame:
     """For each distinct name: the best reference (if its ratio reaches the
     threshold), its ratio, and the output text (reference or the name)."""
-    from roadlens.session import checkpoint_dir
+    from roadlens.session import checkpoint_dir, ship_package
     checkpoint_dir(names.sparkSession)
+    ship_package(names.sparkSession)
     norm = (lambda c: F.lower(c)) if lower else (lambda c: c)
     # Distinct names and the references are read by several steps below:
     # write each once (they are de-duplicated, far smaller than the rows).

@@ -71,6 +71,8 @@ def _grow(tree_id: int, X: np.ndarray, max_depth: int, seed: int) -> list[tuple]
 def fit(df: DataFrame, features: list[str], key: str, trees: int = fv.IFOREST_TREES,
         max_samples: int = fv.IFOREST_SAMPLE, seed: int = fv.SEED, n_rows: int | None = None) -> DataFrame:
     """Grow the forest; returns the node table (trees x at most 2^(d+1) rows)."""
+    from roadlens.session import ship_package
+    ship_package(df.sparkSession)
     n = n_rows if n_rows is not None else df.count()
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -122,6 +124,8 @@ def score(df: DataFrame, nodes, features: list[str]) -> DataFrame:
     """Adds ``score_samples`` (= -s(x), higher is more normal).  ``nodes`` is
     the node table (DataFrame or its pandas copy)."""
     spark = df.sparkSession
+    from roadlens.session import ship_package
+    ship_package(spark)
     # The node table is the model, bounded by trees x 2^(depth+1) rows
     # whatever the data size; it is size-checked, then shipped once per executor.
     pdf = nodes if isinstance(nodes, pd.DataFrame) else nodes.limit(MAX_NODES + 1).toPandas()

@@ -71,3 +71,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``roadlens`` importable in the Python workers (pandas UDFs and
+    grouped-map functions refer to its modules).
+
+    The package is zipped once per driver process and added with
+    ``addPyFile``; Spark serves it to every executor, so nothing relies on a
+    path that only the driver machine has.  Under spark-submit --py-files it
+    is already there and this is a cheap no-op per context."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    import roadlens
+    root = os.path.dirname(os.path.abspath(roadlens.__file__))
+    parent = os.path.dirname(root)
+    out = os.path.join(tempfile.mkdtemp(prefix="roadlens-pkg-"), "roadlens.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

@@ -113,6 +113,8 @@ def read_positional_lines(spark: SparkSession, path: str, first_id: int = fv.POS
     zipWithIndex numbers lines across partitions without collecting them
     (one extra job counts the partition sizes)."""
     from roadlens.functions.coerce import PY_WHITESPACE
+    from roadlens.session import ship_package
+    ship_package(spark)
     text = spark.read.text(path)
     schema = T.StructType([T.StructField("line", T.StringType()), T.StructField("idx", T.LongType())])
     indexed = spark.createDataFrame(text.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])), schema)
