@@ -54,8 +54,9 @@ def first_files(files: DataFrame, k: int = fv.MAX_FILES_PER_RECORD, key: str = "
     w1 = Window.partitionBy(key, "__b").orderBy(order)
     pre = salted.withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k)
     w2 = Window.partitionBy(key).orderBy(order)
-    return (pre.withColumn("file_rank", F.row_number().over(w2)).filter(F.col("file_rank") <= k)
-               .drop("__b", "__r"))
+    # Filtering on the bare row_number lets Spark cut each window group at k.
+    return (pre.withColumn("__r2", F.row_number().over(w2)).filter(F.col("__r2") <= k)
+               .withColumn("file_rank", F.col("__r2").cast("bigint")).drop("__b", "__r", "__r2"))
 
 
 def uploads_per_record(files: DataFrame, key: str = "record_id") -> DataFrame:

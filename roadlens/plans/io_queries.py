@@ -59,7 +59,7 @@ def q_csv_export_roundtrip(spark, sf):
 
 
 @register("attachment_files_roundtrip", ("K9", "S10", "K10", "F15"), with_views("""
-SELECT record_id, count(*) AS n_files, sum(strlen(content)) AS n_bytes
+SELECT record_id, count(*) AS n_files, CAST(sum(strlen(content)) AS BIGINT) AS n_bytes
 FROM attachments GROUP BY record_id
 """, "attachments"))
 def q_attachment_files_roundtrip(spark, sf):
@@ -79,7 +79,7 @@ def q_attachment_files_roundtrip(spark, sf):
 
 
 @register("event_time_features", ("F28", "M1"), with_views("""
-SELECT event_id, hour(ts) AS time_of_day, isodow(ts) - 1 AS day_of_week FROM traffic_events
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS time_of_day, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week FROM traffic_events
 """, "traffic_events"))
 def q_event_time_features(spark, sf):
     e = T.traffic_events(spark, sf)

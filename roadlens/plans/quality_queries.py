@@ -161,8 +161,8 @@ parts AS (
     (SELECT max(total_values) FROM comp) AS total_records,
     (SELECT CASE WHEN NOT is_acceptable THEN percentage / CAST(100.0 AS DOUBLE) ELSE 0.0 END FROM dup) AS d_duplicates,
     (SELECT sum(issue_count) FROM rules) AS column_issues,
-    (SELECT coalesce(sum(CASE WHEN severity = 'high' THEN 0.1 WHEN severity = 'medium' THEN 0.05 ELSE 0.0 END), 0.0) FROM anom) AS d_anomalies,
-    (SELECT coalesce(sum(CASE WHEN severity = 'high' THEN 0.1 WHEN severity = 'medium' THEN 0.05 ELSE 0.02 END), 0.0) FROM biz) AS d_business)
+    (SELECT coalesce(sum(CASE WHEN severity = 'high' THEN CAST(0.1 AS DOUBLE) WHEN severity = 'medium' THEN CAST(0.05 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END), CAST(0.0 AS DOUBLE)) FROM anom) AS d_anomalies,
+    (SELECT coalesce(sum(CASE WHEN severity = 'high' THEN CAST(0.1 AS DOUBLE) WHEN severity = 'medium' THEN CAST(0.05 AS DOUBLE) ELSE CAST(0.02 AS DOUBLE) END), CAST(0.0 AS DOUBLE)) FROM biz) AS d_business)
 SELECT round(greatest(CAST(0.0 AS DOUBLE), least(CAST(1.0 AS DOUBLE),
     CAST(1.0 AS DOUBLE) - d_completeness - d_duplicates
     - coalesce(least(CAST(0.2 AS DOUBLE), CAST(column_issues AS DOUBLE) / CAST(total_records AS DOUBLE)), 0.0)
