@@ -105,6 +105,17 @@ class VersionedTable:
         out.write.mode("overwrite").parquet(f"{self.base}/version={v}")
         return v
 
+    def retain(self, keep: int) -> None:
+        """Delete all but the newest ``keep`` complete versions (readers of an
+        older version must be done; a long-running stream keeps a few)."""
+        vs = self.versions()
+        if keep < 1 or len(vs) <= keep:
+            return
+        jvm = self.spark.sparkContext._jvm
+        _, fs = self._fs()
+        for v in vs[:-keep]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.base}/version={v}"), True)
+
     def upsert(self, source: DataFrame, key: str, order: list[str],
                as_of: dt.datetime | None = None) -> tuple[int, DataFrame]:
         """Merge ``source`` into the current version and write the next one.

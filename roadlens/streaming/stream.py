@@ -120,7 +120,8 @@ def lookup_live(enriched: DataFrame, lookups: DataFrame, key: str = "lookup_id",
 
 
 def start_metric_stream(spark: SparkSession, source: DataFrame, table_path: str, checkpoint: str,
-                        available_now: bool = True, processing_time: str | None = None):
+                        available_now: bool = True, processing_time: str | None = None,
+                        keep_versions: int = 3):
     """Run enrich -> latest-metric merge as a streaming query.
 
     ``source`` is a streaming DataFrame of events (file or Kafka source parsed
@@ -132,6 +133,7 @@ def start_metric_stream(spark: SparkSession, source: DataFrame, table_path: str,
         enriched = enrich(batch, F.current_timestamp())
         merged = merge_latest(table.read(), enriched)
         table.write(merged)
+        table.retain(keep_versions)   # one version per batch: keep the newest few
 
     w = source.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     if available_now:

@@ -41,6 +41,8 @@ def test_versioned_upsert_idempotent(spark, tmp_dir):
         assert b["updated_at"] == t2
         for col in ("ts", "seq", "v"):
             assert a[col] == b[col]
-    # the previous version is still readable
+    # the previous version is still readable until retention drops it
     assert spark.read.parquet(f"{tmp_dir}/devices/version=1").count() == 2
+    table.retain(1)
+    assert table.versions() == [2] and table.read().count() == 2
     _ = F
