@@ -82,3 +82,11 @@ def test_first_files_and_suffix(spark):
     hits = sorted((r.file_name, r.bin_id) for r in m if r.bin_id)
     assert hits == [("f01.txt", "B1"), ("f01.txt", "B2")]
     assert sum(1 for r in m if r.file_name == "a.txt" and r.bin_id is None) == 1
+
+
+def test_spread_only_when_scan_is_narrow(spark, tmp_dir):
+    from roadlens.sources.tables import spread
+    narrow = spark.range(100).coalesce(1)
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
+    assert spread(wide).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
