@@ -52,19 +52,21 @@ def build_session(master: str | None = None, app_name: str = "roadlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder in that setting and it is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    A cluster names a shared folder in that setting and it is used as is,
+    scheme included.  Only a local master may leave it unset (tests): a fresh
+    scratch folder is made then.  Elsewhere an unset folder is an error,
+    because a machine-local one would lose tables with its machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if d:
-        if d.startswith("file:"):
-            d = d[len("file:"):]
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    local = tempfile.mkdtemp(prefix="roadlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="roadlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
