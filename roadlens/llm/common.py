@@ -101,3 +101,15 @@ def gapless(df: DataFrame, group: str, order: list[str], name: str, total: int)
     return (numbered.join(first.hint("shuffle_merge"), [group, "_b"])
             .withColumn(name, (F.col("_first") + F.col("_k")).cast("long"))
             .drop("_first", "_k", "_b"))
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs that nothing refers to any more.
+
+    Spark does so when the driver's garbage is collected, which in a driver
+    that does little may be long after; disks would keep every step until then.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import quality_rules
+from roadlens.llm import lm_scoring, packing, quality_rules, sharding, simhash_dedup, token_counts, token_files, url_filters
 from roadlens.llm.common import table
 
 
@@ -20,4 +20,12 @@ class LlmQuery:
 QUERIES: dict[str, LlmQuery] = {
     "op1_quality_rules": LlmQuery(
         lambda spark, d: quality_rules.op1_query(table(spark, d, "documents")), quality_rules.ORACLE),
+    "op2_lm_scoring": LlmQuery(lambda spark, d: lm_scoring.op2_query(table(spark, d, "documents"))),
+    "op3_sharding": LlmQuery(lambda spark, d: sharding.op3_query(table(spark, d, "documents"))),
+    "op4_simhash_dedup": LlmQuery(lambda spark, d: simhash_dedup.op4_query(table(spark, d, "documents"))),
+    "op5_packing": LlmQuery(lambda spark, d: packing.op5_query(table(spark, d, "documents"))),
+    "op7_token_counts": LlmQuery(lambda spark, d: token_counts.op7_query(table(spark, d, "documents"))),
+    "op9_token_files": LlmQuery(lambda spark, d: token_files.op9_query(table(spark, d, "documents"))),
+    "op8_url_filters": LlmQuery(
+        lambda spark, d: url_filters.op8_query(table(spark, d, "pages")), url_filters.ORACLE),
 }
