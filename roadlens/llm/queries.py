@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import lm_scoring, packing, quality_rules, sharding, simhash_dedup, token_counts, token_files, url_filters
+from roadlens.llm import lm_scoring, packing, quality_rules, sharding, simhash_dedup, suffix_dedup, token_counts, token_files, url_filters
 from roadlens.llm.common import table
 
 
@@ -28,4 +28,5 @@ QUERIES: dict[str, LlmQuery] = {
     "op9_token_files": LlmQuery(lambda spark, d: token_files.op9_query(table(spark, d, "documents"))),
     "op8_url_filters": LlmQuery(
         lambda spark, d: url_filters.op8_query(table(spark, d, "pages")), url_filters.ORACLE),
+    "op10_suffix_dedup": LlmQuery(lambda spark, d: suffix_dedup.op10_query(table(spark, d, "documents"))),
 }
