@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.llm import lm_scoring, packing, quality_rules, sharding, simhash_dedup, suffix_dedup, token_counts, token_files, url_filters
+from roadlens.llm import decontamination, lm_scoring, packing, quality_rules, sharding, simhash_dedup, suffix_dedup, token_counts, token_files, url_filters
 from roadlens.llm.common import table
 
 
@@ -24,6 +24,8 @@ QUERIES: dict[str, LlmQuery] = {
     "op3_sharding": LlmQuery(lambda spark, d: sharding.op3_query(table(spark, d, "documents"))),
     "op4_simhash_dedup": LlmQuery(lambda spark, d: simhash_dedup.op4_query(table(spark, d, "documents"))),
     "op5_packing": LlmQuery(lambda spark, d: packing.op5_query(table(spark, d, "documents"))),
+    "op6_decontamination": LlmQuery(
+        lambda spark, d: decontamination.op6_query(table(spark, d, "documents"), table(spark, d, "benchmark"))),
     "op7_token_counts": LlmQuery(lambda spark, d: token_counts.op7_query(table(spark, d, "documents"))),
     "op9_token_files": LlmQuery(lambda spark, d: token_files.op9_query(table(spark, d, "documents"))),
     "op8_url_filters": LlmQuery(
