@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import gapless, ship, stored
-from roadlens.llm.token_ids import VOCABULARY, loaded
+from roadlens.llm.token_ids import VOCABULARY, loaded, with_end
 
 SIZE = 1024
 END_ID = 0
@@ -40,21 +40,22 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocabulary:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(vocabulary)
         for batch in batches:
-            which, out, ids_out = [], [], []
-            texts = (v.as_py() or "" for v in batch.column(1))
-            for row, packed in enumerate(encoder.texts(texts)):
-                ids = np.append(np.frombuffer(packed, encoder.dtype), end_id).astype("<u4")
-                for start in range(0, len(ids), size):
-                    piece = ids[start:start + size]
-                    which.append(row)
-                    out.append((start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
-                    if with_ids:
-                        ids_out.append(piece.astype(np.int32))
-            numbers = np.array(out, dtype=np.int64).reshape(-1, 4)
-            columns = [batch.column(0).take(pa.array(which, pa.int32())), *(pa.array(numbers[:, i]) for i in range(4))]
-            if with_ids:
-                columns.append(pa.array(ids_out, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names)
+            at = 0
+            for ids, sizes in encoder.batches(v.as_py() or "" for v in batch.column(1)):
+                ids, sizes = with_end(ids, sizes, end_id)
+                flat = ids.astype("<u4")
+                per = -(-sizes // size)
+                which = np.repeat(np.arange(len(sizes)), per)
+                start = (np.arange(len(which)) - np.repeat(np.cumsum(per) - per, per)) * size
+                length = np.minimum(sizes[which] - start, size)
+                low = np.cumsum(length) - length                 # pieces follow each other as the ids do
+                crc = [zlib.crc32(flat[a:a + n].data) for a, n in zip(low.tolist(), length.tolist(), strict=True)]
+                columns = [batch.column(0).take(pa.array(at + which)), pa.array(start), pa.array(length),
+                           pa.array(crc, pa.int64()), pa.array(sizes[which])]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)].astype(np.int32)), pa.array(flat.astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, names)
+                at += len(sizes)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long"

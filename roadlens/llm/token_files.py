@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import discard, ship, stored
-from roadlens.llm.token_ids import VOCABULARY, loaded
+from roadlens.llm.token_ids import VOCABULARY, loaded, with_end
 
 END_ID = 2
 STRIDE = 256
@@ -146,35 +146,43 @@ def stretches(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_texts(docs: DataFrame, end_id: int, vocabulary: str, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_tokens, ids): the ids of every text and the end id, as packed integers."""
+    """(id, n_tokens, ids): the ids of every text and the end id, as packed integers.  The first row of a run of
+    texts also has the different ids of the run and how often each occurs, so that counting reads no other column."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(vocabulary)
-        end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            texts = (v.as_py() or "" for v in batch.column(1))
-            packed = [p + end for p in encoder.texts(texts)]
-            sizes = pa.array([len(p) // encoder.dtype.itemsize for p in packed], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(packed, pa.binary())], ["id", "n_tokens", "ids"])
+            at = 0
+            for ids, sizes in encoder.batches(v.as_py() or "" for v in batch.column(1)):
+                ids, sizes = with_end(ids, sizes, end_id)
+                counts = np.bincount(ids)
+                seen = np.flatnonzero(counts)
+                note = [[x.astype("<i8").tobytes()] + [None] * (len(sizes) - 1) for x in (seen, counts[seen])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(sizes)), pa.array(sizes), binaries(ids, sizes), *(pa.array(c, pa.binary()) for c in note)],
+                    ["id", "n_tokens", "ids", "seen", "counts"])
+                at += len(sizes)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary")
+    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary, seen binary, counts binary")
 
 
-def id_counts(encoded: DataFrame, vocabulary: str) -> np.ndarray:
-    """How often each id occurs: counted per task, then summed."""
+def id_counts(encoded: DataFrame) -> np.ndarray:
+    """How often each id occurs: the runs' counts, summed per task, then by Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype, total = loaded(vocabulary).dtype, np.zeros(0, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype))
-            if len(found) > len(total):
-                found, total = total, found
-            total[:len(found)] += found
+            for seen, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = np.frombuffer(seen, "<i8")
+                if len(ids) and ids[-1] >= len(total):
+                    total = np.r_[total, np.zeros(int(ids[-1]) + 1 - len(total), np.int64)]
+                total[ids] += np.frombuffer(counts, "<i8")
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["token", "n"])
 
-    rows = encoded.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    rows = (encoded.select("seen", "counts").where("seen is not null").mapInArrow(run, "token long, n long")
+            .groupBy("token").agg(F.sum("n").alias("n")).collect())
     out = np.zeros(max((r["token"] for r in rows), default=-1) + 1, np.int64)
     for r in rows:                                               # a row per id of the vocabulary at most
         out[r["token"]] = r["n"]
@@ -201,7 +209,7 @@ def write_files(encoded: DataFrame, lengths: np.ndarray, vocabulary: str, total:
                 token = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
                 marks = within[np.repeat(np.cumsum(sizes) - sizes, per) + token * STRIDE].astype("<u4")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), _cut(marks, per), _cut(stream, words)],
+                    [part.column(0), part.column(1), binaries(marks, per), binaries(stream, words)],
                     ["id", "n_tokens", "checkpoints", "stream"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +229,7 @@ def write_files(encoded: DataFrame, lengths: np.ndarray, vocabulary: str, total:
                 ["file", "block", "first", "n_tokens", "ids", "tokens", "checkpoints", "stream"])
             block, first = block + 1, first + int(sizes.sum())
 
-    streams = encoded.mapInArrow(bits, f"id {kind}, n_tokens long, checkpoints binary, stream binary")
+    streams = encoded.select("id", "n_tokens", "ids").mapInArrow(bits, f"id {kind}, n_tokens long, checkpoints binary, stream binary")
     ordered = (streams.repartitionByRange(max(8, -(-total // FILE_TOKENS)), "id", "n_tokens")
                .sortWithinPartitions("id", "n_tokens", "stream"))
     return stored(ordered.mapInArrow(blocks, BLOCK_FIELDS.format(kind=kind)), "token-files")
@@ -254,7 +262,7 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if len(parts) > 1 else parts[0]
 
 
-def _cut(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+def binaries(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     """An array's bytes, cut into binaries of so many values each."""
     ends = np.r_[0, np.cumsum(sizes)].astype(np.int32) * values.itemsize
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values.tobytes())])
@@ -293,7 +301,7 @@ def token_files(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABUL
     spark: SparkSession = docs.sparkSession
     ship(spark)
     encoded = stored(encode_texts(docs, end_id, vocabulary, id_col, text_col), "ids")
-    counts = id_counts(encoded, vocabulary)
+    counts = id_counts(encoded)
     lengths = code_lengths(counts)
     blocks = write_files(encoded, lengths, vocabulary, int(counts.sum()))
     discard(encoded)

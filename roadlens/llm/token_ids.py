@@ -2,10 +2,15 @@
 
 A byte-level vocabulary splits a text into words before it merges, and a space
 goes with the word after it.  Where every space stands between two characters
-that are no white space, cutting before each space therefore cuts between two
-of those words, and each part can be encoded on its own.  Parts recur, so a
-Python worker remembers their ids, up to a bounded number.  Any other text is
-encoded in one go.
+that are no white space, a cut before each space is a cut between two of those
+words.  So are cuts between letters, stops and a line end, within what stands
+between two spaces, if there is nothing else in it.  The pieces can be encoded
+on their own, and they recur: a Python worker remembers the ids of each, up to
+a bounded number, and the library encodes only pieces that are new.  Any other
+text is encoded in one go.
+
+Many texts are cut at once, on the array of their bytes.  Pieces are told apart
+by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -13,18 +18,28 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 
 from roadlens.llm.token_counts import tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Parts remembered per Python worker; the memory starts anew when it is full.
-MEMORY = 800_000
-#: Texts whose new parts are encoded together.
-TOGETHER = 64
+#: Pieces remembered per Python worker; the memory starts anew when it is full.
+PIECES = 1_200_000
+#: Bytes of texts that are cut together (a longer text on its own).
+TOGETHER = 2 << 20
 
 _WHITE_BY_SPACE = re.compile(r"\s | \s")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+# Classes of bytes.  A byte that starts or goes on a letter up to U+023F is a letter's: those are the letters for
+# which all versions of Unicode agree.
+_OTHER, _SPACE, _LETTER, _STOP, _LINE = range(5)
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[ord(" ")], _CLASS[ord("\n")] = _SPACE, _LINE
+_CLASS[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0xC0), *range(0xC3, 0xC9)]] = _LETTER
+_CLASS[[ord(c) for c in ".,!?;:|"]] = _STOP
 
 
 def _separable(text: str) -> bool:
@@ -34,6 +49,25 @@ def _separable(text: str) -> bool:
     return text.replace("\n", "").isprintable() or not _WHITE_BY_SPACE.search(text)
 
 
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin, that begin at ``starts`` in an array of bytes."""
+    kind = _CLASS[data]
+    # A multiplication or a division sign, or an empty line, is something else.
+    odd = np.flatnonzero((data[1:] == 0x97) | (data[1:] == 0xB7)) + 1
+    kind[odd[data[odd - 1] == 0xC3]] = _OTHER
+    lines = np.flatnonzero(kind == _LINE)
+    kind[lines[1:][np.diff(lines) == 1]] = _OTHER
+    words = np.zeros(len(data), bool)
+    words[starts] = True
+    words[kind == _SPACE] = True
+    first = np.flatnonzero(words)
+    # Nothing is cut inside a word with other bytes; a byte that only goes on, after a byte of another class, is one.
+    other = np.add.reduceat((kind == _OTHER).astype(np.int32), first) > 0
+    change = np.r_[False, (kind[1:] != kind[:-1]) & (kind[:-1] != _SPACE)]
+    change &= ~np.repeat(other, np.diff(np.r_[first, len(data)]))
+    return np.flatnonzero(words | change)
+
+
 class TokenIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark runs a worker per core
@@ -41,32 +75,97 @@ class TokenIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.parts: dict[str, bytes] = {}
-
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def texts(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The ids of each text, as little-endian integers of ``dtype``."""
+        self.inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        self.powers = self.inverses = np.ones(1, np.uint64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[int, int] = {}                      # a piece's hash: its number
+        self.first, self.size, self.ids = (np.zeros(n, t) for n, t in ((1 << 16, np.int64), (1 << 16, np.int32), (1 << 18, self.dtype)))
+        self.used = 0
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _hashes(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        if len(self.powers) < len(data):
+            n = 1 << len(data).bit_length()
+            self.powers = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BASE)])
+            self.inverses = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, self.inverse)])
+        sums = np.r_[np.uint64(0), np.cumsum((data + np.uint64(1)) * self.powers[:len(data)], dtype=np.uint64)]
+        x = (sums[np.r_[at[1:], len(data)]] - sums[at]) * self.inverses[at]
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        return x ^ x >> np.uint64(32)
+
+    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+        ids = self._encoded(pieces)
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype, int(sizes.sum()))
+        n = len(self.place)
+        while n + len(ids) > len(self.first):
+            self.first, self.size = (np.r_[x, np.zeros_like(x)] for x in (self.first, self.size))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
+        self.first[n:n + len(ids)] = self.used + np.cumsum(sizes) - sizes
+        self.size[n:n + len(ids)] = sizes
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.used += len(flat)
+        self.place.update(zip(hashes, range(n, n + len(ids)), strict=True))
+
+    def _cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts that are separable and not empty, one after another, and how many each has."""
+        joined = b"".join(texts)
+        data = np.frombuffer(joined, np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        starts = np.r_[0, ends[:-1]]
+        at = cuts(data, starts)
+        different, where, which = np.unique(self._hashes(data.astype(np.uint64), at), return_index=True, return_inverse=True)
+        if len(self.place) > PIECES:
+            self._forget()
+        asked = different.tolist()
+        places = list(map(self.place.get, asked))
+        if None in places:
+            new = [i for i, p in enumerate(places) if p is None]
+            lows = at[where[new]].tolist()
+            highs = np.r_[at, len(data)][where[new] + 1].tolist()
+            self._learn([asked[i] for i in new], [joined[a:b].decode() for a, b in zip(lows, highs, strict=True)])
+            places = list(map(self.place.get, asked))
+        number = np.array(places, np.int64)[which]
+        size = self.size[number].astype(np.int64)
+        before = np.cumsum(size) - size
+        ids = self.ids[np.arange(int(size.sum())) + np.repeat(self.first[number] - before, size)]
+        return ids, np.add.reduceat(size, np.searchsorted(at, starts))
+
+    def batches(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of the texts: their ids, one text after another, and how many each text has."""
         held: list[str] = []
+        size = 0
         for text in texts:
             held.append(text)
-            if len(held) == TOGETHER:
-                yield from self._some(held)
-                held = []
-        yield from self._some(held)
-
-    def _some(self, texts: list[str]) -> list[bytes]:
-        if len(self.parts) > MEMORY:
-            self.parts.clear()
-        known = self.parts
-        split = [t.split(" ") if t and _separable(t) else None for t in texts]
-        new = list(set().union(*(s[1:] for s in split if s)) - known.keys())
-        known.update(zip(new, self._packed([" " + p for p in new]), strict=True))
-        starts = iter(self._packed([t if s is None else s[0] for t, s in zip(texts, split, strict=True)]))
-        return [start if s is None else start + b"".join(map(known.__getitem__, s[1:]))
-                for start, s in zip(starts, split, strict=True)]
+            size += len(text)
+            if size >= TOGETHER:
+                yield self._some(held)
+                held, size = [], 0
+        if held:
+            yield self._some(held)
+
+    def _some(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        separable = [bool(t) and _separable(t) for t in texts]
+        if all(separable):
+            return self._cut([t.encode() for t in texts])
+        sizes = np.zeros(len(texts), np.int64)
+        cut = [i for i, s in enumerate(separable) if s]
+        whole = [i for i, (s, t) in enumerate(zip(separable, texts, strict=True)) if t and not s]
+        ids: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
+        if cut:
+            flat, sizes[cut] = self._cut([texts[i].encode() for i in cut])
+            for i, part in zip(cut, np.split(flat, np.cumsum(sizes[cut])[:-1]), strict=True):
+                ids[i] = part
+        for i, found in zip(whole, self._encoded([texts[i] for i in whole]), strict=True):
+            ids[i] = np.array(found, self.dtype)
+            sizes[i] = len(found)
+        return np.concatenate(ids), sizes
 
 
 _LOADED: dict[str, TokenIds] = {}
@@ -77,3 +176,8 @@ def loaded(vocabulary: str = VOCABULARY) -> TokenIds:
     if vocabulary not in _LOADED:
         _LOADED[vocabulary] = TokenIds(tokenizer_path(vocabulary))
     return _LOADED[vocabulary]
+
+
+def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with an end id after each text."""
+    return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
