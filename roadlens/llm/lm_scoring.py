@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from roadlens.llm.common import free_shuffles, ship, stored
 
 #: Text bytes of a block at most (a longer text is a block of its own), and entries of a bucket on average.
-BLOCK_BYTES = 48 << 20
+BLOCK_BYTES = 16 << 20
 BUCKET_ENTRIES = 1_500_000
 #: K: the weight of the word probabilities, in tokens.
 PRIOR = 20.0
@@ -137,11 +137,10 @@ def _bigrams(words: np.ndarray, vocabulary: int) -> np.ndarray:
     return before.astype(np.int64) * vocabulary + words
 
 
-def _asked(words: np.ndarray, hashes: np.ndarray, buckets: int):
-    """The block's distinct bigrams, and for words and for bigrams their hashes and their buckets' order."""
-    grams = np.unique(_bigrams(words, len(hashes)))
+def _asked(grams: np.ndarray, hashes: np.ndarray, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For a block's words and for its distinct bigrams: their hashes, and their order by bucket."""
     keys = _mixed(hashes[grams // len(hashes)], hashes[grams % len(hashes)])
-    return grams, [(k, np.argsort(k % np.uint64(buckets), kind="stable")) for k in (hashes, keys)]
+    return [(k, np.argsort((k % np.uint64(buckets)).astype(np.uint32), kind="stable")) for k in (hashes, keys)]
 
 
 def answers(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -153,9 +152,12 @@ def answers(blocks: DataFrame, buckets: int) -> DataFrame:
                 words, sizes = unpacked(row["words"]), unpacked(row["sizes"])
                 hashes = np.frombuffer(row["hashes"], np.uint64)
                 train = np.repeat(~held_out(row["ids"]), sizes)
-                grams, asked = _asked(words, hashes, buckets)
-                where = np.searchsorted(grams, _bigrams(words, len(hashes))[train])
-                counts = [np.bincount(words[train], minlength=len(hashes)), np.bincount(where, minlength=len(grams))]
+                seen = _bigrams(words, len(hashes)) * 2 + train       # the last bit: a training token
+                seen.sort()
+                firsts = np.flatnonzero(np.r_[True, seen[1:] >> 1 != seen[:-1] >> 1])
+                grams = seen[firsts] >> 1
+                asked = _asked(grams, hashes, buckets)
+                counts = [np.bincount(words[train], minlength=len(hashes)), np.add.reduceat(seen & 1, firsts)]
                 for level, ((keys, order), count) in enumerate(zip(asked, counts, strict=True), 1):
                     bucket = (keys % np.uint64(buckets))[order]
                     cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
@@ -184,31 +186,28 @@ def answers(blocks: DataFrame, buckets: int) -> DataFrame:
 
 
 class Automaton:
-    """The states, arcs and failure arcs that the texts of a block need."""
+    """The part of the automaton that the texts of a block walk through.
 
-    def __init__(self, words: int, count: np.ndarray, grams: np.ndarray, gram_count: np.ndarray, total: int, different: int):
-        self.words = words
+    ``weight`` has, for every pair of a state and a word that a text asks for,
+    the arc's log-probability, or that of the failure arc and the root's arc."""
+
+    def __init__(self, count: np.ndarray, grams: np.ndarray, gram_count: np.ndarray, total: int, different: int):
         p = (count + ADDED) / (total + ADDED * (different + 1))
         self.root = np.log10(p)                                  # the root's arcs
         self.fail = np.log10(PRIOR / (count + PRIOR))            # from every state to the root
-        has_arc = gram_count > 0
-        self.arcs = grams[has_arc]                               # state * words + word, ascending
-        state, word = self.arcs // words, self.arcs % words
-        self.weight = np.log10((gram_count[has_arc] + PRIOR * p[word]) / (count[state] + PRIOR))
+        state, word = grams // len(count), grams % len(count)
+        arc = np.log10((gram_count + PRIOR * p[word]) / (count[state] + PRIOR))
+        self.weight = np.where(gram_count > 0, arc, self.fail[state] + self.root[word])
 
-    def read(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The log-probability of each text: all are read at once, a token of each at a time, longest texts first."""
+    def read(self, steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The log-probability of each text.  ``steps``: the pair of state and word at each token.  All texts are
+        read at once, a token of each at a time, the longest first, so that those still being read are a prefix."""
         order = np.argsort(-sizes, kind="stable")
         at, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
         reading = np.searchsorted(-sizes, -np.arange(int(sizes.max(initial=0))), side="left")
-        state, sums = np.zeros(len(at), np.int64), np.zeros(len(at))
-        for step, n in enumerate(reading):
-            word = words[at[:n] + step]
-            wanted = state[:n] * self.words + word
-            arc = np.minimum(np.searchsorted(self.arcs, wanted), max(len(self.arcs) - 1, 0))
-            taken = self.arcs[arc] == wanted if len(self.arcs) else np.zeros(n, bool)
-            sums[:n] += np.where(taken, self.weight[arc] if len(self.arcs) else 0.0, self.fail[state[:n]] + self.root[word])
-            state[:n] = word
+        sums = np.zeros(len(at))
+        for step, n in enumerate(reading.tolist()):
+            sums[:n] += self.weight[steps[at[:n] + step]]
         out = np.empty(len(sums))
         out[order] = sums
         return out
@@ -228,23 +227,24 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def read(block: pa.Table, reply: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
-        words, sizes = unpacked(row["words"]).astype(np.int64), unpacked(row["sizes"]).astype(np.int64)
+        words, sizes = unpacked(row["words"]), unpacked(row["sizes"]).astype(np.int64)
         hashes = np.frombuffer(row["hashes"], np.uint64)
-        grams, asked = _asked(words.astype(np.uint32), hashes, buckets)
+        grams, steps = np.unique(_bigrams(words, len(hashes)), return_inverse=True)
+        asked = _asked(grams, hashes, buckets)
         counts = []
         for level, (keys, order) in enumerate(asked, 1):
             parts = sorted((b, c) for lv, b, c in zip(*(reply[n].to_pylist() for n in ("level", "bucket", "counts")), strict=True) if lv == level)
             count = np.empty(len(keys))
             count[order] = np.concatenate([unpacked(c) for _, c in parts])
             counts.append(count)
-        automaton = Automaton(len(hashes), counts[0], grams, counts[1], train, different)
+        automaton = Automaton(counts[0], grams, counts[1], train, different)
         starts = np.cumsum(sizes) - sizes
         known = np.add.reduceat((counts[0] > 0)[words].astype(np.int64), starts)
         ids = block["ids"].chunk(0).values
         return pa.table({
             "id": ids, "held_out": pa.array(held_out(row["ids"])), "n_tokens": pa.array(sizes), "n_known": pa.array(known),
             "train_tokens": pa.array(np.full(len(sizes), train)), "base_score": pa.array(np.add.reduceat(automaton.root[words], starts)),
-            "score": pa.array(automaton.read(words, sizes))})
+            "score": pa.array(automaton.read(steps, sizes))})
 
     parts = max(12, -(-tokens // (BLOCK_BYTES // 24)))
     out = (blocks.repartition(parts, "block").groupBy("block")
