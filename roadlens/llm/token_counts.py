@@ -1,21 +1,24 @@
 """Token counts at every prefix of a text, by dynamic programming.
 
-A text's tokens never cross from a word into the spaces before the next one
-(no piece of the vocabulary does; this is checked when it is loaded).  So a
-text is a row of segments, each some spaces and the word after them, and the
-count at a prefix is the count of the whole segments before it plus the count
-at a place inside its segment.
+Tokens are merged from neighbours, so no token crosses a place between two
+characters that stand next to each other in no piece of the vocabulary; the end
+of a word before a space is one.  A text, with the space that the library puts
+before it, is cut at such places.  The count at a prefix is the count of the
+whole segments before it plus the count at a place inside its segment.
 
 Inside a segment the counts come from a recurrence.  The tokens of a prefix
 end in exactly one piece that the tokens of the rest accept as neighbour, that
 is, the two alone encode to just these two.  With that last piece stored for
 every shorter prefix, each further character looks back over the pieces that
 could end there: time is linear in the text, and nothing is encoded again.
-Segments are remembered, as counts per character, up to a bounded number.
+Segments recur and are remembered, up to a bounded number.
 
 With the counts at hand, the longest prefix within a budget and the count of
-any prefix are look-ups.  Every new segment's last count is held against the
-library's own; if they ever differ, that segment's prefixes are encoded.
+any prefix are look-ups.  If no piece is accepted at some place, the prefixes
+of that segment are encoded.
+
+Whole counts of many texts are summed from their segments' on arrays; segments
+are told apart by a 64-bit hash there.
 
 Defined cases: a null text is an empty one with no tokens; an empty table gives
 an empty result; repeated rows each get their row; other columns are ignored.
@@ -23,7 +26,6 @@ an empty result; repeated rows each get their row; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import ship
+from roadlens.llm.piece_hash import PieceHash, tokenizer_path
 
 MARK = "▁"                      # how the vocabulary writes a space
 #: Segments and neighbour pairs remembered per Python worker; the memory starts anew when it is full.
 MEMORY = 600_000
-LONG_SEGMENT = 64               # longer ones are not remembered
+TAIL = 4
+LONG_SEGMENT = 64               # longer ones are not remembered prefix by prefix
+#: Bytes of texts that are counted together (a longer text on its own).
+TOGETHER = 2 << 20
 
 
 class PrefixCounts:
@@ -48,9 +54,23 @@ class PrefixCounts:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         kinds = (self.model.is_control, self.model.is_unknown, self.model.is_byte, self.model.is_unused)
         self.pieces = {self.model.id_to_piece(i) for i in range(self.model.get_piece_size()) if not any(k(i) for k in kinds)}
-        if any(MARK in p.lstrip(MARK) for p in self.pieces):
-            raise ValueError("pieces of this vocabulary cross from a word into the next space")
-        self.longest = max(map(len, self.pieces))
+        # Lengths of pieces by their last TAIL characters; those of shorter ones are looked up as they are met.
+        self.long_ends: dict[str, set[int]] = {}
+        for p in self.pieces:
+            if len(p) >= TAIL:
+                self.long_ends.setdefault(p[-TAIL:], set()).add(len(p))
+        self.ends: dict[str, tuple[int, ...]] = {}
+        # Cuts stand between two ASCII characters that are neighbours in no piece.
+        self.cut = np.zeros((256, 256), bool)
+        self.cut[:128, :128] = True
+        for p in self.pieces:
+            for x, y in zip(p.replace(MARK, " "), p.replace(MARK, " ")[1:], strict=False):
+                if x < "\x80" and y < "\x80":
+                    self.cut[ord(x), ord(y)] = False
+        if self.cut[32, 32] or not self.cut[ord("a"), 32]:
+            raise ValueError("this vocabulary does not keep words apart at spaces")
+        self.hashes = PieceHash()
+        self.totals: dict[int, int] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.segments: dict[str, bytes] = {}
 
@@ -73,48 +93,101 @@ class PrefixCounts:
             self.pairs[left, right] = known
         return known
 
-    def segment(self, segment: str) -> bytes:
-        """Little-endian 32-bit counts at every prefix of a segment that is not empty."""
+    def _sizes(self, tail: str) -> tuple[int, ...]:
+        """Sizes that a last piece may have, after these last TAIL characters (or fewer, at the start): the longest first."""
+        sizes = {k for k in range(1, len(tail) + 1) if tail[-k:] in self.pieces} | self.long_ends.get(tail, set()) | {1}
+        if len(self.ends) >= MEMORY:
+            self.ends.clear()
+        self.ends[tail] = found = tuple(sorted(sizes, reverse=True))
+        return found
+
+    def segment(self, segment: str) -> list[int]:
+        """Counts at every prefix of a segment, from the empty one."""
         s = segment.replace(" ", MARK)
         counts, last = [0], [""]
+        known_sizes, known_pairs, pieces = self.ends.get, self.pairs.get, self.pieces
         for end in range(1, len(s) + 1):
-            for size in range(1, min(end, self.longest) + 1):
+            tail = s[end - TAIL if end > TAIL else 0:end]
+            for size in known_sizes(tail) or self._sizes(tail):
+                if size > end:
+                    continue
                 piece = s[end - size:end]
-                if (size == 1 or piece in self.pieces) and self._fits(last[end - size], piece):
-                    counts.append(counts[end - size] + self._weight(piece))
+                if size > TAIL and piece not in pieces:
+                    continue
+                left = last[end - size]
+                fits = known_pairs((left, piece))
+                if fits or fits is None and self._fits(left, piece):
+                    counts.append(counts[end - size] + (1 if size > 1 or piece in pieces else self._weight(piece)))
                     last.append(piece)
                     break
             else:
-                break
-        if len(counts) <= len(s) or counts[-1] != len(self._encode(s)):
-            counts = [0] + [len(self._encode(s[:end])) for end in range(1, len(s) + 1)]
-        return np.array(counts[1:], dtype="<i4").tobytes()
+                return [len(self._encode(s[:end])) for end in range(len(s) + 1)]
+        return counts
+
+    def _segments(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The texts with a space before each, joined; where segments and where texts begin."""
+        joined = b"".join(x for t in texts for x in (b" ", t))
+        data = np.frombuffer(joined, np.uint8)
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+        new = np.r_[True, self.cut[data[:-1], data[1:]]]
+        new[starts] = True
+        return joined, np.flatnonzero(new), starts
+
+    def whole(self, texts: list[str], budgets: tuple[int, ...] = ()) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The token count of each text; and for each budget, the characters of its longest prefix within it."""
+        out = np.zeros(len(texts), np.int64)
+        fits = [np.fromiter(map(len, texts), np.int64, len(texts)) for _ in budgets]
+        some = [i for i, t in enumerate(texts) if t]
+        if not some:
+            return out, fits
+        joined, at, starts = self._segments([texts[i].replace(MARK, " ").encode() for i in some])
+        data = np.frombuffer(joined, np.uint8)
+        different, where, which = np.unique(self.hashes(data, at), return_index=True, return_inverse=True)
+        if len(self.totals) > 2 * MEMORY:
+            self.totals.clear()
+        asked = different.tolist()
+        counts = list(map(self.totals.get, asked))
+        ends = np.r_[at[1:], len(joined)]
+        for i, count in enumerate(counts):
+            if count is None:
+                piece = joined[at[where[i]]:ends[where[i]]].decode()
+                counts[i] = self.totals[asked[i]] = self.segment(piece)[-1]
+        each = np.array(counts, np.int64)[which]
+        firsts = np.searchsorted(at, starts)
+        out[some] = np.add.reduceat(each, firsts)
+        for low, high, start, i in zip(firsts.tolist(), [*firsts[1:].tolist(), len(at)], starts.tolist(), some, strict=True):
+            for budget, fit in zip(budgets, fits, strict=True):
+                if out[i] > budget:
+                    before = np.cumsum(each[low:high]) - each[low:high]
+                    # Back from the last segment that begins within the budget to one that has a prefix within it.
+                    for k in range(int(np.searchsorted(before, budget, side="right")) - 1, -1, -1):
+                        inside = self.segment(joined[at[low + k]:ends[low + k]].decode())
+                        most = max(c for c, n in enumerate(inside) if before[k] + n <= budget)
+                        if most or k == 0:
+                            break
+                    # The first character is the space put before the text.
+                    fit[i] = max(len(joined[start:at[low + k]].decode()) + most - 1, 0)
+        return out, fits
 
     def text(self, text: str) -> np.ndarray:
         """Counts at every prefix of a text, from the empty one to the whole: one more than it has characters."""
         if not text:
             return np.zeros(1, np.int64)
-        text = text.replace(MARK, " ")
-        if "  " in text or text[0] == " " or text[-1] == " ":
-            # The first space is the one that the library puts before a text; each segment drops one.
-            parts = [s[1:] for s in re.findall(" +[^ ]*", " " + text)]
-        else:
-            parts = text.split(" ")
-        known = self.segments
-        found = list(map(known.get, parts))
-        if None in found:
-            for i, f in enumerate(found):
-                if f is None:
-                    part = parts[i]
-                    found[i] = known.get(part) or self.segment(" " + part)
-                    if len(part) <= LONG_SEGMENT:
-                        if len(known) >= MEMORY:
-                            known.clear()
-                        known[part] = found[i]
+        joined, at, _ = self._segments([text.replace(MARK, " ").encode()])
+        found = []
+        for low, high in zip(at.tolist(), [*at[1:].tolist(), len(joined)], strict=True):
+            part = joined[low:high].decode()
+            known = self.segments.get(part)
+            if known is None:
+                known = np.array(self.segment(part)[1:], dtype="<i4").tobytes()
+                if len(part) <= LONG_SEGMENT:
+                    if len(self.segments) >= MEMORY:
+                        self.segments.clear()
+                    self.segments[part] = known
+            found.append(known)
         counts = np.frombuffer(b"".join(found), dtype="<i4").astype(np.int64)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ends = np.cumsum(sizes)
-        whole = np.cumsum(counts[ends - 1])
+        whole = np.cumsum(counts[np.cumsum(sizes) - 1])
         counts += np.repeat(np.r_[0, whole[:-1]], sizes)
         counts[0] = 0                    # the first character is the space put before the text
         return counts
@@ -130,13 +203,6 @@ def loaded(path: str) -> PrefixCounts:
     return _LOADED[path]
 
 
-def tokenizer_path(name: str) -> str:
-    """Where a public vocabulary lies on this machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def prefix_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", budgets: tuple[int, ...] = (),
                   with_counts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes and n_tokens of every document; for each budget, chars_<budget>: the characters of its longest
@@ -147,21 +213,20 @@ def prefix_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", budgets:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = loaded(tokenizer_path(model))
         for batch in batches:
-            sizes, totals, fits, tables = [], [], [[] for _ in budgets], []
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                counts = counter.text(text)
-                sizes.append(len(text.encode()))
-                totals.append(int(counts[-1]))
-                for budget, out in zip(budgets, fits, strict=True):
-                    out.append(len(text) if totals[-1] <= budget else int(np.flatnonzero(counts <= budget)[-1]))
-                if with_counts:
-                    tables.append(counts.astype(np.int32))
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64())]
-            columns += [pa.array(f, pa.int64()) for f in fits]
-            if with_counts:
-                columns.append(pa.array(tables, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names)
+            texts, low, size = [], 0, 0
+            for i in range(batch.num_rows):
+                texts.append(batch.column(1)[i].as_py() or "")
+                size += len(texts[-1])
+                if size >= TOGETHER or i == batch.num_rows - 1:
+                    yield counted(counter, batch.column(0).slice(low, len(texts)), texts)
+                    texts, low, size = [], i + 1, 0
+
+    def counted(counter: PrefixCounts, ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
+        totals, fits = counter.whole(texts, budgets)
+        columns = [ids, pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(totals), *map(pa.array, fits)]
+        if with_counts:
+            columns.append(pa.array([counter.text(t).astype(np.int32) for t in texts], pa.list_(pa.int32())))
+        return pa.RecordBatch.from_arrays(columns, names)
 
     names = ["id", "n_bytes", "n_tokens", *(f"chars_{b}" for b in budgets), *(["counts"] if with_counts else [])]
     schema = f"id {kind}, " + ", ".join(f"{n} {'array<int>' if n == 'counts' else 'long'}" for n in names[1:])

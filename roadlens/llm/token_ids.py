@@ -22,7 +22,7 @@ from itertools import chain
 
 import numpy as np
 
-from roadlens.llm.token_counts import tokenizer_path
+from roadlens.llm.piece_hash import PieceHash, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Pieces remembered per Python worker; the memory starts anew when it is full.
@@ -31,7 +31,6 @@ PIECES = 1_200_000
 TOGETHER = 2 << 20
 
 _WHITE_BY_SPACE = re.compile(r"\s | \s")
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 # Classes of bytes.  A byte that starts or goes on a letter up to U+023F is a letter's: those are the letters for
 # which all versions of Unicode agree.
@@ -75,8 +74,7 @@ class TokenIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        self.powers = self.inverses = np.ones(1, np.uint64)
+        self.hashes = PieceHash()
         self._forget()
 
     def _forget(self) -> None:
@@ -87,17 +85,6 @@ class TokenIds:
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _hashes(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        if len(self.powers) < len(data):
-            n = 1 << len(data).bit_length()
-            self.powers = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BASE)])
-            self.inverses = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, self.inverse)])
-        sums = np.r_[np.uint64(0), np.cumsum((data + np.uint64(1)) * self.powers[:len(data)], dtype=np.uint64)]
-        x = (sums[np.r_[at[1:], len(data)]] - sums[at]) * self.inverses[at]
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-        return x ^ x >> np.uint64(32)
-
     def _learn(self, hashes: list[int], pieces: list[str]) -> None:
         ids = self._encoded(pieces)
         sizes = np.fromiter(map(len, ids), np.int32, len(ids))
@@ -120,7 +107,7 @@ class TokenIds:
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
         starts = np.r_[0, ends[:-1]]
         at = cuts(data, starts)
-        different, where, which = np.unique(self._hashes(data.astype(np.uint64), at), return_index=True, return_inverse=True)
+        different, where, which = np.unique(self.hashes(data, at), return_index=True, return_inverse=True)
         if len(self.place) > PIECES:
             self._forget()
         asked = different.tolist()
