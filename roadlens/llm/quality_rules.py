@@ -93,8 +93,8 @@ def _repeat_words(words: Column) -> Column:
     return let(F.sort_array(windows), lambda s: let(repeated(s), covered))
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per document: id, language, the base counts and the two histograms."""
+def measures(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: the kept columns in a struct, language, the base counts and the two histograms."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
 
@@ -108,9 +108,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
             _common_counts(w).alias("common")))
 
     return docs.select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), let(text, of).alias("m"),
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept_row"), F.col(lang_col).alias("lang"), let(text, of).alias("m"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select("id", "lang", "m.*", "n_dup_lines").withColumn(
+    ).select("kept_row", "lang", "m.*", "n_dup_lines").withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
@@ -169,20 +169,24 @@ def judge(measured: DataFrame, refs: dict) -> DataFrame:
                           & (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= MAX_WORD_DISTANCE))
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per document: its measures, distances and the verdict.
+def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: its kept columns (in the struct kept_row), measures, distances and the verdict.
 
-    The measures are written once to the shared folder (some dozen numbers per
-    document): the references and the verdicts both read them, and texts are
-    scanned once.
+    The measures are written once to the shared folder: the references and the
+    verdicts both read them, and texts are scanned once.
     """
-    measured = stored(measures(docs, id_col, text_col, lang_col), "quality")
-    return judge(measured, references(measured)).withColumnRenamed("id", id_col)
+    measured = stored(measures(docs, text_col, lang_col, keep), "quality")
+    return judge(measured, references(measured))
+
+
+def passing(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    return quality_rules(docs, text_col, lang_col, tuple(docs.columns)).where("kept").select("kept_row.*")
 
 
 def op1_query(docs: DataFrame) -> DataFrame:
     return quality_rules(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+        "kept_row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def _oracle() -> str:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from roadlens.llm import decontamination, lm_scoring, packing, quality_rules, sharding, simhash_dedup, suffix_dedup, token_counts, token_files, url_filters
 from roadlens.llm.common import table
 
@@ -31,4 +32,5 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_url_filters": LlmQuery(
         lambda spark, d: url_filters.op8_query(table(spark, d, "pages")), url_filters.ORACLE),
     "op10_suffix_dedup": LlmQuery(lambda spark, d: suffix_dedup.op10_query(table(spark, d, "documents"))),
+    "pipeline": LlmQuery(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from roadlens.llm.common import join_by_class, ship, stored, tasks_for
 from roadlens.llm.components import components
@@ -179,5 +180,19 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component, with all its columns: the least id (null last), of one id the least hash of
+    the text; of rows alike in both, any one."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    own = F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("d"), F.xxhash64(text).alias("h"))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("own"), text.alias("text"))
+    groups = simhash_components(named.select("own", "text"), shingle, max_bits, "own", "text")
+    chosen = groups.where("own = component_id").select("own").distinct()
+    first = Window.partitionBy("own").orderBy("own")
+    return (named.select("row", "own").join(chosen, "own").withColumn("k", F.row_number().over(first))
+            .where("k = 1").select("row.*"))
+
+
 def op4_query(docs: DataFrame) -> DataFrame:
     return simhash_components(docs)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import discard, free_shuffles, join_by_class, ship, stored
+from roadlens.llm.common import WORD, discard, free_shuffles, join_by_class, ship, stored
 from roadlens.llm.induced_sorting import common_prefixes, suffix_array
 
 SPAN = 400
@@ -247,7 +247,8 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, in
 def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
             with_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """Two tables: (id, key, n_bytes) of every document, and per different text (key): copies, n_bytes, n_removed,
-    n_spans, kept_sha256 and, ``with_text``, left (binary; null where the text stays as it is)."""
+    n_spans, kept_sha256 and, ``with_text``, left (the rest without bytes of characters that were cut
+    through; null where the text stays as it is)."""
     if not 0 < gram <= span:
         raise ValueError("the gram has to fit into the span")
     spark = docs.sparkSession
@@ -283,12 +284,12 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "
                    zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             columns = [batch.column(0), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()),
                        pa.array([hashlib.sha256(o[0]).hexdigest() for o in out])]
-            yield pa.RecordBatch.from_arrays(columns + ([pa.array([o[0] for o in out], pa.binary())] if with_text else []),
+            yield pa.RecordBatch.from_arrays(columns + ([pa.array([o[0].decode("utf-8", "ignore") for o in out])] if with_text else []),
                                              ["key", "removed", "runs", "sha", *(["rest"] if with_text else [])])
 
     # Rows of one text and one id give the same row here: distinct.
     single = candidates.where("copies = 1").join(spans, "key").select("key", "text", "spans").mapInArrow(
-        remove, "key binary, removed long, runs long, sha string" + (", rest binary" if with_text else ""))
+        remove, "key binary, removed long, runs long, sha string" + (", rest string" if with_text else ""))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= span)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     judged = classes.join(single, "key", "left").select(
@@ -296,7 +297,7 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(whole, 1).otherwise(F.coalesce("runs", F.lit(0))).cast("long").alias("n_spans"),
         F.when(whole, nothing).otherwise(F.coalesce("sha", F.lower(F.hex("digest")))).alias("kept_sha256"),
-        *([F.when(whole, F.lit(b"")).otherwise(F.col("rest")).alias("left")] if with_text else []))
+        *([F.when(whole, F.lit("")).otherwise(F.col("rest")).alias("left")] if with_text else []))
     return rows.select("id", "key"), judged
 
 
@@ -307,5 +308,20 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
+                    length_col: str | None = None) -> DataFrame:
+    """The documents, all columns, with what is left of their texts (and, in ``length_col``, its length).
+    A document that was cut and has no word left goes."""
+    rows, judged = repeats(docs, span, gram, id_col, text_col, with_text=True)
+    changed = judged.where("n_removed > 0").select("key", "copies", "left")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key(_bytes(text_col)).alias("key"))
+    out = join_by_class(whole, changed, "key", "copies", rows.count(), "left")
+    cut = F.col("left").isNotNull()
+    new = {text_col: F.col("left"), **({length_col: F.length("left").cast(docs.schema[length_col].dataType)} if length_col else {})}
+    kept = out.where(~cut | F.col("left").rlike(WORD))
+    return kept.select(*[(F.when(cut, new[c]).otherwise(F.col(f"row.`{c}`")) if c in new else F.col(f"row.`{c}`")).alias(c)
+                         for c in docs.columns])
+
+
 def op10_query(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs)
