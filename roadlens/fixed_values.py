@@ -188,6 +188,10 @@ ENVELOPE_DEFAULT_CONFIDENCE = 1.0
 # Latest-metric time to live, seconds.
 METRIC_TTL_SECONDS = 300
 
+# Spellings of a missing value in a CSV (the empty one is missing by itself).
+MISSING_TOKENS = ["#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                  "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
 # Fuzzy street matching threshold.
 FUZZY_THRESHOLD = 0.7
 # First row id of the positional street list.

@@ -29,7 +29,7 @@ from roadlens import fixed_values as fv
 
 NODE_SCHEMA = ("tree_id long, node_id long, feature int, threshold double, left long, right long, "
                "size long, depth int, leaf boolean")
-_HASH_RANGE = 1 << 30
+_HASH_RANGE = 1 << 62
 
 
 def _c(n: float) -> float:
@@ -77,7 +77,8 @@ def fit(df: DataFrame, features: list[str], key: str, trees: int = fv.IFOREST_TR
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     rate = min(1.0, 2.0 * psi / max(n, 1))
-    limit = int(rate * _HASH_RANGE)
+    # About 2 psi rows per tree, also of 1e15 rows: the range leaves thousands of hashes for them.
+    limit = max(int(rate * _HASH_RANGE), 1)
     h = lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(_HASH_RANGE))
     picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: h(t) < F.lit(limit))
     cand = (df.select(key, *features, F.explode(picked).alias("tree_id"))

@@ -31,12 +31,13 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Dat
 def merge(target: DataFrame, source: DataFrame, key: str, order: list[str],
           as_of: dt.datetime | None = None, audit: bool = True) -> DataFrame:
     """Insert-or-overwrite by key: the latest source row per key replaces the
-    target row (all non-key fields); target-only keys are kept.  ``op`` is
-    insert, update or keep; created_at survives updates, updated_at is the
-    merge time for every written row."""
+    target row (all fields that the source has); target-only keys are kept, and
+    so are the values of columns that only the target has.  ``op`` is insert,
+    update or keep; created_at survives updates, updated_at is the merge time
+    for every written row.  Columns: the source's, then the target's others."""
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     src = latest_per_key(source, key, order)
-    payload = [c for c in source.columns if c != key]
+    payload = [c for c in source.columns if c not in ((key, "created_at", "updated_at", "op") if audit else (key, "op"))]
     t_cols = target.columns
     t = target.select(key, *[F.col(c).alias(f"t__{c}") for c in t_cols if c != key],
                       F.lit(True).alias("__t"))
@@ -48,6 +49,8 @@ def merge(target: DataFrame, source: DataFrame, key: str, order: list[str],
     for c in payload:
         t_val = F.col(f"t__{c}") if c in t_cols else F.lit(None)
         cols.append(F.when(in_s, F.col(f"s__{c}")).otherwise(t_val).alias(c))
+    audited = ("created_at", "updated_at") if audit else ()
+    cols += [F.col(f"t__{c}").alias(c) for c in t_cols if c not in (key, "op", *payload, *audited)]
     cols.append(F.when(in_s & in_t, "update").when(in_s, "insert").otherwise("keep").alias("op"))
     if audit:
         now = F.lit(as_of).cast("timestamp_ntz")

@@ -10,34 +10,59 @@ from pyspark.sql import types as T
 from roadlens import fixed_values as fv
 
 
-def read_inventory_csv(spark: SparkSession, paths, columns=None) -> DataFrame:
-    """CSV with a header, every column read as STRING (coercion comes later).
+def read_inventory_csv(spark: SparkSession, paths, columns=None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header, every column read as STRING (coercion comes later);
+    the usual spellings of a missing value are read as NULL.
 
-    The header is read by Spark; nothing is inferred."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    Nothing is inferred, and files are split: only ``multi_line`` (line ends
+    inside quotes) takes a whole file in one task."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     else:
         reader = reader.option("inferSchema", False)
-    return reader.csv(paths)
+    df = reader.csv(paths)
+    return df.select(*[F.when(~F.col(f"`{c}`").isin(fv.MISSING_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
 def read_export_json(spark: SparkSession, paths, schema: T.StructType | None = None,
-                     json_lines: bool | None = None) -> DataFrame:
-    """JSON export: a bare list of records or an object holding a ``records``
-    list (one document per file), or JSON Lines (one record per line, as Spark
-    writes them; chosen when the path is a directory).  Anything else yields
-    no rows.  Values are read as text; coercion comes later."""
-    if json_lines is None:
-        first = paths if isinstance(paths, str) else paths[0]
-        json_lines = _is_dir(spark, first)
-    reader = spark.read.option("multiLine", not json_lines).option("primitivesAsString", True)
-    raw = reader.schema(schema).json(paths) if schema is not None else reader.json(paths)
-    if "records" in raw.columns and isinstance(raw.schema["records"].dataType, T.ArrayType):
-        return raw.select(F.inline("records"))
-    if "_corrupt_record" in raw.columns and len(raw.columns) == 1:
-        return raw.limit(0)
-    return raw
+                     shape: str | None = None) -> DataFrame:
+    """JSON export: documents (a bare list of records, or an object holding a
+    ``records`` list; one per file) or JSON Lines (one record per line).
+
+    ``shape`` is "documents" or "lines"; without it each file's own lines
+    decide: a file is JSON Lines if every line that is not blank is an object
+    of its own.  Text that is no JSON fails the read.  Values are read as text;
+    coercion comes later."""
+    if shape is None:
+        by_file = _json_shapes(spark, paths)
+    else:
+        by_file = {shape: [paths] if isinstance(paths, str) else list(paths)}
+    parts = []
+    for kind, files in sorted(by_file.items()):
+        reader = (spark.read.option("multiLine", kind == "documents").option("primitivesAsString", True)
+                  .option("mode", "FAILFAST"))
+        raw = reader.schema(schema).json(files) if schema is not None else reader.json(files)
+        if "records" in raw.columns and isinstance(raw.schema["records"].dataType, T.ArrayType):
+            raw = raw.select(F.inline("records"))
+        parts.append(raw)
+    if not parts:
+        return spark.createDataFrame([], schema or T.StructType([]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def _json_shapes(spark: SparkSession, paths) -> dict[str, list[str]]:
+    """The files by shape (a row per file reaches the driver, as in any listing)."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
+    is_object = F.col("line").startswith("{") & F.get_json_object("line", "$").isNotNull()
+    files = (lines.filter(F.col("line") != "").groupBy("file").agg(F.min(is_object.cast("int")).alias("lines")).collect())
+    out: dict[str, list[str]] = {}
+    for r in files:
+        out.setdefault("lines" if r["lines"] else "documents", []).append(r["file"])
+    return {k: sorted(v) for k, v in out.items()}
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
@@ -52,13 +77,6 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*walk(df.schema, []))
 
 
-def _is_dir(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's Hadoop file system."""
     jvm = spark.sparkContext._jvm
@@ -107,20 +125,25 @@ def read_reference_names(spark: SparkSession, paths) -> DataFrame:
 
 def read_positional_lines(spark: SparkSession, path: str, first_id: int = fv.POSITIONAL_FIRST_ID,
                           blank: str = "N/A") -> DataFrame:
-    """Lines with their position: row ids count from ``first_id`` in file
-    order; a blank line becomes ``blank``.
+    """Lines with their position: row ids count from ``first_id`` by file name,
+    then line; a blank line becomes ``blank``.
 
-    zipWithIndex numbers lines across partitions without collecting them
-    (one extra job counts the partition sizes)."""
+    Lines of one split of a file are read in order, so their running id tells
+    their place in the split; a table of the splits (a row each) gives the
+    place of a split's first line."""
+    from pyspark.sql import Window
     from roadlens.functions.coerce import PY_WHITESPACE
-    from roadlens.session import ship_package
-    ship_package(spark)
-    text = spark.read.text(path)
-    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField("idx", T.LongType())])
-    indexed = spark.createDataFrame(text.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])), schema)
-    s = F.btrim(F.col("line"), F.lit(PY_WHITESPACE))
-    return indexed.select((F.col("idx") + F.lit(first_id)).alias("row_id"),
-                          F.when(s == "", F.lit(blank)).otherwise(s).alias("line"))
+    split = ["file", "start"]
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    splits = (lines.groupBy(*split).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+              .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
+    s = F.btrim(F.col("value"), F.lit(PY_WHITESPACE))
+    return (lines.join(splits, split)
+            .select((F.col("before") + F.col("id") - F.col("first") + F.lit(first_id)).alias("row_id"),
+                    F.when(s == "", F.lit(blank)).otherwise(s).alias("line")))
 
 
 def read_attachment_folder(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:

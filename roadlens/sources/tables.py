@@ -15,21 +15,24 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+#: Tables up to this size are dealt to all cores; larger ones have splits enough.
+SPREAD_BYTES = 256 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
+    """Deal the rows of a small table to at least one partition per core.
 
     A file written as a single row group is read by one task however many
-    splits it has, and every row-local step after it (joins against broadcast
-    sides, projections, Python UDFs) inherits that single task.  When the
-    scan has fewer partitions than the cluster's default parallelism, rows
-    are dealt round-robin to that many partitions.  A large input (thousands
-    of splits) is left untouched, so at scale this adds no shuffle."""
+    splits it has, and every row-local step after it inherits that task.  Only
+    tables up to SPREAD_BYTES are dealt anew; a larger one is read as it lies
+    and costs no shuffle, whatever the number of cores."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if int(str(size)) <= SPREAD_BYTES and df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
 
@@ -65,7 +68,7 @@ select event_id, ts, 'loc-' || cast(user_id as varchar(20)) as location, event_t
   cast(floor(value * 10) as bigint) as volume,
   case when event_id % 41 = 0 then null else value end as average_speed,
   case when user_id % 5 = 0 then null else 30 + 10 * (user_id % 5) end as speed_limit,
-  cast(props as varchar(200)) as props
+  props
 from {events}
 """
 

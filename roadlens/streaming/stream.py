@@ -21,26 +21,34 @@ from roadlens import fixed_values as fv
 from roadlens.functions import derive as D
 from roadlens.operators.upsert import VersionedTable, latest_per_key
 
-# Message schema: the consumer's keys plus the producer's names (speed, timestamp).
-MESSAGE_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("location", T.StringType()),
-    T.StructField("volume", T.DoubleType()),
-    T.StructField("average_speed", T.DoubleType()),
-    T.StructField("speed", T.DoubleType()),
-    T.StructField("speed_limit", T.DoubleType()),
-    T.StructField("_corrupt_record", T.StringType()),
-])
+# Message schema: the consumer's keys plus the producer's names (speed, timestamp).  Fields are read
+# as text and cast one by one, so that a bad field is a missing one and not a lost message.
+MESSAGE_FIELDS = {"event_id": "string", "ts": "timestamp_ntz", "timestamp": "timestamp_ntz", "location": "string",
+                  "volume": "double", "average_speed": "double", "speed": "double", "speed_limit": "double"}
+_MESSAGE_TEXT = T.StructType([T.StructField(n, T.StringType()) for n in (*MESSAGE_FIELDS, "_corrupt_record")])
+
+
+def _parsed(raw: DataFrame, value_col: str) -> DataFrame:
+    text = F.col(value_col).cast("string")
+    return raw.select(text.alias("__text"), F.from_json(
+        text, _MESSAGE_TEXT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("m"))
+
+
+_READABLE = F.col("m").isNotNull() & F.col("m._corrupt_record").isNull()
 
 
 def parse_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON payloads to columns; malformed payloads are dropped."""
-    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA,
-                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("m"))
-    return (parsed.filter(F.col("m").isNotNull() & F.col("m._corrupt_record").isNull())
-                  .select("m.*").drop("_corrupt_record"))
+    """JSON payloads to columns: event_id as text, ``ts`` from ``ts`` or the producer's ``timestamp``, numbers; a
+    value that cannot be read is null.  Text that is no JSON object goes to :func:`rejected_messages`."""
+    m = _parsed(raw, value_col).filter(_READABLE)
+    cols = {n: F.col(f"m.{n}") if t == "string" else F.col(f"m.{n}").try_cast(t) for n, t in MESSAGE_FIELDS.items()}
+    cols["ts"] = F.coalesce(cols["ts"], cols.pop("timestamp"))
+    return m.select(*[c.alias(n) for n, c in cols.items()])
+
+
+def rejected_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """The payloads that :func:`parse_messages` leaves out, as text."""
+    return _parsed(raw, value_col).filter(~F.coalesce(_READABLE, F.lit(False))).select(F.col("__text").alias("value"))
 
 
 def enrich(events: DataFrame, processed_at: Column | None = None) -> DataFrame:
