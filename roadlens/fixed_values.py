@@ -219,6 +219,29 @@ EXPORT_BLANK_FIELDS = ["requestTrackingNumber", "percentileSpeed95", "locationWa
                        "reportType", "initialSpeedCushions", "initialSpeedHumps",
                        "initialSpeedBumps", "otherDeviceInformation", "numSpeedCushions",
                        "numIslands"]
+# Old database columns of the nested export, in order; the key is oldDB_ and the name without spaces.
+LEGACY_OLD_FIELDS = [
+    "newid", "Initiator", "Request Received", "Semi-formal Initiation", "Investigator", "Ward Number/Name",
+    "Councillors", "Community Council", "Community Council 2018", "Petition Waived by Council",
+    "Community Safety Zone", "Petition Waived by GM", "Traffic Plan Requested", "Traffic Plan Received",
+    "Staff Recommended", "Staff Recommended(YES/NO)", "Actual Cost", "Account Number", "Budget Year",
+    "1st Recommendations Amended", "1st Recommendations Amended(YES/NO)", "New Polling Waived",
+    "Date Poll Sent Out", "Date Poll Closed", "% Poll Response", "% Support", "Negative Poll", "Poll Result 2",
+    "Poll Result", "EA 1st Notice of Commencement", "EA 2nd Notice of Commencement",
+    "Start Road Alteration Advertising", "End Road Alteration Advertising", "Second Report Date to CC",
+    "Council Approved", "Recommendations Amended", "Recommendations Amended(YES/NO)",
+    "EA Notice of Completion Open", "EA Notice of Completion Closed", "Field Marks - Received",
+    "Field Marks - Marked By", "Field Marks - Completed", "Signage Date - Requested",
+    "Construction Details Referred To", "Construction Details Received", "Construction Details Consideration",
+    "Construction Details Section", "Person Notified", "Date of Notification", "Frmr CoT Point Value",
+    "Number of INJ Collisions", "Number of PDO Collisions", "Number of Ped & Bike Factors", "Old Ward Number",
+    "Old Ward Name", "New Ward Name", "New Ward #-Name 2018", "Old Community Council", "Warrant 1", "Warrant 2",
+    "Warrant 3", "Total Number of Devices", "Position", "First Report Date to Standing Committee",
+    "2nd Recommendations Amended", "2nd Recommendations Amended(YES/NO)", "Maintenance Year", "Ward2018", "NewDist",
+]
+# Keys at the end of the nested export: two empty lists, then four empty texts.
+EXPORT_EMPTY_LISTS = ["appendItems", "uploadDraftPlan"]
+EXPORT_BLANK_TAIL = ["requestTrackingNumberDescription", "eligibility", "eligibilityReasons", "eligibilityOther"]
 # Council report keys.
 REPORT_KEYS = ["ccAgendaItem", "ccApproval", "ccRecommendation", "ccReportDate", "ccReportLink"]
 

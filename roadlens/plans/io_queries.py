@@ -99,7 +99,7 @@ def q_payload_parse(spark, sf):
     msg = F.to_json(F.struct("event_id", "location", "volume", "average_speed", "speed_limit"))
     raw = e.select(F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("{broken "), msg)).otherwise(msg).alias("value"))
     p = S.parse_messages(raw)
-    return p.select("event_id", F.coalesce("location", F.lit("unknown")).alias("location"), "volume",
+    return p.select(F.col("event_id").cast("bigint").alias("event_id"), F.coalesce("location", F.lit("unknown")).alias("location"), "volume",
                     "average_speed", "speed_limit")
 
 

@@ -68,6 +68,32 @@ def q_upsert_counts(spark, sf):
     return U.merge_counts(q_upsert_merge(spark, sf))
 
 
+@register("upsert_merge_wide", ("K2", "K3", "W2"), with_views(f"""
+WITH t AS (SELECT x.*, 'kept ' || record_id AS local_note, TIMESTAMP '2023-05-01 00:00:00' AS created_at,
+             TIMESTAMP '2023-06-01 00:00:00' AS updated_at
+           FROM ({_latest_sql(f"WHERE received_analysis_date < DATE '{SPLIT_DATE}'")}) x),
+s AS ({_latest_sql(f"WHERE received_analysis_date >= DATE '{SPLIT_DATE}'")})
+SELECT coalesce(s.record_id, t.record_id) AS record_id, t.local_note,
+  CASE WHEN s.record_id IS NOT NULL THEN s.volume_vpd ELSE t.volume_vpd END AS volume_vpd,
+  CASE WHEN s.record_id IS NOT NULL AND t.record_id IS NOT NULL THEN 'update'
+       WHEN s.record_id IS NOT NULL THEN 'insert' ELSE 'keep' END AS op,
+  coalesce(t.created_at, TIMESTAMP '{AS_OF}') AS created_at,
+  CASE WHEN s.record_id IS NOT NULL THEN TIMESTAMP '{AS_OF}' ELSE t.updated_at END AS updated_at
+FROM t FULL OUTER JOIN s ON t.record_id = s.record_id
+""", "devices"))
+def q_upsert_merge_wide(spark, sf):
+    """A target with a column and audit times of its own: they survive the merge."""
+    d = T.devices(spark, sf)
+    split = F.lit(SPLIT_DATE).cast("date")
+    target = U.latest_per_key(d.filter(F.col("received_analysis_date") < split), "record_id", ORDER).withColumns({
+        "local_note": F.concat(F.lit("kept "), "record_id"),
+        "created_at": F.lit("2023-05-01 00:00:00").cast("timestamp_ntz"),
+        "updated_at": F.lit("2023-06-01 00:00:00").cast("timestamp_ntz")})
+    source = d.filter(F.col("received_analysis_date") >= split)
+    return U.merge(target, source, "record_id", ORDER, as_of=AS_OF).select(
+        "record_id", "local_note", "volume_vpd", "op", "created_at", "updated_at")
+
+
 _CAMEL = {v: k for k, v in fv.CAMEL_TO_CANONICAL.items()}
 _ENV_TS = AS_OF.isoformat()
 
@@ -84,20 +110,30 @@ FROM c
 """, "devices"))
 def q_event_envelope(spark, sf):
     c = E.canonicalize(E.raw_inventory(T.devices(spark, sf)))
-    meta = F.struct(*[(F.coalesce(F.col(n).cast("string"), F.lit("")) if k == "d" else F.col(n)).alias(_CAMEL[n])
-                      for n, k in E.CANONICAL])
-    env = c.select(
-        F.col("record_id").alias("event_id"), F.lit(_ENV_TS).alias("timestamp"),
-        F.concat_ws(" & ", "street_name", "intersection1").alias("location"),
-        F.lit(fv.ENVELOPE_EVENT_TYPE).alias("event_type"), F.lit(fv.ENVELOPE_SEVERITY).alias("severity"),
-        F.col("volume_vpd").alias("volume"), F.col("average_speed").alias("speed"),
-        F.lit(fv.ENVELOPE_DEFAULT_CONFIDENCE).alias("confidence"), meta.alias("metadata"))
-    return keyed_envelope(env, "event_id")
+    return keyed_envelope(N.event_envelope(c, F.lit(_ENV_TS)), "event_id")
+
+
+@register("envelope_roundtrip", ("K4", "S7", "N7", "R1", "F29"), with_views(f"""
+WITH c AS ({_canonical_sql()})
+SELECT record_id AS event_id, TIMESTAMP '{AS_OF}' AS ts, street_name || ' & ' || intersection1 AS location,
+  CAST(volume_vpd AS DOUBLE) AS volume, average_speed,
+  CASE WHEN average_speed < CAST(50.0 AS DOUBLE) * CAST(0.7 AS DOUBLE) THEN 'high'
+       WHEN average_speed < CAST(50.0 AS DOUBLE) * CAST(0.9 AS DOUBLE) THEN 'medium' ELSE 'low' END AS congestion_level,
+  TIMESTAMP '{AS_OF}' + INTERVAL 5 SECOND AS processed_at
+FROM c
+""", "devices"))
+def q_envelope_roundtrip(spark, sf):
+    """The consumer reads every envelope of the producer."""
+    from roadlens.streaming import stream as S
+    envelopes = q_event_envelope(spark, sf)
+    return S.enrich(S.parse_messages(envelopes), F.lit(str(AS_OF + dt.timedelta(seconds=5))).cast("timestamp_ntz"))
 
 
 # --- nested export (oracle side helpers) -------------------------------------
 
 _CLEAN = sql_lit(X.CLEAN_CLASS)
+_EMPTY = "''"          # an empty text in SQL
+_HASH = "'#'"
 
 
 def _s_text(c):
@@ -125,10 +161,11 @@ def _s_total():
 
 
 def _s_report(cols):
-    f = [f"'bylawApprovalDate': {_s_date_or('bylaw_approval_date', chr(39) * 2)}",
+    f = [f"'bylawApprovalDate': {_s_date_or('bylaw_approval_date', _EMPTY)}",
          f"'bylawNumber': {_s_text('bylaw_number')}", "'ccReportType': ''", "'councilDeclined': ''"]
     for key, c in zip(fv.REPORT_KEYS, cols):
-        f.append(f"'{key}': {_s_date_or(c, f'replace({c}, {sql_lit(chr(35))}, {chr(39) * 2})')}")
+        plain = f"regexp_replace(replace({c}, {_HASH}, {_EMPTY}), {_CLEAN}, {_EMPTY}, 'g')"
+        f.append(f"'{key}': {_s_date_or(c, plain)}")
     return "{" + ", ".join(f) + "}"
 
 
@@ -148,15 +185,17 @@ def _s_removal():
 
 def _s_maintenance():
     one = ("[{'maintenanceReason': '', 'reinstallationContractNumber': coalesce(reinstallation_contract_num, ''), "
-           f"'reinstallationDate': {_s_date_or('reinstallation_date', chr(39) * 2)}, "
+           f"'reinstallationDate': {_s_date_or('reinstallation_date', _EMPTY)}, "
            "'reinstallationLocation': '', 'reinstallationType': ''}]")
     filled = f"{_s_nonempty('reinstallation_contract_num')} OR {_s_nonempty('reinstallation_date')}"
     return f"(CASE WHEN {filled} THEN {one} ELSE list_filter({one}, lambda x: false) END)"
 
 
 def _s_legacy_data():
-    return "{" + ", ".join(f"'{k}': coalesce(CAST({c} AS VARCHAR), '0')"
-                           for (_, k), c in zip(fv.LEGACY_DEVICE_FIELDS, N.LEGACY_COUNT_COLS)) + "}"
+    f = [f"'{k}': coalesce(CAST({c} AS VARCHAR), '0')" for (_, k), c in zip(fv.LEGACY_DEVICE_FIELDS, N.LEGACY_COUNT_COLS)]
+    # The view's old columns are dates where their name says so; the other texts hold no date.
+    f += [f"'oldDB_{n.replace(' ', '')}': {_s_text(f'old_{i}')}" for i, n in enumerate(fv.LEGACY_OLD_FIELDS)]
+    return "{" + ", ".join(f) + "}"
 
 
 def _s_export():
@@ -164,17 +203,26 @@ def _s_export():
     for key, c in (("streetName", "street_name"), ("intersection1", "intersection1"), ("intersection2", "intersection2")):
         f.append(f"'{key}': regexp_replace({sql_standardise(c)}, {_CLEAN}, '', 'g')")
     f += [f"'roadType': {_s_text('road_type')}",
-          f"'requestedAnalysisInfoDate': {_s_date_or('requested_analysis_date', chr(39) * 2)}",
-          f"'receivedAnalysisInfoDate': {_s_date_or('received_analysis_date', chr(39) * 2)}",
+          f"'requestedAnalysisInfoDate': {_s_date_or('requested_analysis_date', _EMPTY)}",
+          f"'receivedAnalysisInfoDate': {_s_date_or('received_analysis_date', _EMPTY)}",
+          f"'streetOperation': {_s_text('street_operation')}",
           f"'volume': {_s_text('volume_vpd')}", f"'postedSpeedLimit': {_s_text('posted_speed_limit')}",
-          f"'comments': {_s_text('comments')}",
+          f"'averageSpeed': {_s_text('average_speed')}", f"'percentileSpeed85': {_s_text('percentile_speed_85')}",
+          f"'analysisRecommended': {_s_text('analysis_recommended')}", f"'planNumber': {_s_text('plan_number')}",
+          f"'estimatedCost': {_s_text('estimated_cost')}", f"'comments': {_s_text('comments')}",
           "'numSpeedHumps': coalesce(CAST(num_speed_humps AS VARCHAR), '0')",
           "'numSpeedBumps': coalesce(CAST(num_speed_bumps AS VARCHAR), '0')"]
     f += [f"'{k}': ''" for k in fv.EXPORT_BLANK_FIELDS]
     f += [f"'otherDeviceTotal': {_s_total()}", f"'otherDeviceTypes': {_s_device_items()}",
           "'priorityRanking': coalesce(CAST(priority_ranking AS VARCHAR), '')",
           f"'legacy_data': {_s_legacy_data()}", f"'ccReportItems': {_s_reports()}",
+          "'initialInstallationDate': coalesce(CAST(signage_installed_date AS VARCHAR), '')",
+          "'initialSignageRequestNumber': ''",
+          "'initialCompletionDate': coalesce(CAST(TRY_CAST(construction_completion_date AS DATE) AS VARCHAR), '')",
+          "'initialInstallationContractNumber': coalesce(installation_contract_num, '')",
           f"'removalItems': {_s_removal()}", f"'maintenanceItems': {_s_maintenance()}"]
+    f += [f"'{k}': list_filter([''], lambda x: false)" for k in ("appendItems", "uploadDraftPlan")]
+    f += [f"'{k}': ''" for k in ("requestTrackingNumberDescription", "eligibility", "eligibilityReasons", "eligibilityOther")]
     return "{" + ", ".join(f) + "}"
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadlens import fixed_values as fv
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -106,10 +108,30 @@ select record_id, status, street_name, intersection1, intersection2, road_type,
   case when src_suppkey % 11 = 0 then 'Worn' else null end as maintenance_reason,
   case when src_suppkey % 11 = 0 then 'MC-' || cast(src_suppkey as varchar(20)) else null end as reinstallation_contract_num,
   case when src_suppkey % 11 = 0 then cast(requested_analysis_date as varchar(20)) else null end as reinstallation_date,
+  street_operation, average_speed, percentile_speed_85, estimated_cost,
+  case when src_orderkey % 3 = 0 then null else 'Staff ' || cast(src_suppkey % 10 as varchar(20)) end as analysis_recommended,
+  case when src_partkey % 8 = 0 then null else 'PD-' || cast(src_partkey as varchar(20)) end as plan_number,
+  case when src_orderkey % 5 = 0 then received_analysis_date else null end as signage_installed_date,
+  case when src_orderkey % 10 = 0 then cast(requested_analysis_date as varchar(20)) when src_orderkey % 10 = 5 then 'soon' else null end as construction_completion_date,
+  case when src_suppkey % 7 = 0 then 'IC-' || cast(src_suppkey as varchar(20)) else null end as installation_contract_num,
+  {old_fields},
   comments
 from {devices}
 """
 
+
+def _old_field(i: int, name: str) -> str:
+    """An old database column: a date where its name says so, else text (with a tab now and then) or a number."""
+    if "Date" in name:
+        return f"case when src_orderkey % {3 + i % 5} = 0 then received_analysis_date else null end as old_{i}"
+    if "Number" in name:
+        return f"cast((src_suppkey + {i}) % 100 as bigint) as old_{i}"
+    return (f"case when src_partkey % {4 + i % 7} = 0 then null when src_orderkey % 11 = 0 then 'v' || chr(9) || '{i}' "
+            f"else 'v' || cast((src_suppkey + {i}) % 100 as varchar(20)) end as old_{i}")
+
+
+LEGACY_SQL = LEGACY_SQL.replace("{old_fields}", ",\n  ".join(_old_field(i, n) for i, n in enumerate(fv.LEGACY_OLD_FIELDS)))
+
 # Attachments: each document is a file of one of 30 device records (so that
 # records hold many files); the source is the folder, the extension follows
 # doc_id % 4, and names like 12.pdf / 312.pdf share a suffix within a record.
