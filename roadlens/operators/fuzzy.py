@@ -3,19 +3,18 @@
 
 Plan shape, per SURVEY's strategy:
   * distinct names first (the table repeats names; each is scored once);
-  * two lossless filters on candidate pairs.  Length band: ratio = 2M / (la + lb)
-    <= 2 min(la, lb) / (la + lb), so a reference can only reach the threshold
-    when its length lies in [ceil(t la / (2 - t)), floor((2 - t) la / t)].
-    Prefix filter: the matched characters M never exceed the multiset overlap
-    of the two strings, and two multisets overlapping by >= o share a token
-    among each one's first |s| - o + 1 tokens in any fixed global order
-    (rarest characters first).  Candidates are the equi-join of those prefix
-    tokens, restricted to the band: no pair that could reach the threshold is
-    dropped, and no cap is put on the pairs that remain;
-  * the pairs are scored by a pandas UDF (difflib, with its own quick upper
-    bounds first), the best per name is an aggregation
-    ``max(struct(ratio, -position))`` (earliest reference wins ties), and the
-    result joins back to the rows.
+  * three lossless filters on candidate pairs, all in the JVM.  Length band:
+    ratio = 2M / (la + lb) <= 2 min(la, lb) / (la + lb), so a reference can only
+    reach the threshold when its length lies in [ceil(t la / (2 - t)),
+    floor((2 - t) la / t)].  Prefix: the matched characters M never exceed the
+    multiset overlap of the two strings, and two multisets overlapping by >= o
+    share a token among each one's first |s| - o + 1 tokens in any fixed global
+    order; rare letters come first, so that few pairs meet.  Overlap: of the
+    pairs that share such a token, only those whose whole overlap reaches
+    t (la + lb) / 2 go on;
+  * the remaining pairs are scored by a pandas UDF (difflib), the best per name
+    is an aggregation (greatest ratio, then earliest position), and the result
+    joins back to the rows.
 A name whose best ratio is below the threshold keeps its own text.
 """
 
@@ -30,19 +29,11 @@ from pyspark.sql import functions as F
 from roadlens import fixed_values as fv
 
 
-def _ratio_udf(threshold: float):
-    """Pair scorer: the exact ratio when it can reach the threshold, else -1
-    (decided first by difflib's cheap upper bounds)."""
+def _ratio_udf():
+    """The exact ratio of each pair."""
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
-            sm = SequenceMatcher(None, x, y)
-            if sm.real_quick_ratio() < threshold or sm.quick_ratio() < threshold:
-                out.append(-1.0)
-            else:
-                out.append(sm.ratio())
-        return pd.Series(out, dtype="float64")
+        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
     return ratio
 
 
@@ -59,71 +50,64 @@ def _min_overlap(la, t: float):
     return F.ceil((la + lb_min) * F.lit(t / 2.0) - F.lit(1e-9))
 
 
-def _prefix_tokens(text, length, t: float, rank_map):
-    """The rarest-first prefix of a string's character multiset.
+# Letters from rare to frequent in English text; other characters come before them.
+RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate"
 
-    Tokens are (character, occurrence number); the order is global (rarity of
-    the character, then occurrence).  A pair whose overlap is >= o shares a
-    token among the first |s| - o + 1 tokens of each side (prefix filtering),
-    and matching characters never exceed the overlap, so joining on these
-    tokens loses no pair that can reach the threshold."""
-    chars = F.split(text, "")
-    n = F.size(chars)
-    toks = F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.struct(
-            F.coalesce(F.try_element_at(rank_map, F.element_at(chars, i)), F.lit(0)).alias("r"),
-            F.size(F.filter(F.slice(chars, 1, i), lambda x: x == F.element_at(chars, i))).alias("k"),
-            F.element_at(chars, i).alias("c")))
-    p = length - _min_overlap(length, t) + 1
-    return F.slice(F.array_sort(toks), 1, F.greatest(p, F.lit(0)).cast("int"))
 
+def _tokens(text):
+    """A string's character multiset as tokens in the global order: (rank, character, occurrence number)."""
+    chars = F.array_sort(F.transform(F.split(text, ""), lambda c: F.struct(
+        F.instr(F.lit(RARE_FIRST), F.lower(c)).alias("r"), c.alias("c"))))
+    # Equal characters are neighbours now; a token's number is its distance from the first of them.
+    return F.transform(chars, lambda x, i: F.struct(
+        x["r"].alias("r"), x["c"].alias("c"), (i - F.array_position(chars, x).cast("int")).alias("k")))
 
-MAX_ALPHABET = 200_000
+
+def _prefix(tokens, length, t: float):
+    """The tokens of which a pair with enough overlap shares at least one."""
+    return F.slice(tokens, 1, F.greatest(length - _min_overlap(length, t) + 1, F.lit(0)).cast("int"))
+
+
+def candidate_pairs(names: DataFrame, refs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (name, __a, ref, pos, __b) that can reach the threshold by length and by overlap."""
+    n = names.withColumn("__ta", _tokens(F.col("__a")))
+    r = refs.withColumn("__tb", _tokens(F.col("__b")))
+    nt = n.select("name", "__a", "__la", "__ta", F.explode(_prefix("__ta", F.col("__la"), threshold)).alias("tok"))
+    rt = r.select("ref", "pos", "__b", "__lb", "__tb", F.explode(_prefix("__tb", F.col("__lb"), threshold)).alias("tok"))
+    lo, hi = length_band(F.col("__la"), threshold)
+    overlap = F.size(F.array_intersect("__ta", "__tb"))
+    enough = 2 * overlap >= F.lit(threshold) * (F.col("__la") + F.col("__lb")) - F.lit(1e-9)
+    return (nt.join(rt, ["tok"]).filter((F.col("__lb") >= lo) & (F.col("__lb") <= hi) & enough)
+              .select("name", "__a", "ref", "pos", "__b").distinct())
+
+
+def _normal(names: DataFrame, refs: DataFrame, name_col: str, ref_col: str, pos_col: str, lower: bool):
+    norm = (lambda c: F.lower(c)) if lower else (lambda c: c)
+    n = (names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
+              .withColumn("__a", norm(F.col("name"))).withColumn("__la", F.length("__a")))
+    r = (refs.select(F.col(ref_col).alias("ref"), F.col(pos_col).alias("pos"))
+             .withColumn("__b", norm(F.col("ref"))).withColumn("__lb", F.length("__b")).filter(F.col("__lb") > 0))
+    return n, r
 
 
 def best_matches(names: DataFrame, refs: DataFrame, name_col: str = "name", ref_col: str = "ref_name",
                  pos_col: str = "ref_pos", threshold: float = fv.FUZZY_THRESHOLD,
                  lower: bool = True) -> DataFrame:
     """For each distinct name: the best reference (if its ratio reaches the
-    threshold), its ratio, and the output text (reference or the name)."""
+    threshold), its ratio, and the output text (reference or the name).
+    ``pos_col`` orders the references; of equal ratios the earliest wins."""
     from roadlens.session import checkpoint_dir, ship_package
     checkpoint_dir(names.sparkSession)
     ship_package(names.sparkSession)
-    norm = (lambda c: F.lower(c)) if lower else (lambda c: c)
-    # Distinct names and the references are read by several steps below:
-    # write each once (they are de-duplicated, far smaller than the rows).
-    all_names = (names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
-                      .withColumn("__a", norm(F.col("name"))).withColumn("__la", F.length("__a"))
-                      .checkpoint(eager=True))
-    n = all_names.filter(F.col("__la") > 0)
-    r = (refs.select(F.col(ref_col).alias("ref"), F.col(pos_col).alias("pos"))
-             .withColumn("__b", norm(F.col("ref"))).withColumn("__lb", F.length("__b"))
-             .filter(F.col("__lb") > 0).checkpoint(eager=True))
-    # Global token order: characters by how rarely they occur (one row per
-    # distinct character; bounded by the alphabet and size-checked).
-    chars = (n.select(F.explode(F.split("__a", "")).alias("c"))
-              .unionByName(r.select(F.explode(F.split("__b", "")).alias("c")))
-              .groupBy("c").agg(F.count(F.lit(1)).alias("f")))
-    ranked = chars.orderBy("f", "c").limit(MAX_ALPHABET + 1).collect()
-    if len(ranked) > MAX_ALPHABET:
-        raise ValueError("alphabet too large for the prefix filter")
-    rank_map = F.create_map(*[v for i, row in enumerate(ranked) for v in (F.lit(row["c"]), F.lit(i + 1))]) \
-        if ranked else F.create_map().cast("map<string,int>")
-    nt = n.select("name", "__a", "__la",
-                  F.explode(_prefix_tokens(F.col("__a"), F.col("__la"), threshold, rank_map)).alias("tok"))
-    rt = r.select("ref", "pos", "__b", "__lb",
-                  F.explode(_prefix_tokens(F.col("__b"), F.col("__lb"), threshold, rank_map)).alias("tok"))
-    lo, hi = length_band(F.col("__la"), threshold)
-    pairs = (nt.join(rt, ["tok"])
-               .filter((F.col("__lb") >= lo) & (F.col("__lb") <= hi))
-               .select("name", "__a", "ref", "pos", "__b").distinct())
-    scored = pairs.withColumn("ratio", _ratio_udf(threshold)(F.col("__a"), F.col("__b")))
-    best = (scored.filter(F.col("ratio") >= threshold)
-                  .groupBy("name")
-                  .agg(F.max(F.struct(F.col("ratio"), (-F.col("pos")).alias("neg_pos"), F.col("ref"))).alias("b")))
+    n, r = _normal(names, refs, name_col, ref_col, pos_col, lower)
+    # Read by two steps below: written once (distinct names, far smaller than the rows).
+    all_names = n.checkpoint(eager=True)
+    scored = candidate_pairs(all_names.filter(F.col("__la") > 0), r, threshold) \
+        .withColumn("ratio", _ratio_udf()(F.col("__a"), F.col("__b")))
+    best = (scored.filter(F.col("ratio") >= threshold).groupBy("name")
+                  .agg(F.min(F.struct((-F.col("ratio")).alias("neg"), "pos", "ref")).alias("b")))
     out = all_names.select("name").join(best, "name", "left")
-    return out.select("name", F.col("b.ref").alias("best_ref"), F.col("b.ratio").alias("ratio"),
+    return out.select("name", F.col("b.ref").alias("best_ref"), (-F.col("b.neg")).alias("ratio"),
                       F.coalesce(F.col("b.ref"), F.col("name")).alias("matched"))
 
 
@@ -157,18 +141,3 @@ def positional_replace(bad: DataFrame, good: DataFrame, threshold: float = fv.FU
                .select("row_id", F.col("line").alias("original"),
                        F.coalesce(F.col("matched"), F.col("line")).alias("output"), "ratio")
                .orderBy("row_id"))
-
-
-def brute_force_best(name: str, refs: list[str], threshold: float = fv.FUZZY_THRESHOLD,
-                     lower: bool = True) -> str:
-    """Reference implementation for tests: scan every reference in order."""
-    if not name or not refs:
-        return name
-    best, best_r = name, 0.0
-    for ref in refs:
-        a, b = (name.lower(), ref.lower()) if lower else (name, ref)
-        r = SequenceMatcher(None, a, b).ratio()
-        if r > best_r:
-            best_r, best = r, ref
-    return best if best_r >= threshold else name
-

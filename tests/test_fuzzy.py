@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from roadlens.operators import fuzzy as Z
 
 
+def expected(name, refs, threshold=0.7, lower=True):
+    """From the specification: score every reference, take the greatest ratio and of those the earliest
+    reference, and keep the name if that ratio is below the threshold."""
+    if not name:
+        return name
+    same = str.lower if lower else str
+    ratios = [SequenceMatcher(None, same(name), same(r)).ratio() for r in refs]
+    top = max(ratios, default=0)
+    return refs[ratios.index(top)] if ratios and top >= threshold else name
+
+
 def test_ratio_cases():
     r = lambda a, b: round(SequenceMatcher(None, a, b).ratio(), 4)
     assert r("main st", "main street") == 0.7778
@@ -30,7 +41,7 @@ def test_against_brute_force(spark):
     got = {r.name: r.matched for r in Z.best_matches(
         spark.createDataFrame([(n,) for n in names], "name string"), _refs_df(spark, refs)).collect()}
     for n in set(names):
-        assert got[n] == Z.brute_force_best(n, refs), n
+        assert got[n] == expected(n, refs), n
 
 
 def test_case_sensitive_and_ties(spark):
@@ -39,8 +50,8 @@ def test_case_sensitive_and_ties(spark):
     ci = {r.name: r.matched for r in Z.best_matches(names, _refs_df(spark, refs)).collect()}
     cs = {r.name: r.matched for r in Z.best_matches(names, _refs_df(spark, refs), lower=False).collect()}
     for n in ("Main Stret", "main stret"):
-        assert ci[n] == Z.brute_force_best(n, refs, lower=True)
-        assert cs[n] == Z.brute_force_best(n, refs, lower=False)
+        assert ci[n] == expected(n, refs, lower=True)
+        assert cs[n] == expected(n, refs, lower=False)
     assert ci["main stret"] == "Main Street"   # tie after lower-casing: earliest reference wins
 
 
@@ -76,7 +87,7 @@ def test_prefix_filter_stress(spark):
     got = {r.name: r.matched for r in Z.best_matches(
         spark.createDataFrame([(n,) for n in names], "name string"), _refs_df(spark, refs)).collect()}
     for n in set(names):
-        assert got[n] == Z.brute_force_best(n, refs), n
+        assert got[n] == expected(n, refs), n
 
 
 def test_fixture_names_against_brute_force(spark):
@@ -84,7 +95,10 @@ def test_fixture_names_against_brute_force(spark):
     from roadlens.sources import tables as T
     sf = "/root/testdata/sf0.001"
     refs = [r.ref_name for r in _refs(spark, sf).orderBy("ref_pos").collect()]
+    names = T.devices(spark, sf).select(F.col("street_name").alias("name"))
+    n, r = Z._normal(names, _refs(spark, sf), "name", "ref_name", "ref_pos", True)
+    assert Z.candidate_pairs(n, r, 0.7).count() < 0.5 * n.count() * r.count()
     got = {r.name: r.matched for r in
            Z.best_matches(T.devices(spark, sf).select(F.col("street_name").alias("name")), _refs(spark, sf)).collect()}
     for n, m in got.items():
-        assert m == Z.brute_force_best(n, refs), n
+        assert m == expected(n, refs), n
