@@ -250,6 +250,9 @@ IFOREST_TREES = 100
 IFOREST_SAMPLE = 256
 IFOREST_CONTAMINATION = 0.1
 SEED = 42
+# Features of a prediction request that does not name them.
+FEATURE_DEFAULTS = {"speed_limit": 50, "average_speed": 45, "percentile_speed_85": 55, "time_of_day": 12,
+                    "day_of_week": 1, "road_type_encoded": 2}
 # Boosted trees settings.
 GBT_ROUNDS = 100
 GBT_DEPTH = 6

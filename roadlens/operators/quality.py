@@ -36,7 +36,7 @@ def completeness(df: DataFrame) -> DataFrame:
                  *[F.count(F.col(f"`{c}`")).alias(f"__nn{i}") for i, c in enumerate(cols)])
     entries = [(c, [F.col("__n"), F.col(f"__nn{i}")]) for i, c in enumerate(cols)]
     out = _long(agg, entries, ["column", "total_values", "non_null_values"])
-    pct = F.col("non_null_values") * F.lit(100.0) / F.col("total_values")
+    pct = F.try_divide(F.col("non_null_values") * F.lit(100.0), F.col("total_values"))
     return out.select(
         "column", "position", "total_values", "non_null_values",
         (F.col("total_values") - F.col("non_null_values")).alias("null_count"),
@@ -47,13 +47,18 @@ def completeness(df: DataFrame) -> DataFrame:
 def duplicates(df: DataFrame) -> DataFrame:
     """Rows repeating an earlier identical row (NULLs equal): count, %, acceptable.
 
-    Grouping by every column is exact; partial aggregation collapses hot
-    duplicate groups before the shuffle."""
-    g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__c"))
-    agg = g.agg(F.sum(F.col("__c") - 1).alias("count"), F.sum("__c").alias("__n"))
-    share = F.col("count") / F.col("__n")
-    return agg.select(F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
-                      (share * 100).alias("percentage"),
+    Rows are grouped by two 64-bit hashes first, so only these are shuffled;
+    the groups with several rows are then counted by their real columns.
+    Partial aggregation collapses hot groups before either shuffle."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.withColumns({"__h1": F.xxhash64(*cols), "__h2": F.xxhash64(F.lit(1), *reversed(cols))})
+    groups = hashed.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__c"))
+    total = groups.agg(F.coalesce(F.sum("__c"), F.lit(0)).alias("__n"))
+    several = groups.filter(F.col("__c") > 1).select("__h1", "__h2")
+    exact = hashed.join(several, ["__h1", "__h2"], "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("__c"))
+    agg = exact.agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).alias("count")).crossJoin(total)
+    share = F.try_divide(F.col("count"), F.col("__n"))
+    return agg.select(F.col("count").cast("bigint").alias("count"), (share * 100).alias("percentage"),
                       (share < F.lit(fv.DUPLICATE_ACCEPTABLE_SHARE)).alias("is_acceptable"))
 
 
@@ -272,7 +277,7 @@ def _sections_from_profile(df: DataFrame, prof: DataFrame, numeric: list[str]):
     # completeness
     comp = _long(prof, [(c, [F.col("__n"), F.col(f"__nn{i}")]) for i, c in enumerate(cols)],
                  ["column", "total_values", "non_null_values"])
-    pct = F.col("non_null_values") * F.lit(100.0) / F.col("total_values")
+    pct = F.try_divide(F.col("non_null_values") * F.lit(100.0), F.col("total_values"))
     comp = comp.select("column", "position", "total_values", pct.alias("completeness_percentage"),
                        (pct >= F.lit(fv.COMPLETE_PCT)).alias("is_complete"))
     # column rules
@@ -323,11 +328,11 @@ def quality_score(df: DataFrame, anomalies: DataFrame | None = None,
     if anomalies is not None:
         anom = anomalies.select("severity")
     dup = duplicates(df)
-    c = comp.agg(F.sum(F.when(~F.col("is_complete"),
+    c = comp.agg(F.sum(F.when(~F.coalesce("is_complete", F.lit(True)),
                               (F.lit(100.0) - F.col("completeness_percentage")) / F.lit(1000.0))
                        .otherwise(F.lit(0.0))).alias("d_completeness"),
                  F.max("total_values").alias("total_records"))
-    d = dup.select(F.when(~F.col("is_acceptable"), F.col("percentage") / F.lit(100.0))
+    d = dup.select(F.when(~F.coalesce("is_acceptable", F.lit(True)), F.col("percentage") / F.lit(100.0))
                    .otherwise(F.lit(0.0)).alias("d_duplicates"))
     r = rules.agg(F.sum("issue_count").alias("column_issues"))
     a = anom.agg(F.coalesce(F.sum(F.when(F.col("severity") == "high", F.lit(0.1))

@@ -203,8 +203,9 @@ def volume_pivot(df: DataFrame, classes=tuple(ROAD_CLASSES)) -> DataFrame:
 
 
 def value_counts(df: DataFrame, key: str, name: str = "count") -> DataFrame:
+    """Rows per value, the most frequent first (of equals, by value)."""
     return (df.filter(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.count(F.lit(1)).alias(name)))
+              .agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), key))
 
 
 def histogram(df: DataFrame, value: str = "volume_vpd", key: str = "road_type",
