@@ -33,7 +33,7 @@ def suffix_matches(local: DataFrame, returned: DataFrame, key: str = "record_id"
     name ends with the local name; a file with no match keeps one row of NULLs."""
     n = F.length(F.col(returned_name))
     suffixes = returned.select(
-        "*", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("__start"))
+        "*", F.explode(F.sequence(F.lit(1), n + 1)).alias("__start"))     # the last one is the empty suffix
     suffixes = suffixes.withColumn("__suffix", F.substring(F.col(returned_name), F.col("__start"), 10 ** 9))
     hits = (suffixes.drop("__start")
             .withColumnRenamed(key, "__k"))
@@ -66,3 +66,15 @@ def uploads_per_record(files: DataFrame, key: str = "record_id") -> DataFrame:
     return (files.groupBy(key)
                  .agg(F.count(F.lit(1)).alias("n_files"),
                       F.to_json(F.array_sort(F.collect_list(item))).alias("uploads")))
+
+
+def upload_results(files: DataFrame, returned: DataFrame, key: str = "record_id") -> DataFrame:
+    """Per record: the uploaded files with content type and BIN_ID, the list of returned entries whose name ends
+    with the file's (empty without any), by name.  Files are capped per record, and an entry matches by suffix, so
+    the lists are bounded by a record's own entries."""
+    hits = suffix_matches(files.select(key, "file_name"), returned, key)
+    entry = F.struct(F.col("bin_id"), F.col("returned_name").alias("file_name"))
+    per_file = hits.groupBy(key, "file_name").agg(
+        F.array_sort(F.collect_list(F.when(F.col("bin_id").isNotNull(), entry))).alias("BIN_ID"))
+    item = F.struct(F.col("file_name").alias("filename"), content_type("file_name").alias("contentType"), F.col("BIN_ID"))
+    return per_file.groupBy(key).agg(F.to_json(F.array_sort(F.collect_list(item))).alias("uploads"))

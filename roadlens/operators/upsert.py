@@ -120,9 +120,11 @@ class VersionedTable:
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.base}/version={v}"), True)
 
     def upsert(self, source: DataFrame, key: str, order: list[str],
-               as_of: dt.datetime | None = None) -> tuple[int, DataFrame]:
-        """Merge ``source`` into the current version and write the next one.
+               as_of: dt.datetime | None = None, drop: tuple[str, ...] = ()) -> tuple[int, DataFrame]:
+        """``drop``: columns of the source that only order it.  Merge ``source`` into the current version and write the next one.
         Returns the new version and its counts (computed from the written table)."""
+        source = latest_per_key(source, key, order).drop(*drop)
+        order = [c for c in order if c not in drop] or [c for c in source.columns if c != key][:1]
         cur = self.read()
         if cur is None:
             cur = self.spark.createDataFrame([], source.schema).withColumns({

@@ -218,7 +218,7 @@ def q_overview(spark, sf):
 KPI_FILTER = dict(road_type="Arterial", status="All", volume_range=(500, 8000))
 
 
-@register("kpi_cards", ("A2", "P5", "P6", "P11"), with_views("""
+@register("kpi_cards", ("A2", "P5", "P6"), with_views("""
 WITH f AS (SELECT *, ({score}) < CAST(0.2 AS DOUBLE) AS is_anomaly FROM devices
            WHERE road_type = 'Arterial' AND volume_vpd BETWEEN 500 AND 8000),
 t AS (SELECT count(*) AS n_all FROM devices)
@@ -235,6 +235,20 @@ def q_kpi_cards(spark, sf):
     return R.kpi_cards(d, R.apply_filters(d, **KPI_FILTER))
 
 
+@register("kpi_cards_plain", ("A2", "P6", "P11"), with_views("""
+SELECT count(*) AS total_locations, CAST(0 AS BIGINT) AS delta_from_original,
+  round(avg(volume_vpd), 0) AS average_volume, round(stddev_samp(volume_vpd), 0) AS volume_std,
+  CAST(coalesce(sum(CAST(coalesce(average_speed > posted_speed_limit * CAST(1.1 AS DOUBLE), false) AS INT)), 0) AS BIGINT) AS speed_violations,
+  round(avg(CAST(CAST(coalesce(average_speed > posted_speed_limit * CAST(1.1 AS DOUBLE), false) AS INT) AS DOUBLE)) * 100, 1) AS violation_pct,
+  CAST(0 AS BIGINT) AS anomalies, CAST(0 AS DOUBLE) AS anomaly_pct
+FROM devices
+""", "devices"))
+def q_kpi_cards_plain(spark, sf):
+    """Without a model no row has a flag: the column is added with its default."""
+    d = T.devices(spark, sf)
+    return R.kpi_cards(d, d)
+
+
 @register("filter_range", ("P5",), with_views(f"""
 SELECT {KEY_SQL}, road_type, status, volume_vpd FROM devices
 WHERE road_type = 'Collector' AND status = 'Completed' AND volume_vpd BETWEEN 1000 AND 5000

@@ -111,4 +111,32 @@ def q_quality_report_sections(spark, sf):
     return spark.read.json(base).groupBy("section").agg(F.count(F.lit(1)).alias("entries"))
 
 
+@register("dashboard_report", ("K7", "A1", "P7", "F24"), with_views("""
+WITH a AS (SELECT count(*) FILTER (WHERE average_speed > posted_speed_limit * CAST(1.2 AS DOUBLE))
+             + count(*) FILTER (WHERE volume_vpd > 2 * (SELECT avg(volume_vpd) FROM devices)) AS n FROM devices)
+SELECT 'overview' AS section, CAST(1 AS BIGINT) AS entries
+UNION ALL SELECT 'anomalies', n FROM a WHERE n > 0
+UNION ALL SELECT 'predictions', count(*) FROM devices
+""", "devices"))
+def q_dashboard_report(spark, sf):
+    """The dashboard's data written as one JSON dataset and read back: entries per section."""
+    base = _run_dir(spark, "dashboard-report")
+    W.write_report(J.dashboard_report(T.devices(spark, sf)), base)
+    return spark.read.json(base).groupBy("section").agg(F.count(F.lit(1)).alias("entries"))
+
 
+@register("training_report", ("K7", "A20", "A21"), with_views("""
+SELECT 'anomaly_detector' AS section, CAST(1 AS BIGINT) AS entries
+UNION ALL SELECT 'model_info', 2 UNION ALL SELECT 'traffic_predictor', 1
+""", "devices"))
+def q_training_report(spark, sf):
+    """The linear model on its test fold and the scoring flags, written as a report and read back."""
+    from roadlens.operators import model as M
+    from roadlens.plans import model_queries as Q
+    base = _run_dir(spark, "training-report")
+    data, model = Q._linear(spark, sf)
+    test = M.linear_predict(model, data.filter(M.split_flag(*Q.SPLIT_KEYS)), "volume_vpd")
+    flagged = T.devices(spark, sf).withColumns(D.scoring_columns())
+    info = [("traffic_predictor", "LinearRegression", len(Q.X3)), ("anomaly_detector", "scoring rule", 2)]
+    W.write_report(J.training_report(test, "volume_vpd", flagged, info), base)
+    return spark.read.json(base).groupBy("section").agg(F.count(F.lit(1)).alias("entries"))

@@ -262,7 +262,7 @@ def q_nested_export(spark, sf):
 
 # --- attachments ------------------------------------------------------------
 
-@register("attachments_semi", ("J3", "S9"), with_views("""
+@register("attachments_semi", ("J3",), with_views("""
 SELECT DISTINCT record_id FROM devices WHERE record_id IN (SELECT record_id FROM attachments)
 """, "devices", "attachments"))
 def q_attachments_semi(spark, sf):
@@ -313,3 +313,32 @@ FROM f GROUP BY record_id
 def q_files_per_record(spark, sf):
     first = A.first_files(T.attachments(spark, sf).select("record_id", "file_name"))
     return A.uploads_per_record(first)
+
+
+@register("upload_results", ("A25", "J5", "F15"), with_views(f"""
+WITH f AS (SELECT record_id, file_name FROM (
+  SELECT record_id, file_name, row_number() OVER (PARTITION BY record_id ORDER BY file_name) AS r
+  FROM attachments) x WHERE r <= {fv.MAX_FILES_PER_RECORD}),
+m AS (SELECT f.record_id, f.file_name,
+    coalesce(list({{'bin_id': u.bin_id, 'file_name': u.returned_name}} ORDER BY u.bin_id, u.returned_name)
+      FILTER (WHERE u.bin_id IS NOT NULL), list_filter([{{'bin_id': '', 'file_name': ''}}], lambda x: false)) AS bins
+  FROM f LEFT JOIN upload_response u ON f.record_id = u.record_id AND ends_with(u.returned_name, f.file_name)
+  GROUP BY f.record_id, f.file_name)
+SELECT record_id, CAST(to_json(list({{'filename': file_name, 'contentType': {_s_content_type('file_name')}, 'BIN_ID': bins}}
+  ORDER BY file_name)) AS VARCHAR) AS uploads
+FROM m GROUP BY record_id
+""", "attachments", "upload_response"))
+def q_upload_results(spark, sf):
+    first = A.first_files(T.attachments(spark, sf).select("record_id", "file_name"))
+    return A.upload_results(first, T.upload_response(spark, sf))
+
+
+@register("attachments_expand", ("S9",), with_views("""
+SELECT record_id, file_name, CAST(strlen(content) AS BIGINT) AS n_bytes FROM attachments
+""", "attachments"))
+def q_attachments_expand(spark, sf):
+    """A multi-valued column (the files of one document group) back to a row per file."""
+    att = T.attachments(spark, sf)
+    packed = att.groupBy("record_id", (F.col("doc_id") % 997).alias("part")).agg(
+        F.collect_list(F.struct("file_name", F.octet_length("content").cast("bigint").alias("n_bytes"))).alias("attachments"))
+    return A.explode_attachments(packed)

@@ -34,12 +34,12 @@ WHERE rn = 1"""
 OUT = ["location", "event_id", "ts", "volume", "average_speed", "congestion_level", "expires_at"]
 
 
-@register("stream_enrich", ("R1", "R4", "F22", "P12", "F29"), with_views(ENRICH_SQL, "traffic_events"))
+@register("stream_enrich", ("R1", "R4", "F22", "P12"), with_views(ENRICH_SQL, "traffic_events"))
 def q_stream_enrich(spark, sf):
     return S.enrich(T.traffic_events(spark, sf)).drop("processed_at")
 
 
-@register("latest_metric", ("K5", "R2", "R3", "W3"), with_views(LATEST_SQL.format(where=""), "traffic_events"))
+@register("latest_metric", ("K5", "R2", "R3"), with_views(LATEST_SQL.format(where=""), "traffic_events"))
 def q_latest_metric(spark, sf):
     return S.latest_metrics(S.enrich(T.traffic_events(spark, sf))).select(*OUT)
 

@@ -104,27 +104,29 @@ def lookup_live(enriched: DataFrame, lookups: DataFrame, key: str = "lookup_id",
     """For many (location, at) lookups: the latest metric of the location with
     ts <= at, if it has not expired (ts + ttl > at); otherwise no match.
 
-    A live metric lies in (at - ttl, at], so both sides are bucketed by
-    ttl-wide time slots and equi-joined on (location, slot): a lookup meets
-    only the events of its own and the previous slot, never all events of a
-    location, and the hottest location costs one slot's events per lookup.
+    A live metric lies in (at - ttl, at], so events go to their own ttl-wide
+    time slot and the next one, and lookups to theirs.  Within a (location,
+    slot) both are read in time order and the last event is carried forward:
+    the work is linear in events and lookups, however busy a location is.
     ``key`` identifies a lookup (unique)."""
-    slot = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(ttl_seconds * 1_000_000))
-    ev = enriched.withColumn("__slot", slot)
-    lk_slot = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / F.lit(ttl_seconds * 1_000_000))
-    lk = (lookups.withColumn("__lid", F.col(key))
-                 .withColumn("__s0", lk_slot)
-                 .withColumn("__slot", F.explode(F.array(F.col("__s0"), F.col("__s0") - 1))))
+    from pyspark.sql import Window
+
+    def slot(c):
+        return F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(ttl_seconds * 1_000_000))
+
+    metrics = [c for c in enriched.columns if c != "location"]
+    ev = enriched.select("location", F.explode(F.array(slot("ts"), slot("ts") + 1)).alias("__slot"),
+                         F.col("ts").alias("__t"), F.lit(0).alias("__kind"), F.col("event_id").alias("__order"),
+                         F.struct(*metrics).alias("m"))
+    asked = F.struct(*[F.col(c) for c in lookups.columns])
+    lk = lookups.select("location", slot(at).alias("__slot"), F.col(at).alias("__t"), F.lit(1).alias("__kind"), asked.alias("q"))
+    w = (Window.partitionBy("location", "__slot").orderBy("__t", "__kind", "__order")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = ev.unionByName(lk, allowMissingColumns=True).withColumn("m", F.last("m", ignorenulls=True).over(w))
     ttl = F.make_interval(secs=F.lit(ttl_seconds))
-    cand = (lk.join(ev.withColumnRenamed("location", "__loc"),
-                    (F.col("location") == F.col("__loc")) & (lk["__slot"] == ev["__slot"]))
-              .filter((F.col("ts") <= F.col(at)) & (F.col("ts") + ttl > F.col(at))))
-    metric_cols = [c for c in enriched.columns if c != "location"]
-    best = cand.groupBy("__lid").agg(F.max(F.struct("ts", "event_id", *[c for c in metric_cols
-                                                                         if c not in ("ts", "event_id")])).alias("m"))
-    out = lk.filter(F.col("__slot") == F.col("__s0")).join(best, "__lid", "left")
-    return out.select(*lookups.columns, *[F.col(f"m.{c}").alias(c) for c in metric_cols],
-                      (F.col("m.ts") + ttl).alias("expires_at"))
+    live = F.when(F.col("m.ts") + ttl > F.col("__t"), F.col("m"))
+    out = both.filter(F.col("__kind") == 1).select("q", live.alias("m"))
+    return out.select("q.*", *[F.col(f"m.{c}").alias(c) for c in metrics], (F.col("m.ts") + ttl).alias("expires_at"))
 
 
 def start_metric_stream(spark: SparkSession, source: DataFrame, table_path: str, checkpoint: str,
