@@ -1,4 +1,4 @@
-"""Hashes of the pieces of an array of bytes, and where the public vocabularies lie."""
+"""Hashes of the pieces of an array of bytes, a table of numbers by hash, and where the public vocabularies lie."""
 
 from __future__ import annotations
 
@@ -32,3 +32,49 @@ class PieceHash:
         x ^= x >> np.uint64(32)
         x *= np.uint64(0xD6E8FEB86659FD93)
         return x ^ x >> np.uint64(32)
+
+
+class PieceTable:
+    """Numbers from 0 by 64-bit hash, looked up many at a time (open addressing)."""
+
+    def __init__(self, slots: int = 1 << 16):
+        self.hashes, self.numbers, self.used = np.zeros(slots, np.uint64), np.zeros(slots, np.int32), 0
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(65 - len(self.hashes).bit_length())).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for those that are not in the table."""
+        hashes = np.maximum(hashes, np.uint64(1))            # 0 marks an empty slot
+        out = np.full(len(hashes), -1, np.int32)
+        left, slot = np.arange(len(hashes)), self._slots(hashes)
+        while len(left):
+            there = self.hashes[slot]
+            hit = there == hashes[left]
+            out[left[hit]] = self.numbers[slot[hit]]
+            on = ~hit & (there != 0)
+            left, slot = left[on], (slot[on] + 1) & (len(self.hashes) - 1)
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Gives new, different hashes the next numbers, in their order."""
+        hashes = np.maximum(hashes, np.uint64(1))
+        if 2 * (self.used + len(hashes)) > len(self.hashes):
+            old, numbers = self.hashes, self.numbers
+            full = old != 0
+            size = len(old)
+            while 2 * (self.used + len(hashes)) > size:
+                size *= 2
+            self.hashes, self.numbers = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._put(old[full], numbers[full])
+        self._put(hashes, np.arange(self.used, self.used + len(hashes), dtype=np.int32))
+        self.used += len(hashes)
+
+    def _put(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        slot = self._slots(hashes)
+        while len(hashes):
+            free = self.hashes[slot] == 0
+            self.hashes[slot[free]] = hashes[free]           # of several for one slot, one stays
+            placed = self.hashes[slot] == hashes
+            self.numbers[slot[placed]] = numbers[placed]
+            hashes, numbers, slot = hashes[~placed], numbers[~placed], (slot[~placed] + 1) & (len(self.hashes) - 1)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import ship
-from roadlens.llm.piece_hash import PieceHash, tokenizer_path
+from roadlens.llm.piece_hash import PieceHash, PieceTable, tokenizer_path
 
 MARK = "▁"                      # how the vocabulary writes a space
 #: Segments and neighbour pairs remembered per Python worker; the memory starts anew when it is full.
@@ -70,7 +70,7 @@ class PrefixCounts:
         if self.cut[32, 32] or not self.cut[ord("a"), 32]:
             raise ValueError("this vocabulary does not keep words apart at spaces")
         self.hashes = PieceHash()
-        self.totals: dict[int, int] = {}
+        self.table, self.totals = PieceTable(), np.zeros(1 << 16, np.int64)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.segments: dict[str, bytes] = {}
 
@@ -142,17 +142,22 @@ class PrefixCounts:
             return out, fits
         joined, at, starts = self._segments([texts[i].replace(MARK, " ").encode() for i in some])
         data = np.frombuffer(joined, np.uint8)
-        different, where, which = np.unique(self.hashes(data, at), return_index=True, return_inverse=True)
-        if len(self.totals) > 2 * MEMORY:
-            self.totals.clear()
-        asked = different.tolist()
-        counts = list(map(self.totals.get, asked))
+        if self.table.used > 2 * MEMORY:
+            self.table = PieceTable()
         ends = np.r_[at[1:], len(joined)]
-        for i, count in enumerate(counts):
-            if count is None:
-                piece = joined[at[where[i]]:ends[where[i]]].decode()
-                counts[i] = self.totals[asked[i]] = self.segment(piece)[-1]
-        each = np.array(counts, np.int64)[which]
+        hashes = self.hashes(data, at)
+        number = self.table.find(hashes)
+        missed = np.flatnonzero(number < 0)
+        if len(missed):
+            new, where = np.unique(hashes[missed], return_index=True)
+            where = missed[where]
+            while self.table.used + len(new) > len(self.totals):
+                self.totals = np.r_[self.totals, np.zeros_like(self.totals)]
+            self.totals[self.table.used:self.table.used + len(new)] = [
+                self.segment(joined[a:b].decode())[-1] for a, b in zip(at[where].tolist(), ends[where].tolist(), strict=True)]
+            self.table.add(new)
+            number[missed] = self.table.find(hashes[missed])
+        each = self.totals[number]
         firsts = np.searchsorted(at, starts)
         out[some] = np.add.reduceat(each, firsts)
         for low, high, start, i in zip(firsts.tolist(), [*firsts[1:].tolist(), len(at)], starts.tolist(), some, strict=True):

@@ -193,7 +193,7 @@ BLOCK_FIELDS = "file int, block int, first long, n_tokens long, ids array<{kind}
 
 
 def write_files(encoded: DataFrame, lengths: np.ndarray, vocabulary: str, total: int) -> DataFrame:
-    """Writes the files; returns their blocks as read back."""
+    """Writes the files; returns their blocks as read back.  The encoded ids are deleted."""
     spark = encoded.sparkSession
     kind = encoded.schema["id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(lengths)               # a byte per id of the vocabulary
@@ -229,10 +229,15 @@ def write_files(encoded: DataFrame, lengths: np.ndarray, vocabulary: str, total:
                 ["file", "block", "first", "n_tokens", "ids", "tokens", "checkpoints", "stream"])
             block, first = block + 1, first + int(sizes.sum())
 
-    streams = encoded.select("id", "n_tokens", "ids").mapInArrow(bits, f"id {kind}, n_tokens long, checkpoints binary, stream binary")
+    # Written, since a range partition samples what it orders: the bits would be made twice.
+    streams = stored(encoded.select("id", "n_tokens", "ids").mapInArrow(
+        bits, f"id {kind}, n_tokens long, checkpoints binary, stream binary"), "streams")
+    discard(encoded)
     ordered = (streams.repartitionByRange(max(8, -(-total // FILE_TOKENS)), "id", "n_tokens")
                .sortWithinPartitions("id", "n_tokens", "stream"))
-    return stored(ordered.mapInArrow(blocks, BLOCK_FIELDS.format(kind=kind)), "token-files")
+    files = stored(ordered.mapInArrow(blocks, BLOCK_FIELDS.format(kind=kind)), "token-files")
+    discard(streams)
+    return files
 
 
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -304,7 +309,6 @@ def token_files(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABUL
     counts = id_counts(encoded)
     lengths = code_lengths(counts)
     blocks = write_files(encoded, lengths, vocabulary, int(counts.sum()))
-    discard(encoded)
     per_file = blocks.groupBy("file").agg(F.sum("n_tokens").alias("n")).orderBy("file").collect()    # a row per file
     before, firsts = 0, []
     for r in per_file:

@@ -22,7 +22,7 @@ from itertools import chain
 
 import numpy as np
 
-from roadlens.llm.piece_hash import PieceHash, tokenizer_path
+from roadlens.llm.piece_hash import PieceHash, PieceTable, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Pieces remembered per Python worker; the memory starts anew when it is full.
@@ -75,30 +75,45 @@ class TokenIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.hashes = PieceHash()
+        # Ids of tokens that begin with a space, as the byte-level alphabet writes it.
+        self.after_space = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.after_space[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}                      # a piece's hash: its number
+        self.table = PieceTable()                            # numbers of pieces, by hash
         self.first, self.size, self.ids = (np.zeros(n, t) for n, t in ((1 << 16, np.int64), (1 << 16, np.int32), (1 << 18, self.dtype)))
         self.used = 0
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        ids = self._encoded(pieces)
-        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), self.dtype, int(sizes.sum()))
-        n = len(self.place)
-        while n + len(ids) > len(self.first):
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Encodes new pieces.  Letters after a space are encoded as one text: its tokens that begin with a space
+        are where pieces begin."""
+        plain = np.fromiter((p[0] == " " and p[1:].isalpha() for p in pieces), bool, len(pieces))
+        flat, starts = np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        if plain.any():
+            flat = np.array(self._encoded(["".join([p for p, x in zip(pieces, plain.tolist(), strict=True) if x])])[0], self.dtype)
+            starts = np.flatnonzero(self.after_space[flat])
+            if len(starts) != plain.sum():
+                plain[:], flat, starts = False, flat[:0], starts[:0]
+        rest = self._encoded([p for p, x in zip(pieces, plain.tolist(), strict=True) if not x])
+        rest_sizes = np.fromiter(map(len, rest), np.int32, len(rest))
+        found = np.concatenate([flat, np.fromiter(chain.from_iterable(rest), self.dtype, int(rest_sizes.sum()))])
+        first, size = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int32)
+        first[plain], size[plain] = starts, np.diff(np.r_[starts, len(flat)])
+        first[~plain], size[~plain] = len(flat) + np.cumsum(rest_sizes) - rest_sizes, rest_sizes
+        n = self.table.used
+        while n + len(pieces) > len(self.first):
             self.first, self.size = (np.r_[x, np.zeros_like(x)] for x in (self.first, self.size))
-        while self.used + len(flat) > len(self.ids):
+        while self.used + len(found) > len(self.ids):
             self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
-        self.first[n:n + len(ids)] = self.used + np.cumsum(sizes) - sizes
-        self.size[n:n + len(ids)] = sizes
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.place.update(zip(hashes, range(n, n + len(ids)), strict=True))
+        self.first[n:n + len(pieces)] = self.used + first
+        self.size[n:n + len(pieces)] = size
+        self.ids[self.used:self.used + len(found)] = found
+        self.used += len(found)
+        self.table.add(hashes)
 
     def _cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some texts that are separable and not empty, one after another, and how many each has."""
@@ -107,18 +122,17 @@ class TokenIds:
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
         starts = np.r_[0, ends[:-1]]
         at = cuts(data, starts)
-        different, where, which = np.unique(self.hashes(data, at), return_index=True, return_inverse=True)
-        if len(self.place) > PIECES:
+        if self.table.used > PIECES:
             self._forget()
-        asked = different.tolist()
-        places = list(map(self.place.get, asked))
-        if None in places:
-            new = [i for i, p in enumerate(places) if p is None]
-            lows = at[where[new]].tolist()
-            highs = np.r_[at, len(data)][where[new] + 1].tolist()
-            self._learn([asked[i] for i in new], [joined[a:b].decode() for a, b in zip(lows, highs, strict=True)])
-            places = list(map(self.place.get, asked))
-        number = np.array(places, np.int64)[which]
+        hashes = self.hashes(data, at)
+        number = self.table.find(hashes)
+        missed = np.flatnonzero(number < 0)
+        if len(missed):
+            new, where = np.unique(hashes[missed], return_index=True)
+            where = missed[where]
+            highs = np.r_[at, len(data)][where + 1].tolist()
+            self._learn(new, [joined[a:b].decode() for a, b in zip(at[where].tolist(), highs, strict=True)])
+            number[missed] = self.table.find(hashes[missed])
         size = self.size[number].astype(np.int64)
         before = np.cumsum(size) - size
         ids = self.ids[np.arange(int(size.sum())) + np.repeat(self.first[number] - before, size)]
