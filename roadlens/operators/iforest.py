@@ -9,7 +9,7 @@ the table size).  Trees grow in ``applyInPandas`` per tree id (one group is
 one bounded sample), and come back as a node table of at most
 trees x (2^(depth+1)) rows, which is the only thing broadcast for scoring.
 
-Score: ``mapInPandas`` walks all trees level by level with NumPy over each
+Score: a pandas UDF over the features walks all trees level by level with NumPy over each
 Arrow batch.  As in the usual definition, s(x) = 2^(-E[h(x)] / c(n)); the
 decision value is (-s) - offset, offset being the contamination quantile of
 the training scores, and a row is an anomaly when the decision value is < 0.
@@ -18,12 +18,12 @@ the training scores, and a row is an anomaly when the decision value is < 0.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roadlens import fixed_values as fv
 
@@ -118,46 +118,41 @@ def _tree_arrays(nodes_pdf: pd.DataFrame):
     return trees
 
 
-MAX_NODES = 2_000_000
-
-
 def score(df: DataFrame, nodes, features: list[str]) -> DataFrame:
     """Adds ``score_samples`` (= -s(x), higher is more normal).  ``nodes`` is
-    the node table (DataFrame or its pandas copy)."""
+    the node table (DataFrame or its pandas copy).  Only the features go
+    through Python, Arrow batch by batch."""
     spark = df.sparkSession
     from roadlens.session import ship_package
     ship_package(spark)
-    # The node table is the model, bounded by trees x 2^(depth+1) rows
-    # whatever the data size; it is size-checked, then shipped once per executor.
-    pdf = nodes if isinstance(nodes, pd.DataFrame) else nodes.limit(MAX_NODES + 1).toPandas()
-    if len(pdf) > MAX_NODES:
-        raise ValueError("forest too large to broadcast")
+    # The node table is the model: at most trees x 2 x max_samples rows, whatever the data size.
+    pdf = nodes if isinstance(nodes, pd.DataFrame) else nodes.toPandas()
+    if pdf.empty:                                        # fitted on an empty table
+        return df.withColumn("score_samples", F.lit(-0.5))
     psi = int(pdf["psi"].iloc[0])
     bc = spark.sparkContext.broadcast(pdf)
     cn = _c(psi)
-    schema = T.StructType(list(df.schema.fields) + [T.StructField("score_samples", T.DoubleType())])
 
-    def run(batches):
+    @F.pandas_udf("double")
+    def samples(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         trees = _tree_arrays(bc.value)
-        for b in batches:
-            X = b[features].to_numpy(dtype=float)
-            total = np.zeros(len(b))
+        for columns in batches:
+            X = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            rows = np.arange(len(X))
+            total = np.zeros(len(X))
             for feat, thr, left, right, leafval in trees:
-                node = np.zeros(len(b), dtype=np.int64)
+                node = np.zeros(len(X), dtype=np.int64)
                 while True:
                     f = feat[node]
                     inner = f >= 0
                     if not inner.any():
                         break
-                    go_left = X[np.arange(len(b)), np.where(inner, f, 0)] < thr[node]
+                    go_left = X[rows, np.where(inner, f, 0)] < thr[node]
                     node = np.where(inner, np.where(go_left, left[node], right[node]), node)
                 total += leafval[node]
-            mean_path = total / len(trees)
-            b = b.copy()
-            b["score_samples"] = -np.power(2.0, -mean_path / cn) if cn > 0 else -0.5
-            yield b
+            yield pd.Series(-np.power(2.0, -(total / len(trees)) / cn) if cn > 0 else np.full(len(X), -0.5))
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn("score_samples", samples(*[F.col(f).cast("double") for f in features]))
 
 
 def detect(df: DataFrame, features: list[str], key: str, contamination: float = fv.IFOREST_CONTAMINATION,
@@ -165,10 +160,7 @@ def detect(df: DataFrame, features: list[str], key: str, contamination: float =
     """Fit on ``df`` and flag it: adds anomaly_score (decision value) and is_anomaly."""
     from roadlens.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
-    # The input is read three times (count, sample, score): write it once to
-    # the checkpoint folder, which also cuts the lineage.
-    df = df.checkpoint(eager=True)
-    nodes = fit(df, features, key, trees, max_samples, seed).limit(MAX_NODES + 1).toPandas()
+    nodes = fit(df, features, key, trees, max_samples, seed).toPandas()
     # Scores are read twice (offset, then flags): materialise them once.
     scored = score(df, nodes, features).checkpoint(eager=True)
     # Offset: contamination quantile of the training scores (rank-accurate

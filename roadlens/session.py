@@ -70,8 +70,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
+    """A path under the shared checkpoint folder for intermediate tables; what is written there goes when the
+    driver's JVM ends."""
     base = checkpoint_dir(spark).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(f"{base}/{name.split('/')[0]}")
+    top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(top)
     return f"{base}/{name}"
 
 

@@ -34,13 +34,14 @@ def _parsed(raw: DataFrame, value_col: str) -> DataFrame:
         text, _MESSAGE_TEXT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("m"))
 
 
-_READABLE = F.col("m").isNotNull() & F.col("m._corrupt_record").isNull()
+def _readable() -> Column:
+    return F.col("m").isNotNull() & F.col("m._corrupt_record").isNull()
 
 
 def parse_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON payloads to columns: event_id as text, ``ts`` from ``ts`` or the producer's ``timestamp``, numbers; a
     value that cannot be read is null.  Text that is no JSON object goes to :func:`rejected_messages`."""
-    m = _parsed(raw, value_col).filter(_READABLE)
+    m = _parsed(raw, value_col).filter(_readable())
     cols = {n: F.col(f"m.{n}") if t == "string" else F.col(f"m.{n}").try_cast(t) for n, t in MESSAGE_FIELDS.items()}
     cols["ts"] = F.coalesce(cols["ts"], cols.pop("timestamp"))
     return m.select(*[c.alias(n) for n, c in cols.items()])
@@ -48,7 +49,7 @@ def parse_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 def rejected_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """The payloads that :func:`parse_messages` leaves out, as text."""
-    return _parsed(raw, value_col).filter(~F.coalesce(_READABLE, F.lit(False))).select(F.col("__text").alias("value"))
+    return _parsed(raw, value_col).filter(~F.coalesce(_readable(), F.lit(False))).select(F.col("__text").alias("value"))
 
 
 def enrich(events: DataFrame, processed_at: Column | None = None) -> DataFrame:
