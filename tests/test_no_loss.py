@@ -115,3 +115,15 @@ def test_empty_name_matches_every_returned_file(spark):
     uploads = {r.record_id: json.loads(r.uploads) for r in A.upload_results(local, returned).collect()}
     assert uploads["q"] == [{"filename": "z", "contentType": "application/octet-stream", "BIN_ID": []}]
     assert uploads["r"][1]["BIN_ID"] == [{"bin_id": "2", "file_name": "x/b.pdf"}]
+
+
+def test_quartiles_are_exact(spark):
+    import numpy as np
+    from roadlens.operators import report as R
+    rng = np.random.default_rng(5)
+    sets = {"one": [3.0], "two": [1.0, 2.0], "three": [1.0, 2.0, 9.0], "ties": [5.0] * 50 + [6.0], "many": list(rng.normal(0, 1, 4000)),
+            "coarse": [float(x) for x in rng.integers(0, 9, 3000)]}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in sets.items() for v in vs], "k string, v double").repartition(4)
+    got = {r.k: (r.n, r.q0, r.q1, r.q2) for r in R.quartiles(df, "v", "k").collect()}
+    for k, vs in sets.items():
+        assert got[k] == pytest.approx((len(vs), *np.percentile(vs, [25, 50, 75]))), k
