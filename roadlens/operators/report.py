@@ -93,19 +93,23 @@ def overview(df: DataFrame, volume_k: float = fv.VOLUME_ANOMALY_K_SIMPLE) -> Dat
         F.col("anomalies_detected").cast("bigint").alias("anomalies_detected"))
 
 
-def apply_filters(df: DataFrame, road_type: str = "All", status: str = "All",
-                  volume_range: tuple | None = None) -> DataFrame:
+def filter_condition(road_type: str = "All", status: str = "All", volume_range: tuple | None = None):
     """Optional equality filters ('All' bypasses) and an inclusive volume range.
     NULL volume fails the range test."""
-    out = df
+    cond = F.lit(True)
     if road_type != "All":
-        out = out.filter(F.col("road_type") == road_type)
+        cond = cond & (F.col("road_type") == road_type)
     if status != "All":
-        out = out.filter(F.col("status") == status)
+        cond = cond & (F.col("status") == status)
     if volume_range is not None:
-        lo, hi = volume_range
-        out = out.filter(F.col("volume_vpd").between(lo, hi))
-    return out
+        cond = cond & F.col("volume_vpd").between(*volume_range)
+    return F.coalesce(cond, F.lit(False))
+
+
+def apply_filters(df: DataFrame, road_type: str = "All", status: str = "All",
+                  volume_range: tuple | None = None) -> DataFrame:
+    """The rows that :func:`filter_condition` keeps."""
+    return df.filter(filter_condition(road_type, status, volume_range))
 
 
 def ensure_columns(df: DataFrame, defaults: dict) -> DataFrame:
@@ -114,21 +118,25 @@ def ensure_columns(df: DataFrame, defaults: dict) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def kpi_cards(full: DataFrame, filtered: DataFrame) -> DataFrame:
+def kpi_cards(df: DataFrame, **filters) -> DataFrame:
     """Count, delta against the unfiltered count, mean and std volume,
-    violation and anomaly counts and shares (dashboard rounding)."""
-    f = ensure_columns(filtered, {"is_anomaly": False})
+    violation and anomaly counts and shares of the filtered rows (dashboard
+    rounding), in one pass."""
+    d = ensure_columns(df, {"is_anomaly": False}).withColumn("_in", filter_condition(**filters))
     viol = D.speed_violation("average_speed", "posted_speed_limit", fv.VIOLATION_FACTOR_DASHBOARD)
-    total = full.agg(F.count(F.lit(1)).alias("_n_all"))
-    agg = f.agg(
-        F.count(F.lit(1)).alias("total_locations"),
-        F.avg("volume_vpd").alias("_mean"),
-        F.stddev_samp("volume_vpd").alias("_std"),
-        F.sum(viol.cast("int")).alias("_viol"),
-        F.avg(viol.cast("double")).alias("_viol_share"),
-        F.sum(F.col("is_anomaly").cast("int")).alias("_anom"),
-        F.avg(F.col("is_anomaly").cast("double")).alias("_anom_share"))
-    return agg.crossJoin(F.broadcast(total)).select(
+
+    def inside(x):
+        return F.when(F.col("_in"), x)
+
+    agg = d.agg(
+        F.count_if("_in").alias("total_locations"), F.count(F.lit(1)).alias("_n_all"),
+        F.avg(inside(F.col("volume_vpd"))).alias("_mean"),
+        F.stddev_samp(inside(F.col("volume_vpd"))).alias("_std"),
+        F.sum(inside(viol.cast("int"))).alias("_viol"),
+        F.avg(inside(viol.cast("double"))).alias("_viol_share"),
+        F.sum(inside(F.col("is_anomaly").cast("int"))).alias("_anom"),
+        F.avg(inside(F.col("is_anomaly").cast("double"))).alias("_anom_share"))
+    return agg.select(
         "total_locations",
         (F.col("total_locations") - F.col("_n_all")).alias("delta_from_original"),
         F.round("_mean", 0).alias("average_volume"),

@@ -231,8 +231,7 @@ SELECT count(*) AS total_locations, count(*) - max(t.n_all) AS delta_from_origin
 FROM f CROSS JOIN t
 """.format(score=SCORE_SQL), "devices"))
 def q_kpi_cards(spark, sf):
-    d = _scored(T.devices(spark, sf))
-    return R.kpi_cards(d, R.apply_filters(d, **KPI_FILTER))
+    return R.kpi_cards(_scored(T.devices(spark, sf)), **KPI_FILTER)
 
 
 @register("kpi_cards_plain", ("A2", "P6", "P11"), with_views("""
@@ -245,8 +244,7 @@ FROM devices
 """, "devices"))
 def q_kpi_cards_plain(spark, sf):
     """Without a model no row has a flag: the column is added with its default."""
-    d = T.devices(spark, sf)
-    return R.kpi_cards(d, d)
+    return R.kpi_cards(T.devices(spark, sf))
 
 
 @register("filter_range", ("P5",), with_views(f"""
