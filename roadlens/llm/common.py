@@ -18,6 +18,8 @@ SPACE = r"[\x20\x09-\x0D]"
 ROWS_PER_TASK = 250_000
 #: A key is hot from one row in so many of the whole table; so there are at most that many hot keys.
 HOT_SHARE = 1000
+#: Rows that a hot key has at least.
+LEAST_HOT = 1000
 
 
 def let(value: Column, body) -> Column:
@@ -74,7 +76,7 @@ def join_by_class(rows: DataFrame, classes: DataFrame, key: str, size: str, tota
     there can be HOT_SHARE at most, are joined by broadcast; the rest shuffles
     on the key.  So no task receives a hot key's rows together.
     """
-    limit = max(total // HOT_SHARE, 1000)
+    limit = max(total // HOT_SHARE, LEAST_HOT)
     hot = classes.where(F.col(size) > limit)
     keys = [r[0] for r in hot.select(key).collect()]      # HOT_SHARE keys at most
     if not keys:
@@ -85,7 +87,7 @@ def join_by_class(rows: DataFrame, classes: DataFrame, key: str, size: str, tota
 
 
 def gapless(df: DataFrame, group: str, order: list[str], name: str, total: int) -> DataFrame:
-    """Number the rows of each ``group`` from 0 without gaps, in column ``name``.
+    """Number the rows of each ``group`` (never null) from 0 without gaps, in column ``name``.
 
     A group may hold any share of the rows, so it is numbered in buckets: rows
     are dealt by a hash of ``order``, each bucket is numbered on its own, and

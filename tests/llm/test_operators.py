@@ -468,3 +468,93 @@ def test_induced_sorting():
             while max(x, y) + n < len(text) and text[x + n] == text[y + n]:
                 n += 1
             assert (prior[y], common[y]) == (x, n)
+
+
+@pytest.mark.parametrize("kind", ["long", "binary", "string"])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_joins_of_hot_classes(spark, monkeypatch, kind, how):
+    """A key beyond the limit goes by broadcast, the others by shuffle: together all rows."""
+    from roadlens.llm import common
+    monkeypatch.setattr(common, "LEAST_HOT", 5)
+    make = {"long": int, "binary": lambda i: b"k%d" % i, "string": str}[kind]
+    rows = [(make(k), n) for k, size in ((1, 40), (2, 3), (3, 9), (4, 1)) for n in range(size)] + [(None, 0)]
+    left = spark.createDataFrame(rows, f"k {kind}, n int")
+    classes = spark.createDataFrame([(make(1), 40, "one"), (make(2), 3, "two"), (make(3), 9, "three")], f"k {kind}, size int, v string")
+    got = collections.Counter(r.v for r in common.join_by_class(left, classes, "k", "size", len(rows), how).collect())
+    assert got == {"one": 40, "two": 3, "three": 9} | ({None: 2} if how == "left" else {})
+
+
+def test_hot_everywhere(docs, rows, monkeypatch):
+    """The operators that join classes give the same when every class counts as hot."""
+    from roadlens.llm import common
+    plain = [sorted(map(str, f(docs).collect())) for f in (simhash_dedup.op4_query, suffix_dedup.op10_query)]
+    left = sorted(str(tuple(r)) for r in suffix_dedup.without_repeats(docs, 30, 8).collect())
+    monkeypatch.setattr(common, "LEAST_HOT", 0)
+    assert [sorted(map(str, f(docs).collect())) for f in (simhash_dedup.op4_query, suffix_dedup.op10_query)] == plain
+    assert sorted(str(tuple(r)) for r in suffix_dedup.without_repeats(docs, 30, 8).collect()) == left
+
+
+def test_numbers_without_gaps(spark, monkeypatch):
+    from roadlens.llm import common
+    rows = [("a", i % 7) for i in range(50)] + [("b", 0), ("c", None), ("c", None)]
+    out = common.gapless(spark.createDataFrame(rows, "g string, x int"), "g", ["x"], "k", 2_000_000).collect()
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r.g].append(r.k)
+    assert {g: sorted(k) for g, k in by.items()} == {"a": list(range(50)), "b": [0], "c": [0, 1]}
+
+
+def test_tables_of_pieces():
+    from roadlens.llm.piece_hash import PieceTable
+    rng = np.random.default_rng(0)
+    table, known = PieceTable(16), {}
+    for n in (0, 5, 700, 30):
+        new = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        table.add(new)
+        known.update({int(h): len(known) + i for i, h in enumerate(new)})
+        asked = np.r_[np.array(list(known), np.uint64), rng.integers(0, 2**64, 50, dtype=np.uint64)]
+        assert table.find(asked).tolist() == [known.get(int(h), -1) for h in asked]
+
+
+def test_pipeline(spark, tmp_path):
+    """Clean documents go through; junk, copies, repeated passages and benchmark items do not."""
+    import corpus_pipeline
+    rng = random.Random(11)
+    vocabulary = [w.strip(".,") for w in PROSE.split()] + ["".join(rng.choices("abcdefgh", k=6)) for _ in range(400)]
+
+    def prose(n):
+        return ". ".join(" ".join(rng.choices(vocabulary, k=12)).capitalize() for _ in range(n)) + "."
+
+    passage, item = prose(9), prose(3)
+    clean = {i: prose(10) for i in range(30)}
+    texts = dict(clean)
+    texts |= {100: "spam " * 200, 101: " ".join(f"x{i}###" for i in range(90)), 102: "", 103: None, 104: clean[3], 105: clean[3].upper().lower()}
+    texts |= {110: prose(8) + " " + passage + " " + prose(8), 111: prose(9) + " " + passage + " " + prose(7), 120: prose(6) + " " + item.upper() + " " + prose(6)}
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts.items()], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        seen[name] = docs = spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "packing":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    ids = {n: {r.doc_id for r in d.select("doc_id").collect()} for n, d in seen.items()}
+    assert ids["quality_rules"] == set(texts) - {100, 101, 102, 103}
+    assert ids["simhash_dedup"] == ids["quality_rules"] - {104, 105}
+    assert ids["suffix_dedup"] == ids["simhash_dedup"]
+    left = {r.doc_id: r for r in seen["suffix_dedup"].collect()}
+    assert all(left[i].text == t for i, t in clean.items()) and all(passage not in left[i].text for i in (110, 111))
+    assert all(left[i].n_chars == len(left[i].text) and len(left[i].text) < len(texts[i]) - 400 for i in (110, 111))
+    assert ids["decontamination"] == ids["suffix_dedup"] - {120}
+    assert ids["packing"] == ids["decontamination"]
+    run = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(map(str, run.collect())) == sorted(map(str, seen["packing"].collect()))
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
