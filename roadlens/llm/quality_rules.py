@@ -136,13 +136,17 @@ def js_distance(counts: Column, total: Column, reference: list[float]) -> Column
     With m the mean of p and q, the divergence is the mean of p*log2(p/m) and
     q*log2(q/m) summed over the bins; the distance is its root.
     """
-    def term(x, q):
-        p = x / total
-        m = (p + q) / 2
-        return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
+    def distance(n):
+        def term(x, q):
+            p = x / n
+            m = (p + q) / 2
+            return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
 
-    terms = F.zip_with(counts, F.array(*[F.lit(float(q)) for q in reference]), term)
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) / 2, F.lit(0.0)))
+        terms = F.zip_with(counts, F.array(*[F.lit(float(q)) for q in reference]), term)
+        return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) / 2, F.lit(0.0)))
+
+    # Bound, or the optimizer would put the sum's expression into every term.
+    return let(total, distance)
 
 
 def _closest(counts: str, size: str, references: list[list[float]]) -> Column:
