@@ -112,6 +112,9 @@ def free_shuffles(spark: SparkSession) -> None:
     that does little may be long after; disks would keep every step until then.
     """
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):              # what one collection frees may have held more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)             # the cleaner works beside

@@ -181,7 +181,7 @@ def answers(blocks: DataFrame, buckets: int) -> DataFrame:
             "seen": pa.array([0] * len(replies) + [int((total > 0).sum())], pa.int64())})
 
     requests = blocks.mapInArrow(ask, "block long, level int, bucket long, keys binary, counts binary")
-    return (requests.repartition(max(12, min(2 * buckets, 4 * buckets // 3 + 12)), "level", "bucket").groupBy("level", "bucket")
+    return (requests.repartition(4 * buckets, "level", "bucket").groupBy("level", "bucket")
             .applyInArrow(answer, "block long, level int, bucket long, counts binary, seen long"))
 
 
@@ -246,7 +246,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             "train_tokens": pa.array(np.full(len(sizes), train)), "base_score": pa.array(np.add.reduceat(automaton.root[words], starts)),
             "score": pa.array(automaton.read(steps, sizes))})
 
-    parts = max(12, -(-tokens // (BLOCK_BYTES // 24)))
+    parts = max(12, -(-tokens // (BLOCK_BYTES // 12)))
     out = (blocks.repartition(parts, "block").groupBy("block")
            .cogroup(replies.where("block >= 0").repartition(parts, "block").groupBy("block"))
            .applyInArrow(read, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
