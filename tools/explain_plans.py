@@ -12,8 +12,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from roadlens.plans import load_all  # noqa: E402
 from roadlens.session import build_session  # noqa: E402
 
-QUERIES = ["road_profile", "alerts_union", "upsert_merge", "live_lookup", "suffix_match",
-           "first_8_files", "business_rules", "canonical_records"]
+QUERIES = ["road_profile", "overview", "alerts_union", "kpi_cards", "box_summary", "volume_pivot", "canonical_records",
+           "dataset_score", "upsert_merge", "address_standardise", "nested_export", "suffix_match", "latest_metric",
+           "live_lookup", "fuzzy_lookup", "linear_predictions", "isolation_forest", "first_8_files", "business_rules"]
 
 
 def main():
