@@ -63,20 +63,31 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocabulary:
 
 
 def patterns(histogram: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
-    """Packs as (lengths, count): longest lengths first, each into the shortest packs that have room."""
+    """Packs as (lengths, count): longest lengths first, each into the shortest packs that have room.
+
+    Where none has room, the pieces left of a length are dealt evenly to new packs: as many as all tokens that are
+    still to place need beyond the room in open packs, so that a length that most pieces have fills packs by itself.
+    """
     open_packs: dict[int, list[tuple[tuple[int, ...], int]]] = {}     # by the room left
     done: list[tuple[tuple[int, ...], int]] = []
 
     def put(pack, count):
         room = size - sum(pack)
-        open_packs.setdefault(room, []).append((pack, count)) if room else done.append((pack, count))
+        if count:
+            open_packs.setdefault(room, []).append((pack, count)) if room else done.append((pack, count))
 
+    tokens = sum(length * count for length, count in histogram.items())      # still to place
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
         while left:
             room = max(open_packs, default=0)
             if room < length:
-                put((length,), left)
+                free = sum(r * count for r, packs in open_packs.items() for _, count in packs)
+                opened = min(left, max(-(-left // (size // length)), -(-(tokens - free) // size)))
+                fit, more = divmod(left, opened)
+                put((length,) * fit, opened - more)
+                put((length,) * (fit + 1), more)
+                tokens -= length * left
                 break
             pack, count = open_packs[room].pop()
             taken = min(count, left)
@@ -88,6 +99,7 @@ def patterns(histogram: dict[int, int], size: int = SIZE) -> list[tuple[tuple[in
                 del open_packs[room]
             put(pack + (length,) * fit, taken)
             left -= taken * fit
+            tokens -= length * taken * fit
     return done + [p for packs in open_packs.values() for p in packs]
 
 

@@ -281,6 +281,21 @@ def test_patterns():
     assert ranges == histogram and packing.patterns({}) == []
 
 
+@pytest.mark.parametrize("hot", [1, 5, 20, 40, 100, 300, 400])
+def test_patterns_of_a_hot_length(hot):
+    """A third of all pieces, or all of them, have one length: packs are filled with it."""
+    lengths = np.random.default_rng(1).lognormal(5, 1, 20_000).astype(int).clip(1, 1024).tolist()
+    mixed = collections.Counter(lengths + [hot] * 10_000)
+    for histogram, least in ((mixed, 0.97), ({hot: 10_000}, 10_000 * hot / 1024 / -(-10_000 // (1024 // hot)))):
+        packs, used = packing.patterns(histogram), collections.Counter()
+        for pattern, count in packs:
+            assert sum(pattern) <= 1024 and count > 0
+            for n in pattern:
+                used[n] += count
+        assert used == histogram
+        assert sum(n * c for n, c in histogram.items()) / (1024 * sum(c for _, c in packs)) >= least
+
+
 MUTATED = "abcdefghij "
 
 
