@@ -20,6 +20,11 @@ from roadlens.llm.quality_rules import passing
 from roadlens.llm.simhash_dedup import one_of_each
 from roadlens.llm.suffix_dedup import without_repeats
 
+#: Passages of more words than this go if they repeat; 51 words of two letters and the spaces between have 152 bytes.
+OVER_WORDS = 50
+PASSAGE_SPAN = 150
+PASSAGE_GRAM = 32
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep; those with null, empty or very short texts go."""
@@ -32,8 +37,9 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that repeat; n_chars follows.  A document of which no word is left goes."""
-    return without_repeats(docs, length_col="n_chars")
+    """Documents without the passages of over 50 words (or 400 bytes) that repeat; n_chars follows.  A document of
+    which no word is left goes."""
+    return without_repeats(docs, PASSAGE_SPAN, PASSAGE_GRAM, length_col="n_chars", over_words=OVER_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

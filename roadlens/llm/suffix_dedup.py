@@ -244,21 +244,36 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, in
     return b"".join(left), removed, runs
 
 
+def long_runs(text: bytes, windows: list[tuple[int, int]], span: int, over_words: int) -> list[tuple[int, int]]:
+    """Of the runs of windows that follow each other, those over more than ``over_words`` words (with those cut
+    through) or at least SPAN bytes.  Passages that only touch have no common window and are judged each."""
+    runs: list[list[int]] = []
+    for low, high in sorted(windows):
+        if runs and low <= runs[-1][1] + 1:
+            runs[-1][1] = max(runs[-1][1], high)
+        else:
+            runs.append([low, high])
+    return [(a, b) for a, b in runs if b + span - a >= SPAN or len(text[a:b + span].split()) > over_words]
+
+
 def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-            with_text: bool = False) -> tuple[DataFrame, DataFrame]:
+            with_text: bool = False, over_words: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Two tables: (id, key, n_bytes) of every document, and per different text (key): copies, n_bytes, n_removed,
     n_spans, kept_sha256 and, ``with_text``, left (the rest without bytes of characters that were cut
-    through; null where the text stays as it is)."""
+    through; null where the text stays as it is).  With ``over_words``, repeats shorter than SPAN bytes go only if
+    they have more words than that."""
     if not 0 < gram <= span:
         raise ValueError("the gram has to fit into the span")
     spark = docs.sparkSession
     ship(spark)
     text = _bytes(text_col)
     rows = stored(docs.select(F.col(id_col).alias("id"), text.alias("t")).select(
-        "id", F.unhex(F.sha2("t", 256)).alias("digest"), F.length("t").cast("long").alias("n_bytes"))
+        "id", F.unhex(F.sha2("t", 256)).alias("digest"), F.length("t").cast("long").alias("n_bytes"),
+        (F.lit(True) if over_words is None else F.when(F.length("t") >= SPAN, True).otherwise(
+            F.size(F.regexp_extract_all(F.col("t").cast("string"), F.lit(f"({WORD})"), F.lit(1))) > over_words)).alias("long"))
         .withColumn("key", F.substring("digest", 1, 16)), "texts")
     classes = rows.groupBy("key").agg(F.min("id").alias("one"), F.count(F.lit(1)).alias("copies"),
-                                      F.max("n_bytes").alias("n_bytes"), F.max("digest").alias("digest"))
+                                      F.max("n_bytes").alias("n_bytes"), F.max("digest").alias("digest"), F.max("long").alias("long"))
     keyed = docs.select(F.col(id_col).alias("id"), text.alias("text")).select("id", _key(F.col("text")).alias("key"), "text")
     found = stored(find_anchors(keyed.select("key", "text"), span, gram), "anchors")
     places = stored(shared_anchors(found).groupBy("key").agg(F.collect_set(F.struct("h", "low", "high", "hot")).alias("places")), "places")
@@ -280,8 +295,11 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [cut_spans(t, [(s["low"], s["high"] + span) for s in spans]) for t, spans in
-                   zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            windows = [[(s["low"], s["high"]) for s in spans] for spans in batch.column(2).to_pylist()]
+            if over_words is not None:
+                windows = [long_runs(t, w, span, over_words) for t, w in zip(batch.column(1).to_pylist(), windows, strict=True)]
+            out = [cut_spans(t, [(low, high + span) for low, high in w]) for t, w in
+                   zip(batch.column(1).to_pylist(), windows, strict=True)]
             columns = [batch.column(0), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()),
                        pa.array([hashlib.sha256(o[0]).hexdigest() for o in out])]
             yield pa.RecordBatch.from_arrays(columns + ([pa.array([o[0].decode("utf-8", "ignore") for o in out])] if with_text else []),
@@ -290,7 +308,7 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "
     # Rows of one text and one id give the same row here: distinct.
     single = candidates.where("copies = 1").join(spans, "key").select("key", "text", "spans").mapInArrow(
         remove, "key binary, removed long, runs long, sha string" + (", rest string" if with_text else ""))
-    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= span)
+    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= span) & F.col("long")
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     judged = classes.join(single, "key", "left").select(
         "key", "copies", "n_bytes",
@@ -309,10 +327,10 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                    length_col: str | None = None) -> DataFrame:
+                    length_col: str | None = None, over_words: int | None = None) -> DataFrame:
     """The documents, all columns, with what is left of their texts (and, in ``length_col``, its length).
     A document that was cut and has no word left goes."""
-    rows, judged = repeats(docs, span, gram, id_col, text_col, with_text=True)
+    rows, judged = repeats(docs, span, gram, id_col, text_col, with_text=True, over_words=over_words)
     changed = judged.where("n_removed > 0").select("key", "copies", "left")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key(_bytes(text_col)).alias("key"))
     out = join_by_class(whole, changed, "key", "copies", rows.count(), "left")

@@ -568,6 +568,36 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_pipeline_passages_of_over_50_words(spark):
+    """The pipeline's passages of 51 to 65 words go, also where they have far fewer than 400 bytes; shorter ones stay."""
+    import corpus_pipeline
+    rng = random.Random(5)
+
+    def prose(n, k=5):
+        return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(k - 2, k + 2))) for _ in range(n))
+
+    passages = {n: prose(n) for n in (51, 53, 56, 60, 65)} | {52: prose(52, 3)}
+    short, twin, pair = prose(44), prose(45), [prose(40), prose(40)]
+    texts = {}
+    for n, p in [*passages.items(), (44, short)]:
+        for k in range(2):
+            texts[n * 10 + k] = (prose(60) + " " + p + " ", prose(70))
+    texts |= {1: (twin, ""), 2: (twin, "")}                       # equal texts of fewer words
+    texts |= {3: (prose(60) + " " + pair[0] + " " + pair[1] + " ", prose(60)),
+              4: (prose(60) + " " + pair[0] + " ", prose(60)), 5: (prose(60) + " " + pair[1] + " ", prose(60))}
+    assert all(150 <= len(p) < 400 for p in passages.values())
+    frame = spark.createDataFrame([(i, a + b, "en", "s", len(a + b)) for i, (a, b) in texts.items()],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: r for r in corpus_pipeline.suffix_dedup(spark, frame, "").collect()}
+    assert set(left) == set(texts) and all(r.n_chars == len(r.text) for r in left.values())
+    for n, p in passages.items():
+        for k in range(2):
+            a, b = texts[n * 10 + k]
+            assert left[n * 10 + k].text in (a.removesuffix(p + " ") + b, a.removesuffix(" " + p + " ") + b) or (
+                p not in left[n * 10 + k].text and len(a + b) - len(left[n * 10 + k].text) <= len(p) + 4)
+    assert all(left[i].text == "".join(texts[i]) for i in (440, 441, 1, 2, 3, 4, 5))
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     import corpus_pipeline
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
