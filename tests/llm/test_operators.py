@@ -336,6 +336,24 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.contaminated(docs, benchmark.where("1 = 0")).count() == 0
 
 
+def test_decontamination_all_over_an_item():
+    """Items of 30 to 400 characters, behind a quote, up to 20 % edits; and where only words or none are left whole."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("etaoinshrdlu", weights=range(13, 1, -1), k=rng.randint(2, 9))) for _ in range(3000)]
+    line = lambda n: " ".join(rng.choices(words, k=90))[:n].strip()                     # noqa: E731
+    texts = [line(n) for low, high in ((30, 60), (60, 100), (100, 400)) for n in (rng.randint(low, high) for _ in range(60))]
+    items = decontamination.Items(list(enumerate(texts)))
+    for rate in (0, 0.05, 0.1, 0.15, 0.2):
+        near = [decontamination.normal(f'{line(300)} "Q:{_mutate(rng, t, rate)}" {line(300)}') for t in texts]
+        wanted = {(k, k) for k, t in enumerate(texts) if min(_distances(t, near[k])) <= 0.2 * len(t)}
+        found = {m[:2] for m in items.matches(near)}
+        assert len(wanted & found) >= (0.95 if rate else 1) * len(wanted) > 0
+    han = "".join(map(chr, rng.sample(range(0x4E00, 0x9FA5), 40)))
+    head, tail = "x" * 18 + texts[-1][18:120], texts[-1][:102] + "x" * 18
+    items = decontamination.Items([(1, han), (2, texts[-1][:120])])
+    assert {m[:2] for m in items.matches(["漢字" * 30 + han + "文字" * 30, line(80) + head + line(80), line(80) + tail + line(80)])} == {(0, 0), (1, 1), (2, 1)}
+
+
 def _distances(pattern, text):
     """Least edit distances of the pattern to parts of the text that end at each place, by the plain table."""
     row = [0] * (len(text) + 1)
