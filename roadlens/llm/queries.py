@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from roadlens.llm import decontamination, filter_audit, lm_scoring, packing, quality_rules, sharding, simhash_dedup, source_divergence, suffix_dedup, token_counts, token_files, url_filters
+from roadlens.llm import decontamination, filter_audit, lm_scoring, packing, quality_rules, sharding, simhash_dedup, source_divergence, suffix_dedup, token_counts, token_files, toxicity, url_filters
 from roadlens.llm.common import table
 
 
@@ -34,6 +34,8 @@ QUERIES: dict[str, LlmQuery] = {
     "op10_suffix_dedup": LlmQuery(lambda spark, d: suffix_dedup.op10_query(table(spark, d, "documents"))),
     "op11_source_divergence": LlmQuery(
         lambda spark, d: source_divergence.op11_query(table(spark, d, "documents")), source_divergence.ORACLE),
+    "op12_toxicity": LlmQuery(
+        lambda spark, d: toxicity.op12_query(table(spark, d, "documents"), table(spark, d, "labels"))),
     "op13_filter_audit": LlmQuery(
         lambda spark, d: filter_audit.op13_query(table(spark, d, "documents"), table(spark, d, "labels")), filter_audit.ORACLE),
     "pipeline": LlmQuery(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
