@@ -6,16 +6,17 @@ A feature is "the gram stands in at least so many of a thousand words"
 (LEVELS; the first level is any occurrence), so that a gram that other texts
 have by chance tells less than one that fills a text.
 
-1. every task counts, over all labelled training rows, in how many texts of each
-   class a feature is set; the sums give its log-count ratio
+1. the classifier learns from about LABELLED_IDS labelled ids, chosen by a hash of
+   the id (all of them if there are no more): a bound for the broadcast that finds
+   their texts, which are therefore never shuffled.  Every task counts in how many
+   of these texts of each class a feature is set; the sums give its log-count ratio
        r = log((c1 + s P1) / (c0 + s P0)) - log(N1 / N0),
    where P1, P0 are the shares of the classes: the prior of weight s pulls a rare
    feature to no opinion, whatever the balance of the classes.  Features with
    abs(r) below LEAST_RATIO are left out;
 2. a logistic regression over the values r of a text's features is fitted by
    AdaGrad, its weights drawn to one common weight.  It is fitted on the driver on
-   about FIT_ROWS labelled rows, chosen by a hash of their ids (all of them if
-   there are no more), each a handful of numbers;
+   about FIT_ROWS of the labelled rows, chosen likewise, each a handful of numbers;
 3. every text is scored by a broadcast table of the kept features: BUCKETS times
    the levels at most, whatever the size of the corpus.
 
@@ -46,8 +47,9 @@ BUCKETS = 1 << 21
 LEVELS = (0.0, 1 / 128, 1 / 64)
 SMOOTHING = 20.0
 LEAST_RATIO = 1.5
-#: Labelled rows that the regression is fitted on, about.
-FIT_ROWS = 100_000
+#: Labelled ids that are learnt from, and labelled rows that the regression is fitted on, about (twice that at most).
+LABELLED_IDS = 200_000
+FIT_ROWS = 40_000
 EPOCHS, STEP, DECAY, COMMON = 10, 0.1, 1e-3, 0.3
 THRESHOLD = 0.7
 HELD_OUT_OF, HELD_OUT = 3, 1
@@ -140,12 +142,18 @@ class Model:
     intercept: float
 
 
+def _about(df: DataFrame, h: Column, total: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of ``total`` rows, those with a small hash ``h``; all if there are no more."""
+    return df if total <= wanted else df.where(F.pmod(h, F.lit(1_000_000)) < int(1_000_000 * wanted / total))
+
+
 def _label_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, train: Column) -> DataFrame:
     """(id, text, label) of the labelled training rows."""
-    marked = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("label_id")).agg(
-        F.max((F.col("toxic") == 1).cast("int")).alias("label"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where(train)
-    return rows.join(marked, F.col("id") == F.col("label_id")).select("id", "text", "label")
+    marked = stored(labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").alias("id"), "toxic").where(train)
+                    .groupBy("id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("label")), "toxic-labels")
+    some = _about(marked, F.xxhash64("id"), marked.count(), LABELLED_IDS).limit(2 * LABELLED_IDS)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return rows.join(F.broadcast(some), "id").select("id", "text", "label")
 
 
 def class_counts(rows: DataFrame) -> DataFrame:
@@ -242,12 +250,9 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "d
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.tobytes() for f in found], pa.binary()), batch.column(2)],
                                              ["h", "places", "label"])
 
-    total = zeros + ones
-    draw = F.xxhash64(F.col("id"), F.xxhash64("text"))
-    chosen = rows.select(draw.alias("h"), "text", "label")
-    if total > FIT_ROWS:
-        chosen = chosen.where(F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * FIT_ROWS / total)).limit(2 * FIT_ROWS)
-    drawn = sorted(map(tuple, chosen.mapInArrow(run, "h long, places binary, label int").collect()))
+    chosen = _about(rows.select(F.xxhash64(F.xxhash64("id"), F.xxhash64("text")).alias("h"), "text", "label"), F.col("h"),
+                    zeros + ones, FIT_ROWS)
+    drawn = sorted(map(tuple, chosen.mapInArrow(run, "h long, places binary, label int").limit(2 * FIT_ROWS).collect()))
     weights, intercept = fit([(np.frombuffer(p, np.int32), y) for _, p, y in drawn], ratios)
     return Model(features, weights * ratios, intercept)
 
@@ -264,8 +269,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         grams = WordGrams(_lookup(model.features))
         for batch in batches:
             margins = np.array([model.weights[_places(model.features, f)].sum() for f in _texts(batch, 1, grams)]) + model.intercept
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(margins, -700, 700))), pa.float64())], ["id", "score"])
+            with np.errstate(over="ignore"):                    # far below: 0
+                scores = 1 / (1 + np.exp(-margins))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["id", "score"])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
