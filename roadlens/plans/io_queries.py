@@ -140,3 +140,32 @@ def q_training_report(spark, sf):
     info = [("traffic_predictor", "LinearRegression", len(Q.X3)), ("anomaly_detector", "scoring rule", 2)]
     W.write_report(J.training_report(test, "volume_vpd", flagged, info), base)
     return spark.read.json(base).groupBy("section").agg(F.count(F.lit(1)).alias("entries"))
+
+
+#: Every so many lines of the damaged export: one cut off, one that is null, one with text behind, two records in one.
+_DAMAGE = "CAST(volume_vpd % 40 AS INTEGER)"
+
+
+@register("export_json_rejects", ("S2", "N7"), with_views(f"""
+WITH x AS (SELECT road_type, volume_vpd, {_DAMAGE} AS d FROM devices WHERE volume_vpd IS NOT NULL AND road_type IS NOT NULL)
+SELECT 'record' AS kind, road_type AS value, CAST(count(*) AS BIGINT) AS n, CAST(sum(volume_vpd) AS BIGINT) AS volume
+FROM (SELECT road_type, volume_vpd FROM x WHERE d NOT IN (1, 2) UNION ALL SELECT road_type, volume_vpd FROM x WHERE d = 4) GROUP BY road_type
+UNION ALL SELECT 'reject', v, CAST(count(*) AS BIGINT), CAST(NULL AS BIGINT) FROM (
+  SELECT CASE d WHEN 1 THEN '{{"volume":' WHEN 2 THEN 'null' ELSE '// seen' END AS v FROM x WHERE d IN (1, 2, 3)) GROUP BY v
+""", "devices"))
+def q_export_json_rejects(spark, sf):
+    """Devices exported as JSON Lines of which some are cut off, null, followed by text, or hold two records: every
+    good record by class, and one reject per bad span."""
+    base = _run_dir(spark, "damaged-export")
+    d = T.devices(spark, sf).filter(F.col("volume_vpd").isNotNull() & F.col("road_type").isNotNull())
+    line = F.to_json(F.struct(F.col("volume_vpd").alias("volume"), F.col("road_type").alias("roadType"),
+                              F.struct(F.lit('a "}" in a text').alias("note")).alias("meta")))
+    kind = F.expr(_DAMAGE)
+    d.select(F.when(kind == 1, F.lit('{"volume":')).when(kind == 2, F.lit("null")).when(kind == 3, F.concat(line, F.lit(" // seen")))
+             .when(kind == 4, F.concat(line, line)).otherwise(line)).write.text(base)
+    records, rejects = FS.read_export_with_rejects(spark, base)
+    good = records.groupBy(F.lit("record").alias("kind"), F.col("roadType").alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("volume").cast("bigint")).alias("volume"))
+    bad = rejects.groupBy(F.lit("reject").alias("kind"), F.col("text").alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("volume"))
+    return good.unionByName(bad)

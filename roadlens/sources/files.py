@@ -27,42 +27,23 @@ def read_inventory_csv(spark: SparkSession, paths, columns=None, multi_line: boo
 
 def read_export_json(spark: SparkSession, paths, schema: T.StructType | None = None,
                      shape: str | None = None) -> DataFrame:
-    """JSON export: documents (a bare list of records, or an object holding a
-    ``records`` list; one per file) or JSON Lines (one record per line).
-
-    ``shape`` is "documents" or "lines"; without it each file's own lines
-    decide: a file is JSON Lines if every line that is not blank is an object
-    of its own.  Text that is no JSON fails the read.  Values are read as text;
-    coercion comes later."""
-    if shape is None:
-        by_file = _json_shapes(spark, paths)
-    else:
-        by_file = {shape: [paths] if isinstance(paths, str) else list(paths)}
-    parts = []
-    for kind, files in sorted(by_file.items()):
-        reader = (spark.read.option("multiLine", kind == "documents").option("primitivesAsString", True)
-                  .option("mode", "FAILFAST"))
-        raw = reader.schema(schema).json(files) if schema is not None else reader.json(files)
-        if "records" in raw.columns and isinstance(raw.schema["records"].dataType, T.ArrayType):
-            raw = raw.select(F.inline("records"))
-        parts.append(raw)
-    if not parts:
-        return spark.createDataFrame([], schema or T.StructType([]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
-
-
-def _json_shapes(spark: SparkSession, paths) -> dict[str, list[str]]:
-    """The files by shape (a row per file reaches the driver, as in any listing)."""
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
-    is_object = F.col("line").startswith("{") & F.get_json_object("line", "$").isNotNull()
-    files = (lines.filter(F.col("line") != "").groupBy("file").agg(F.min(is_object.cast("int")).alias("lines")).collect())
-    out: dict[str, list[str]] = {}
-    for r in files:
-        out.setdefault("lines" if r["lines"] else "documents", []).append(r["file"])
-    return {k: sorted(v) for k, v in out.items()}
+    """JSON export: documents (lists of records, or objects holding a ``records`` list, any number in a file) or JSON
+    Lines (one record per line); see :mod:`roadlens.sources.json_records`.
+
+    Anything that is no record fails the read and names the file; ``read_export_with_rejects`` returns it instead.
+    Values are read as text; coercion comes later."""
+    records, rejects = read_export_with_rejects(spark, paths, schema, shape)
+    bad = rejects.select("file", F.substring("text", 1, 200).alias("text")).head(1)
+    if bad:
+        raise ValueError(f"{bad[0]['file']} has text that is no record: {bad[0]['text']!r}")
+    return records
+
+
+def read_export_with_rejects(spark: SparkSession, paths, schema: T.StructType | None = None,
+                             shape: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The good records of a JSON export, and (file, text, size) of every span that is none."""
+    from roadlens.sources.json_records import records_and_rejects
+    return records_and_rejects(spark, paths, schema, shape)
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
