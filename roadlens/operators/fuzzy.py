@@ -1,20 +1,22 @@
 """Fuzzy best-match lookup of street names against a reference list
 (Ratcliff-Obershelp ratio, as Python's difflib computes it).
 
-Plan shape, per SURVEY's strategy:
-  * distinct names first (the table repeats names; each is scored once);
-  * three lossless filters on candidate pairs, all in the JVM.  Length band:
-    ratio = 2M / (la + lb) <= 2 min(la, lb) / (la + lb), so a reference can only
-    reach the threshold when its length lies in [ceil(t la / (2 - t)),
-    floor((2 - t) la / t)].  Prefix: the matched characters M never exceed the
-    multiset overlap of the two strings, and two multisets overlapping by >= o
-    share a token among each one's first |s| - o + 1 tokens in any fixed global
-    order; rare letters come first, so that few pairs meet.  Overlap: of the
-    pairs that share such a token, only those whose whole overlap reaches
-    t (la + lb) / 2 go on;
+Plan shape:
+  * distinct texts first, on both sides; each pair of texts is scored once;
+  * only pairs that can reach the threshold t meet, by lossless filters in the
+    JVM.  The matched characters M never exceed the overlap of the two character
+    multisets, so a pair of lengths la, lb needs an overlap of at least
+    o = ceil(t (la + lb) / 2).  In any fixed order of the tokens, two multisets
+    that overlap by o share at least two tokens among each one's first
+    length - o + 2.  Tokens are ordered by how few texts have them, and every
+    text is found under the pairs of tokens of that prefix, for each length of
+    a partner: the join is on both lengths and both tokens.  A pair of texts
+    passes under the first two tokens that it shares only, and with its whole
+    overlap: each pair comes out once, and there is nothing to make distinct;
   * the remaining pairs are scored by a pandas UDF (difflib), the best per name
     is an aggregation (greatest ratio, then earliest position), and the result
     joins back to the rows.
+Frequent pairs of tokens are split by Spark's skew join; there is no cap.
 A name whose best ratio is below the threshold keeps its own text.
 """
 
@@ -23,7 +25,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens import fixed_values as fv
@@ -43,51 +45,55 @@ def length_band(la, t: float) -> tuple:
     return lo, hi
 
 
-def _min_overlap(la, t: float):
-    """Smallest multiset overlap a string of length ``la`` needs with any
-    partner in its length band to reach ratio t: ceil(t (la + lb_min) / 2)."""
-    lb_min = F.ceil(la * F.lit(t / (2.0 - t)))
-    return F.ceil((la + lb_min) * F.lit(t / 2.0) - F.lit(1e-9))
+def _tokens(text):
+    """A string's character multiset as tokens: (character, occurrence number)."""
+    chars = F.array_sort(F.split(text, ""))
+    # Equal characters are neighbours now; a token's number is its distance from the first of them.
+    return F.transform(chars, lambda c, i: F.struct(c.alias("c"), (i - F.array_position(chars, c).cast("int")).alias("k")))
 
 
-# Letters from rare to frequent in English text; other characters come before them.
-RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate"
+def _ranked(texts: DataFrame) -> DataFrame:
+    """(side, s, len, ranks) of texts (side, s): their tokens as numbers, the rarest first.
 
+    The table of tokens is as large as the alphabet times the most a text repeats a character."""
+    tokens = texts.select("side", "s", F.explode(_tokens(F.col("s"))).alias("t")).select("side", "s", "t.c", "t.k")
+    order = Window.orderBy("n", "c", "k")
+    ranks = tokens.groupBy("c", "k").agg(F.count(F.lit(1)).alias("n")).select("c", "k", F.row_number().over(order).alias("rank"))
+    return (tokens.join(ranks, ["c", "k"]).groupBy("side", "s").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
+            .withColumn("len", F.length("s")))
 
-def _tokens(text):
-    """A string's character multiset as tokens in the global order: (rank, character, occurrence number)."""
-    chars = F.array_sort(F.transform(F.split(text, ""), lambda c: F.struct(
-        F.instr(F.lit(RARE_FIRST), F.lower(c)).alias("r"), c.alias("c"))))
-    # Equal characters are neighbours now; a token's number is its distance from the first of them.
-    return F.transform(chars, lambda x, i: F.struct(
-        x["r"].alias("r"), x["c"].alias("c"), (i - F.array_position(chars, x).cast("int")).alias("k")))
 
+def _signed(side: DataFrame, own: str, other: str, lengths: DataFrame, t: float) -> DataFrame:
+    """A row per length of a possible partner and per pair of the prefix's tokens (x, y).
 
-def _prefix(tokens, length, t: float):
-    """The tokens of which a pair with enough overlap shares at least one."""
-    return F.slice(tokens, 1, F.greatest(length - _min_overlap(length, t) + 1, F.lit(0)).cast("int"))
+    ``lengths``: one row, the lengths that the other side has.  If one shared token is enough, y is 0."""
+    lo, hi = length_band(F.col(own), t)
+    near = side.crossJoin(F.broadcast(lengths)).withColumn(
+        other, F.explode(F.filter("lengths", lambda n: (n >= lo) & (n <= hi)))).drop("lengths")
+    need = F.ceil((F.col(own) + F.col(other)) * F.lit(t / 2.0) - F.lit(1e-9)).cast("int")
+    near = near.withColumn("need", F.greatest(need, F.lit(1)))
+    size = F.greatest(F.col(own) - F.col("need") + F.least(F.col("need"), F.lit(2)), F.lit(0)).cast("int")
+    near = near.withColumn("prefix", F.slice("ranks", 1, size))
+    single = F.transform("prefix", lambda x: F.struct(x.alias("x"), F.lit(0).alias("y")))
+    pairs = F.flatten(F.transform("prefix", lambda x, i: F.transform(
+        F.slice("prefix", i + 2, F.size("prefix")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    return near.select(*side.columns, other, "need", F.inline(F.when(F.col("need") < 2, single).otherwise(pairs)))
 
 
 def candidate_pairs(names: DataFrame, refs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (name, __a, ref, pos, __b) that can reach the threshold by length and by overlap."""
-    n = names.withColumn("__ta", _tokens(F.col("__a")))
-    r = refs.withColumn("__tb", _tokens(F.col("__b")))
-    nt = n.select("name", "__a", "__la", "__ta", F.explode(_prefix("__ta", F.col("__la"), threshold)).alias("tok"))
-    rt = r.select("ref", "pos", "__b", "__lb", "__tb", F.explode(_prefix("__tb", F.col("__lb"), threshold)).alias("tok"))
-    lo, hi = length_band(F.col("__la"), threshold)
-    overlap = F.size(F.array_intersect("__ta", "__tb"))
-    enough = 2 * overlap >= F.lit(threshold) * (F.col("__la") + F.col("__lb")) - F.lit(1e-9)
-    return (nt.join(rt, ["tok"]).filter((F.col("__lb") >= lo) & (F.col("__lb") <= hi) & enough)
-              .select("name", "__a", "ref", "pos", "__b").distinct())
-
-
-def _normal(names: DataFrame, refs: DataFrame, name_col: str, ref_col: str, pos_col: str, lower: bool):
-    norm = (lambda c: F.lower(c)) if lower else (lambda c: c)
-    n = (names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
-              .withColumn("__a", norm(F.col("name"))).withColumn("__la", F.length("__a")))
-    r = (refs.select(F.col(ref_col).alias("ref"), F.col(pos_col).alias("pos"))
-             .withColumn("__b", norm(F.col("ref"))).withColumn("__lb", F.length("__b")).filter(F.col("__lb") > 0))
-    return n, r
+    """(a, b): the pairs of different texts of ``names`` (column a) and ``refs`` (b), neither empty, whose lengths and
+    overlap can reach the threshold; each pair once."""
+    texts = names.select(F.lit("a").alias("side"), F.col("a").alias("s")).unionByName(refs.select(F.lit("b").alias("side"), F.col("b").alias("s")))
+    ranked = _ranked(texts.distinct()).checkpoint(eager=True)
+    a = ranked.where("side = 'a'").select(F.col("s").alias("a"), F.col("len").alias("la"), "ranks")
+    b = ranked.where("side = 'b'").select(F.col("s").alias("b"), F.col("len").alias("lb"), "ranks")
+    sa = _signed(a, "la", "lb", b.agg(F.collect_set("lb").alias("lengths")), threshold).withColumnRenamed("ranks", "ra")
+    sb = _signed(b, "lb", "la", a.agg(F.collect_set("la").alias("lengths")), threshold).withColumnRenamed("ranks", "rb").drop("need")
+    shared = F.array_intersect("ra", "rb")                        # in the order of the tokens
+    same = [sa[c] == sb[c] for c in ("la", "lb", "x", "y")]
+    first = (F.size(shared) >= F.col("need")) & (F.get(shared, F.lit(0)) == sa["x"]) & (
+        (sa["y"] == 0) | (F.get(shared, F.lit(1)) == sa["y"]))
+    return sa.join(sb, [*same, first]).select("a", "b")
 
 
 def best_matches(names: DataFrame, refs: DataFrame, name_col: str = "name", ref_col: str = "ref_name",
@@ -99,16 +105,20 @@ def best_matches(names: DataFrame, refs: DataFrame, name_col: str = "name", ref_
     from roadlens.session import checkpoint_dir, ship_package
     checkpoint_dir(names.sparkSession)
     ship_package(names.sparkSession)
-    n, r = _normal(names, refs, name_col, ref_col, pos_col, lower)
+    norm = F.lower if lower else (lambda c: c)
     # Read by two steps below: written once (distinct names, far smaller than the rows).
-    all_names = n.checkpoint(eager=True)
-    scored = candidate_pairs(all_names.filter(F.col("__la") > 0), r, threshold) \
-        .withColumn("ratio", _ratio_udf()(F.col("__a"), F.col("__b")))
-    best = (scored.filter(F.col("ratio") >= threshold).groupBy("name")
-                  .agg(F.min(F.struct((-F.col("ratio")).alias("neg"), "pos", "ref")).alias("b")))
-    out = all_names.select("name").join(best, "name", "left")
-    return out.select("name", F.col("b.ref").alias("best_ref"), (-F.col("b.neg")).alias("ratio"),
-                      F.coalesce(F.col("b.ref"), F.col("name")).alias("matched"))
+    all_names = (names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
+                 .withColumn("a", norm(F.col("name"))).checkpoint(eager=True))
+    # Of references equal but for case, the earliest.
+    texts = (refs.select(norm(F.col(ref_col)).alias("b"), F.struct(F.col(pos_col).alias("pos"), F.col(ref_col).alias("ref")).alias("p"))
+             .filter(F.length("b") > 0).groupBy("b").agg(F.min("p").alias("p")))
+    pairs = candidate_pairs(all_names.select("a").filter(F.length("a") > 0), texts, threshold)
+    scored = pairs.withColumn("ratio", _ratio_udf()(F.col("a"), F.col("b"))).filter(F.col("ratio") >= threshold)
+    best = (scored.join(texts, "b").groupBy("a")
+                  .agg(F.min(F.struct((-F.col("ratio")).alias("neg"), "p.pos", "p.ref")).alias("m")))
+    out = all_names.join(best, "a", "left")
+    return out.select("name", F.col("m.ref").alias("best_ref"), (-F.col("m.neg")).alias("ratio"),
+                      F.coalesce(F.col("m.ref"), F.col("name")).alias("matched"))
 
 
 def apply_matches(df: DataFrame, cols: list[str], refs: DataFrame, threshold: float = fv.FUZZY_THRESHOLD,

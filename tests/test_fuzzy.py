@@ -84,6 +84,7 @@ def test_prefix_filter_stress(spark):
     alpha = "abcde "
     refs = sorted({"".join(rng.choice(alpha) for _ in range(rng.randint(3, 12))) for _ in range(60)})
     names = ["".join(rng.choice(alpha) for _ in range(rng.randint(1, 14))) for _ in range(150)]
+    refs, names = refs + ["é日本😀", "a", "😀😀😀b", "aaaaaaaaaaaa"], names + ["é日本", "A", "😀😀b", "aaaaaaaa", "😀"]
     got = {r.name: r.matched for r in Z.best_matches(
         spark.createDataFrame([(n,) for n in names], "name string"), _refs_df(spark, refs)).collect()}
     for n in set(names):
@@ -95,10 +96,24 @@ def test_fixture_names_against_brute_force(spark):
     from roadlens.sources import tables as T
     sf = "/root/testdata/sf0.001"
     refs = [r.ref_name for r in _refs(spark, sf).orderBy("ref_pos").collect()]
-    names = T.devices(spark, sf).select(F.col("street_name").alias("name"))
-    n, r = Z._normal(names, _refs(spark, sf), "name", "ref_name", "ref_pos", True)
-    assert Z.candidate_pairs(n, r, 0.7).count() < 0.5 * n.count() * r.count()
     got = {r.name: r.matched for r in
            Z.best_matches(T.devices(spark, sf).select(F.col("street_name").alias("name")), _refs(spark, sf)).collect()}
     for n, m in got.items():
         assert m == expected(n, refs), n
+
+
+def test_few_rows_are_joined(spark):
+    """The rows that the join gives are the pairs of a full scan that can reach the threshold, each once: less than a
+    tenth of names times references."""
+    from collections import Counter
+
+    from roadlens.plans.fuzzy_queries import _refs
+    from roadlens.sources import tables as T
+    sf = "/root/testdata/sf0.01"
+    names = T.devices(spark, sf).select(F.lower("street_name").alias("a")).filter("a <> ''").distinct()
+    refs = _refs(spark, sf).select(F.lower("ref_name").alias("b")).distinct()
+    n, r = [x.a for x in names.collect()], [x.b for x in refs.collect()]
+    joined = [(x.a, x.b) for x in Z.candidate_pairs(names, refs, 0.7).collect()]
+    assert len(joined) <= 0.1 * len(n) * len(r)
+    overlap = lambda a, b: sum((Counter(a) & Counter(b)).values())
+    assert sorted(joined) == sorted((a, b) for a in n for b in r if 2 * overlap(a, b) >= 0.7 * (len(a) + len(b)) - 1e-9)
