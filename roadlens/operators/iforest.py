@@ -163,9 +163,9 @@ def detect(df: DataFrame, features: list[str], key: str, contamination: float =
     nodes = fit(df, features, key, trees, max_samples, seed).toPandas()
     # Scores are read twice (offset, then flags): materialise them once.
     scored = score(df, nodes, features).checkpoint(eager=True)
-    # Offset: contamination quantile of the training scores (rank-accurate
-    # approximate quantile; an exact one would hold every distinct score).
-    off = scored.agg(F.percentile_approx("score_samples", contamination, 1_000_000).alias("__off"))
+    # Offset: the exact contamination quantile of the training scores, one row.
+    from roadlens.operators.selection import quantiles
+    off = quantiles(scored.withColumn("__all", F.lit(0)), "score_samples", "__all", (contamination,)).select(F.col("q0").alias("__off"))
     return (scored.crossJoin(F.broadcast(off))
                   .withColumn("anomaly_score", F.col("score_samples") - F.col("__off"))
                   .withColumn("is_anomaly", F.col("anomaly_score") < 0)

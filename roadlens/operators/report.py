@@ -236,43 +236,10 @@ def histogram(df: DataFrame, value: str = "volume_vpd", key: str = "road_type",
                       "n"))
 
 
-def quartiles(base: DataFrame, value: str, key: str, qs=(0.25, 0.5, 0.75), slack: float = 0.005) -> DataFrame:
-    """Per key: n, min, max and ``q0``, ``q1``, ... by linear interpolation, exact.
-
-    Approximate quantiles a little below and above each wanted one bracket it;
-    one pass then counts the rows below the bracket, and only rows inside it,
-    about a hundredth of them, are sorted, grouped by value.  So no task holds
-    all values of a key."""
-    probabilities = [p for q in qs for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
-    v = F.col(value)
-    approx = base.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.percentile_approx(v, F.array(*map(F.lit, probabilities)), F.lit(int(2 / slack))).alias("_b"))
-    from roadlens.operators.quality import _materialised
-    approx = _materialised(approx)
-    j = base.select(key, value).join(approx, key)
-    low, high = (lambda i: F.col("_b")[2 * i]), (lambda i: F.col("_b")[2 * i + 1])
-    # What lies outside each bracket: how many rows below, and the values next to it.
-    outside = j.groupBy(key).agg(*[e.alias(f"{n}{i}") for i in range(len(qs)) for n, e in (
-        ("below", F.count_if(v < low(i))), ("under", F.max(F.when(v < low(i), v))), ("over", F.min(F.when(v > high(i), v))))])
-    brackets = F.array(*[F.struct(F.lit(i).alias("i"), low(i).alias("lo"), high(i).alias("hi")) for i in range(len(qs))])
-    inside = (j.select(key, value, F.inline(F.filter(brackets, lambda b: (v >= b["lo"]) & (v <= b["hi"]))))
-              .groupBy(key, "i", value).agg(F.count(F.lit(1)).alias("_c")))
-    from pyspark.sql import Window
-    upto = Window.partitionBy(key, "i").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("_last", F.sum("_c").over(upto)).join(outside, key).join(approx.select(key, "n"), key)
-    out = approx.select(key, "n", "min", "max")
-    for i, q in enumerate(qs):
-        place = F.lit(q) * (F.col("n") - 1)
-        first = F.floor(place)
-        rank = F.col(f"below{i}") + F.col("_last") - 1                 # of the last row with this value, from 0
-        picked = ranked.filter(F.col("i") == i).groupBy(key, "n", f"below{i}", f"under{i}", f"over{i}").agg(
-            F.min(F.when(rank >= first, v)).alias("_a"), F.min(F.when(rank >= first + 1, v)).alias("_z"))
-        a = F.when(first < F.col(f"below{i}"), F.col(f"under{i}")).otherwise(F.coalesce("_a", f"over{i}"))
-        z = F.coalesce("_z", f"over{i}", a)
-        z = F.when(first + 1 < F.col(f"below{i}"), F.col(f"under{i}")).otherwise(z)
-        out = out.join(picked.select(key, (a + (place - first) * (z - a)).alias(f"q{i}")), key, "left")
-    return out
+def quartiles(base: DataFrame, value: str, key: str, qs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Per key: n, min, max and ``q0``, ``q1``, ... by linear interpolation, exact, by radix selection."""
+    from roadlens.operators.selection import quantiles
+    return quantiles(base, value, key, tuple(qs))
 
 
 def box_summary(df: DataFrame, value: str = "average_speed", key: str = "road_type") -> DataFrame:
