@@ -245,7 +245,10 @@ def quartiles(base: DataFrame, value: str, key: str, qs=(0.25, 0.5, 0.75)) -> Da
 def box_summary(df: DataFrame, value: str = "average_speed", key: str = "road_type") -> DataFrame:
     """Quartiles (linear interpolation), whiskers at the most extreme values
     inside 1.5 IQR, and the count of points outside."""
-    base = df.filter(F.col(value).isNotNull() & F.col(key).isNotNull())
+    from roadlens.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    # Two columns, read by the selection and by the whisker pass: written once.
+    base = df.filter(F.col(value).isNotNull() & F.col(key).isNotNull()).select(key, value).checkpoint(eager=True)
     q = quartiles(base, value, key).select(key, "min", F.round("q0", 6).alias("q1"), F.round("q1", 6).alias("median"),
                                            F.round("q2", 6).alias("q3"), "max")
     # One row per class, read by the whisker pass and by the result: write it once.
