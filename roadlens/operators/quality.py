@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens import fixed_values as fv
+from roadlens.functions import coerce as C
 
 MAX_BROADCAST_ROWS = 100_000
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -70,7 +71,8 @@ def type_consistency(df: DataFrame) -> DataFrame:
     aggs = []
     for i, c in enumerate(str_cols):
         aggs.append(F.count(F.col(f"`{c}`")).alias(f"__n{i}"))
-        aggs.append(F.count(F.col(f"`{c}`").try_cast("double")).alias(f"__p{i}"))
+        # '12d' is no number, though a cast takes it; '' is a missing one.
+        aggs.append(F.count_if(F.col(f"`{c}`").rlike(C.NUMBER) | (F.col(f"`{c}`") == "")).alias(f"__p{i}"))
     one = df.agg(*aggs) if aggs else df.sparkSession.range(1)
     entries = []
     for f in fields:

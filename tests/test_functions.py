@@ -99,3 +99,33 @@ def test_time_factor_and_agreement(spark):
     df = spark.createDataFrame([(100.0, 80.0), (0.5, 0.2)], "a double, b double")
     got = [round(r[0], 6) for r in df.select(D.agreement_confidence("a", "b")).collect()]
     assert got == [0.8, 0.7]
+
+
+def test_date_spellings(spark):
+    cases = {"Jan 5, 2024": "2024-01-05", "5-Jan-2024": "2024-01-05", "1/5/24": "2024-01-05", "05.01.2024": "2024-05-01",
+             "25.01.2024": "2024-01-25", "13/01/2024": "2024-01-13", "5 January 2024": "2024-01-05", "05-01-2024": "2024-05-01",
+             "1/5/80": "1980-01-05", "Sept 3 2020": "2020-09-03", "2024.01.05": "2024-01-05", "20240105": "2024-01-05",
+             "January 5th, 2024": "2024-01-05", "12/13/24 3:04 PM": "2024-12-13", "5-jan-24": "2024-01-05",
+             "Janus 5, 2024": "", "32/1/2024": "", "1/5/123": "", "mayor": "", "May": "", "13/13/2024": "", "Feb 30, 2024": "", "1.5": ""}
+    df = one_col(spark, list(cases))
+    assert [r[0] for r in df.select(C.date_text(C.to_date("x"))).collect()] == list(cases.values())
+    assert [r[0] for r in C.parse_dates(df, {"d": "x"}).select(C.date_text("d")).collect()] == list(cases.values())
+    got = C.coercion_losses(df, dates=["x"], numbers=["x"]).collect()
+    assert [tuple(r) for r in got] == [("x", "date", 23, 8), ("x", "number", 23, 21)]
+
+
+def test_suffixed_numbers_are_text(spark):
+    from roadlens.operators import quality as Q
+    df = spark.createDataFrame([("12d", "1e3", "", "nan", " 5 "), ("7", "-.5", "2", "1", "+6.")], "a string, b string, c string, d string, e string")
+    assert {r["column"]: r["kind"] for r in Q.type_consistency(df).collect()} == {
+        "a": "text", "b": "numeric_string", "c": "numeric_string", "d": "text", "e": "numeric_string"}
+
+
+def test_metrics_of_diverging_predictions(spark):
+    from roadlens.operators import model as M
+    rows = [(100.0, 90.0), (200.0, 1e13), (3e15, 2.0), (0.0, 5.0), (None, 1.0)]
+    r = M.regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
+    errors = [p - y for y, p in rows[:4]]
+    assert r.n == 4 and r.mae == pytest.approx(sum(map(abs, errors)) / 4) and r.mse == pytest.approx(sum(e * e for e in errors) / 4)
+    r = M.regression_metrics(spark.createDataFrame([(1.0, float("inf")), (2.0, 2.0)], "y double, p double"), "y", "p").first()
+    assert r.mae == float("inf") and r.n == 2
