@@ -30,17 +30,27 @@ def records_without_files(records: DataFrame, files: DataFrame, key: str = "reco
 def suffix_matches(local: DataFrame, returned: DataFrame, key: str = "record_id",
                    name: str = "file_name", returned_name: str = "returned_name") -> DataFrame:
     """For every local file, the returned entries of the same record whose
-    name ends with the local name; a file with no match keeps one row of NULLs."""
-    n = F.length(F.col(returned_name))
-    suffixes = returned.select(
-        "*", F.explode(F.sequence(F.lit(1), n + 1)).alias("__start"))     # the last one is the empty suffix
-    suffixes = suffixes.withColumn("__suffix", F.substring(F.col(returned_name), F.col("__start"), 10 ** 9))
-    hits = (suffixes.drop("__start")
-            .withColumnRenamed(key, "__k"))
+    name ends with the local name; a file with no match keeps one row of NULLs.
+
+    A returned name gives a suffix per length that the record's local names
+    have, no more, and suffixes meet local names by equality."""
+    cut = suffixes_of_lengths(local, returned, key, name, returned_name)
+    hits = cut.withColumnRenamed(key, "__k")
     cond = (F.col(key) == F.col("__k")) & (F.col(name) == F.col("__suffix"))
     return local.join(hits, cond, "left").drop("__k", "__suffix")
 
 
+def suffixes_of_lengths(local: DataFrame, returned: DataFrame, key: str, name: str, returned_name: str) -> DataFrame:
+    """The returned rows, each once per length of a local name of its record that its own name has, with that suffix
+    (``__suffix``)."""
+    lengths = local.groupBy(key).agg(F.collect_set(F.length(name)).alias("__lengths"))
+    n = F.length(F.col(returned_name))
+    return (returned.join(lengths, key)
+            .withColumn("__length", F.explode(F.filter("__lengths", lambda x: x <= n)))
+            .withColumn("__suffix", F.substring(F.col(returned_name), n - F.col("__length") + 1, F.col("__length")))
+            .drop("__lengths", "__length"))
+
+
 def first_files(files: DataFrame, k: int = fv.MAX_FILES_PER_RECORD, key: str = "record_id",
                 order: str = "file_name", salt_buckets: int = 64) -> DataFrame:
     """At most k files per record, smallest names first.

@@ -169,3 +169,68 @@ def q_export_json_rejects(spark, sf):
     bad = rejects.groupBy(F.lit("reject").alias("kind"), F.col("text").alias("value")).agg(
         F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("volume"))
     return good.unionByName(bad)
+
+
+def _oracle(name: str) -> str:
+    from roadlens.plans.registry import REGISTRY
+    return f"({REGISTRY[name].oracle})"
+
+
+def _values_sql() -> str:
+    import roadlens.plans.dashboard_queries  # noqa: F401  (registers the queries whose SQL is used)
+    over = ["total_locations", "average_volume", "average_speed", "congestion_level", "anomalies_detected"]
+    parts = [f"SELECT 'overview' AS section, '{c}' AS metric, CAST({c} AS VARCHAR) AS value FROM {_oracle('overview')} o" for c in over]
+    parts.append(f"SELECT 'anomalies', alert_type || ' ' || severity, CAST(count(*) AS VARCHAR) FROM {_oracle('alerts_union')} a GROUP BY alert_type, severity")
+    parts.append(f"SELECT 'predictions', 'sum of predicted volumes', CAST(sum(predicted_volume) AS VARCHAR) FROM {_oracle('heuristic_prediction')} p")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("dashboard_report_values", ("K7", "A1", "U1", "F24"), _values_sql())
+def q_dashboard_report_values(spark, sf):
+    """The dashboard's data written as one JSON dataset and read back: its values, not only its size."""
+    base = _run_dir(spark, "dashboard-values")
+    W.write_report(J.dashboard_report(T.devices(spark, sf)), base)
+    back = spark.read.schema("section string, entry string").json(base)
+
+    def of(section, key):
+        return F.when(F.col("section") == section, F.get_json_object("entry", f"$.{key}"))
+
+    names = ["total_locations", "average_volume", "average_speed", "congestion_level", "anomalies_detected"]
+    overview = back.filter("section = 'overview'").select(F.inline(F.array(*[
+        F.struct("section", F.lit(c).alias("metric"), of("overview", c).alias("value")) for c in names])))
+    kind = F.concat_ws(" ", of("anomalies", "alert_type"), of("anomalies", "severity"))
+    alerts = back.filter("section = 'anomalies'").groupBy("section", kind.alias("metric")).agg(F.count(F.lit(1)).cast("string").alias("value"))
+    predicted = back.filter("section = 'predictions'").groupBy("section", F.lit("sum of predicted volumes").alias("metric")).agg(
+        F.sum(of("predictions", "predicted_volume").cast("bigint")).cast("string").alias("value"))
+    return overview.unionByName(alerts).unionByName(predicted)
+
+
+def _training_sql() -> str:
+    import roadlens.plans.model_queries  # noqa: F401
+    parts = [f"SELECT 'traffic_predictor' AS section, '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM {_oracle('linear_metrics')} l"
+             for c in ("n", "mse", "mae", "r2")]
+    parts += [f"SELECT 'anomaly_detector', '{c}', CAST({c} AS DOUBLE) FROM {_oracle('anomaly_metrics')} a"
+              for c in ("total_samples", "anomalies_detected", "anomaly_rate", "mean_anomaly_score", "std_anomaly_score")]
+    return "\nUNION ALL ".join(parts)
+
+
+@register("training_report_values", ("K7", "A20", "A21"), _training_sql())
+def q_training_report_values(spark, sf):
+    """The training report written and read back: the evaluation of the linear model and of the scoring flags."""
+    from roadlens.operators import model as M
+    from roadlens.plans import model_queries as Q
+    base = _run_dir(spark, "training-values")
+    data, model = Q._linear(spark, sf)
+    test = M.linear_predict(model, data.filter(M.split_flag(*Q.SPLIT_KEYS)), "volume_vpd")
+    flagged = T.devices(spark, sf).withColumns(D.scoring_columns())
+    W.write_report(J.training_report(test, "volume_vpd", flagged, [("traffic_predictor", "LinearRegression", len(Q.X3))]), base)
+    back = spark.read.schema("section string, entry string").json(base)
+    keys = {"traffic_predictor": {"n": None, "mse": 1, "mae": 3, "r2": None},
+            "anomaly_detector": dict.fromkeys(("total_samples", "anomalies_detected", "anomaly_rate", "mean_anomaly_score", "std_anomaly_score"))}
+
+    def value(key, digits):
+        v = F.get_json_object("entry", f"$.{key}").cast("double")
+        return v if digits is None else F.round(v, digits)
+
+    rows = [F.when(F.col("section") == s, F.struct(F.lit(k).alias("metric"), value(k, d).alias("value"))) for s, ks in keys.items() for k, d in ks.items()]
+    return back.filter(F.col("section").isin(list(keys))).select("section", F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull())))

@@ -78,3 +78,26 @@ def q_stream_latest_metric(spark, sf):
                                      scratch_path(spark, f"latest-{run}-ckpt"))
     q.awaitTermination()
     return table.read().select(*OUT)
+
+
+@register("stream_rejects", ("S7", "N7", "R6"), with_views("""
+SELECT 'read' AS kind, CAST(count(*) AS BIGINT) AS n FROM traffic_events
+UNION ALL SELECT 'parsed', count(*) FILTER (WHERE event_id % 50 <> 0) FROM traffic_events
+UNION ALL SELECT 'rejected', count(*) FILTER (WHERE event_id % 50 = 0) FROM traffic_events
+UNION ALL SELECT 'locations', count(DISTINCT coalesce(location, 'unknown')) FILTER (WHERE event_id % 50 <> 0) FROM traffic_events
+""", "traffic_events"))
+def q_stream_rejects(spark, sf):
+    """Events as JSON messages, every 50th of them broken, through the streaming job: what it read, parsed and
+    rejected (from its reject sink), and the locations of its table."""
+    run = uuid.uuid4().hex[:12]
+    source, rejects = scratch_path(spark, f"messages-{run}"), scratch_path(spark, f"rejects-{run}")
+    e = T.traffic_events(spark, sf)
+    message = F.to_json(F.struct("event_id", "ts", "location", "volume", "average_speed", "speed_limit"))
+    e.select(F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("{broken "), message)).otherwise(message).alias("value")).write.text(source)
+    q, table = S.start_message_stream(spark, spark.readStream.option("maxFilesPerTrigger", 4).text(source),
+                                      scratch_path(spark, f"message-table-{run}"), rejects, scratch_path(spark, f"messages-{run}-ckpt"))
+    q.awaitTermination()
+    counts = S.stream_counts(spark, rejects).agg(F.sum("n_read").alias("read"), F.sum("n_parsed").alias("parsed"))
+    out = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("n")) for c in ("read", "parsed")])))
+    return (out.unionByName(S.stream_rejects(spark, rejects).select(F.lit("rejected").alias("kind"), F.count(F.lit(1)).alias("n")))
+            .unionByName(table.read().select(F.lit("locations").alias("kind"), F.count(F.lit(1)).alias("n"))))

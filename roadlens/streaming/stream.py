@@ -152,3 +152,47 @@ def start_metric_stream(spark: SparkSession, source: DataFrame, table_path: str,
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start(), table
+
+
+def start_message_stream(spark: SparkSession, raw: DataFrame, table_path: str, rejects_path: str, checkpoint: str,
+                         available_now: bool = True, processing_time: str | None = None, keep_versions: int = 3,
+                         value_col: str = "value"):
+    """From raw messages to the latest-metric table, the unreadable ones to ``rejects_path``.
+
+    ``raw`` is a streaming DataFrame of JSON texts (``value_col``).  A batch has three outputs, each repeatable: its
+    rejects and its counts are written over the folder of the batch id, and its metrics are merged by location, event
+    time and id.  So a batch that is run again after a failure, at whatever point, leaves what it would have left."""
+    table = VersionedTable(spark, table_path)
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        held = batch.select(value_col).persist()              # read three times
+        try:
+            rejected_messages(held, value_col).write.mode("overwrite").parquet(f"{rejects_path}/rejects/batch={batch_id}")
+            good = parse_messages(held, value_col)
+            counts = held.agg(F.count(F.lit(1)).alias("n_read")).crossJoin(good.agg(F.count(F.lit(1)).alias("n_parsed")))
+            counts.coalesce(1).write.mode("overwrite").parquet(f"{rejects_path}/counts/batch={batch_id}")
+            events = good.withColumn("ts", F.col("ts").try_cast("timestamp_ntz"))
+            table.write(merge_latest(table.read(), enrich(events, F.current_timestamp())))
+            table.retain(keep_versions)
+        finally:
+            held.unpersist()
+
+    w = raw.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start(), table
+
+
+def stream_rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """(batch, value): what a message stream could not read."""
+    return spark.read.schema("value string, batch long").option("basePath", f"{rejects_path}/rejects").parquet(f"{rejects_path}/rejects")
+
+
+def stream_counts(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """(batch, n_read, n_parsed, n_rejected) of every batch of a message stream."""
+    read = spark.read.option("basePath", f"{rejects_path}/counts").parquet(f"{rejects_path}/counts")
+    rejected = stream_rejects(spark, rejects_path).groupBy("batch").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return (read.select(F.col("batch").cast("long").alias("batch"), "n_read", "n_parsed").join(rejected, "batch", "left")
+            .na.fill(0, ["n_rejected"]))

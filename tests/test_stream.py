@@ -60,3 +60,79 @@ def test_lookup_live_vs_brute_force(spark):
                 if ts <= r.at and ts + dt.timedelta(seconds=300) > r.at]
         want = max(live)[1] if live else None
         assert got[r.lookup_id] == want
+
+
+def _messages(n, start=0):
+    import json
+    out = []
+    for i in range(start, start + n):
+        m = json.dumps({"event_id": str(i), "ts": f"2024-05-01 10:{i % 60:02d}:{i * 7 % 60:02d}", "location": f"l{i % 5}", "volume": i, "average_speed": 40})
+        out.append({0: "{broken " + m, 1: "null", 2: "[1]"}.get(i % 9, m))
+    return out
+
+
+def test_rejects_and_restarts(spark, tmp_dir):
+    """A stream that is stopped after any batch, or fails inside one, and started again gives the table of one batch
+    over all messages; read = parsed + rejected, each once."""
+    import os
+
+    import pytest
+    os.makedirs(f"{tmp_dir}/in")
+    parts = [_messages(40, 40 * i) for i in range(4)]
+
+    def put(i):
+        open(f"{tmp_dir}/in/part-{i}.txt", "w").write("\n".join(parts[i]))
+
+    def run():
+        raw = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{tmp_dir}/in")
+        q, table = S.start_message_stream(spark, raw, f"{tmp_dir}/t", f"{tmp_dir}/r", f"{tmp_dir}/c")
+        q.awaitTermination()
+        return table
+
+    put(0)
+    run()
+    put(1)
+    put(2)
+    write = S.VersionedTable.write
+    calls = []
+
+    def failing(self, df):
+        out = write(self, df)
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost after the table was written")
+        return out
+    S.VersionedTable.write = failing
+    try:
+        with pytest.raises(Exception):
+            run()
+    finally:
+        S.VersionedTable.write = write
+    run()
+    put(3)
+    table = run()
+    raw = spark.createDataFrame([(m,) for p in parts for m in p], "value string")
+    cols = ["location", "event_id", "ts", "volume", "expires_at"]
+    events = S.parse_messages(raw).withColumn("ts", F.col("ts").try_cast("timestamp_ntz"))
+    want = sorted(tuple(r) for r in S.latest_metrics(S.enrich(events)).select(*cols).collect())
+    assert sorted(tuple(r) for r in table.read().select(*cols).collect()) == want and len(want) == 5
+    counts = [tuple(r)[1:] for r in S.stream_counts(spark, f"{tmp_dir}/r").orderBy("batch").collect()]
+    assert len(counts) == 4 and all(n == p + r for n, p, r in counts) and sum(n for n, _, _ in counts) == 160
+    bad = sorted(r.value for r in S.stream_rejects(spark, f"{tmp_dir}/r").collect())
+    assert bad == sorted(m for p in parts for m in p if not m.startswith('{"')) and len(bad) > 40
+
+
+def test_suffixes_are_few(spark):
+    """A returned name gives as many rows as its record has lengths of local names, and matches as a full scan does."""
+    from roadlens.operators import attachments as A
+    local = [("a", "x.pdf"), ("a", "photo.jpg"), ("a", "y.pdf"), ("b", ""), ("c", "only"), ("a", None)]
+    returned = [("a", "1-x.pdf", 1), ("a", "x.pdf", 2), ("a", "zz-photo.jpg", 3), ("b", "any", 4), ("a", "pdf", 5), ("d", "q", 6), ("a", None, 7)]
+    lo = spark.createDataFrame(local, "record_id string, file_name string")
+    re_ = spark.createDataFrame(returned, "record_id string, returned_name string, bin_id int")
+    got = sorted((tuple(r) for r in A.suffix_matches(lo, re_).select("record_id", "file_name", "bin_id").collect()), key=str)
+    want = []
+    for k, n in local:
+        ids = [b for k2, x, b in returned if k == k2 and n is not None and x is not None and x.endswith(n)]
+        want += [(k, n, b) for b in ids or [None]]
+    assert got == sorted(want, key=str)
+    assert A.suffixes_of_lengths(lo, re_, "record_id", "file_name", "returned_name").count() <= len(returned) * 2
