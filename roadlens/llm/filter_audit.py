@@ -40,6 +40,8 @@ SIGNS = b"#$%&*|"
 LABELS = ("good", "toxic")
 #: Rows of a range of numbers: what a merge holds at most.
 RANGE_ROWS = 20_000
+#: Ranges that a task merges, on average.
+RANGES_PER_TASK = 8
 
 _SIGN = re.compile(b"[#$%&*|]")
 _UPPER = bytes(range(0x41, 0x5B))
@@ -216,7 +218,9 @@ def audit_steps(postings: DataFrame) -> DataFrame:
                          "filter": pa.array(cols[1], pa.string()),
                          **{n: pa.array(c, pa.int64()) for n, c in zip(("removed", "good_lost", "toxic_lost"), cols[2:], strict=True)}})
 
-    sizes = postings.groupBy("part", "range").applyInArrow(
+    # The lists are small beside the work on them: tasks by the number of ranges, not by bytes.
+    ranges = postings.where("name = ''").count()
+    sizes = postings.repartition(max(12, ranges // RANGES_PER_TASK), "part", "range").groupBy("part", "range").applyInArrow(
         merge, "part string, before string, filter string, removed long, good_lost long, toxic_lost long")
     return sizes.groupBy("part", "before", "filter").agg(*[F.sum(c).alias(c) for c in ("removed", "good_lost", "toxic_lost")])
 
