@@ -256,12 +256,11 @@ def long_runs(text: bytes, windows: list[tuple[int, int]], span: int, over_words
     return [(a, b) for a, b in runs if b + span - a >= SPAN or len(text[a:b + span].split()) > over_words]
 
 
-def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-            with_text: bool = False, over_words: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Two tables: (id, key, n_bytes) of every document, and per different text (key): copies, n_bytes, n_removed,
-    n_spans, kept_sha256 and, ``with_text``, left (the rest without bytes of characters that were cut
-    through; null where the text stays as it is).  With ``over_words``, repeats shorter than SPAN bytes go only if
-    they have more words than that."""
+def _searched(docs: DataFrame, span: int, gram: int, id_col: str, text_col: str, over_words: int | None,
+              keep_texts: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """(id, key, ...) of every document; a row per different text, ``whole`` if all of it goes; (key, spans): the windows
+    that repeat; and, with ``keep_texts``, the texts of these keys, stored.  Without it, texts pass from the shuffle
+    that brings them to their places straight into strings."""
     if not 0 < gram <= span:
         raise ValueError("the gram has to fit into the span")
     spark = docs.sparkSession
@@ -280,64 +279,85 @@ def repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "
     free_shuffles(spark)
     # A text that stands in several rows is taken from those with its least id: its rows are then not one task's.
     wanted = places.join(classes.select("key", "one", "copies"), "key")
-    candidates = stored(wanted.join(keyed, (wanted["key"] == keyed["key"]) & wanted["one"].eqNullSafe(keyed["id"]))
-                        .select(wanted["key"], "copies", "text", "places"), "candidates")
+    candidates = (wanted.join(keyed, (wanted["key"] == keyed["key"]) & wanted["one"].eqNullSafe(keyed["id"]))
+                  .select(wanted["key"], "copies", "text", "places"))
     discard(found)
-    discard(places)
-    free_shuffles(spark)
-    sizes = candidates.select(F.aggregate("places", F.lit(0).cast("long"), lambda a, p: a + p["high"] - p["low"] + span).alias("n"),
-                              F.exists("places", lambda p: p["hot"]).alias("hot")).agg(F.sum("n"), F.max("hot")).first()
+    sizes = places.select(F.aggregate("places", F.lit(0).cast("long"), lambda a, p: a + p["high"] - p["low"] + span).alias("n"),
+                          F.exists("places", lambda p: p["hot"]).alias("hot")).agg(F.sum("n"), F.max("hot")).first()
+    if keep_texts or sizes[1]:          # read more than once
+        candidates = stored(candidates, "candidates")
+        free_shuffles(spark)
     spans = shard_spans(candidates, max(12, -(-(sizes[0] or 0) // SHARD_BYTES)), span)
     if sizes[1]:
         spans = spans.unionByName(hot_spans(candidates, span))
     spans = stored(spans.groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
+    discard(places)
+    if not keep_texts:
+        discard(candidates)
     free_shuffles(spark)
+    classes = classes.withColumn("whole", (F.col("copies") > 1) & (F.col("n_bytes") >= span) & F.col("long"))
+    return rows, classes, spans, candidates if keep_texts else None
+
+
+def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
+    rows, classes, spans, candidates = _searched(docs, span, gram, id_col, text_col, None, keep_texts=True)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            windows = [[(s["low"], s["high"]) for s in spans] for spans in batch.column(2).to_pylist()]
-            if over_words is not None:
-                windows = [long_runs(t, w, span, over_words) for t, w in zip(batch.column(1).to_pylist(), windows, strict=True)]
-            out = [cut_spans(t, [(low, high + span) for low, high in w]) for t, w in
-                   zip(batch.column(1).to_pylist(), windows, strict=True)]
-            columns = [batch.column(0), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()),
-                       pa.array([hashlib.sha256(o[0]).hexdigest() for o in out])]
-            yield pa.RecordBatch.from_arrays(columns + ([pa.array([o[0].decode("utf-8", "ignore") for o in out])] if with_text else []),
-                                             ["key", "removed", "runs", "sha", *(["rest"] if with_text else [])])
+            out = [cut_spans(t, [(s["low"], s["high"] + span) for s in w]) for t, w in
+                   zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64()),
+                 pa.array([hashlib.sha256(o[0]).hexdigest() for o in out])], ["key", "removed", "runs", "sha"])
 
     # Rows of one text and one id give the same row here: distinct.
     single = candidates.where("copies = 1").join(spans, "key").select("key", "text", "spans").mapInArrow(
-        remove, "key binary, removed long, runs long, sha string" + (", rest string" if with_text else ""))
-    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= span) & F.col("long")
+        remove, "key binary, removed long, runs long, sha string")
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     judged = classes.join(single, "key", "left").select(
         "key", "copies", "n_bytes",
-        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(whole, 1).otherwise(F.coalesce("runs", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(whole, nothing).otherwise(F.coalesce("sha", F.lower(F.hex("digest")))).alias("kept_sha256"),
-        *([F.when(whole, F.lit("")).otherwise(F.col("rest")).alias("left")] if with_text else []))
-    return rows.select("id", "key"), judged
-
-
-def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
-    rows, judged = repeats(docs, span, gram, id_col, text_col)
-    out = join_by_class(rows, judged, "key", "copies", rows.count())
+        F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(F.col("whole"), 1).otherwise(F.coalesce("runs", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(F.col("whole"), nothing).otherwise(F.coalesce("sha", F.lower(F.hex("digest")))).alias("kept_sha256"))
+    out = join_by_class(rows.select("id", "key"), judged, "key", "copies", rows.count())
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
                     length_col: str | None = None, over_words: int | None = None) -> DataFrame:
-    """The documents, all columns, with what is left of their texts (and, in ``length_col``, its length).
-    A document that was cut and has no word left goes."""
-    rows, judged = repeats(docs, span, gram, id_col, text_col, with_text=True, over_words=over_words)
-    changed = judged.where("n_removed > 0").select("key", "copies", "left")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key(_bytes(text_col)).alias("key"))
-    out = join_by_class(whole, changed, "key", "copies", rows.count(), "left")
-    cut = F.col("left").isNotNull()
+    """The documents, all columns, with what is left of their texts, without bytes of characters that were cut through
+    (and, in ``length_col``, its length).  With ``over_words``, repeats shorter than SPAN bytes go only if they have
+    more words than that.  A document that was cut and has no word left goes.
+
+    Spans go to the documents, which are shuffled once and cut where they arrive."""
+    rows, classes, spans, _ = _searched(docs, span, gram, id_col, text_col, over_words, keep_texts=False)
+
+    @F.arrow_udf("string")
+    def left(text: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for t, found in zip(text.to_pylist(), spans.to_pylist(), strict=True):
+            if found is None:
+                out.append(None)
+                continue
+            windows = [(s["low"], s["high"]) for s in found]
+            if over_words is not None:
+                windows = long_runs(t, windows, span, over_words)
+            rest, removed, _ = cut_spans(t, [(low, high + span) for low, high in windows])
+            out.append(rest.decode("utf-8", "ignore") if removed else None)
+        return pa.array(out, pa.string())
+
+    fate = classes.join(spans, "key", "left").where(F.col("whole") | (F.col("copies") == 1) & F.col("spans").isNotNull()).select(
+        "key", "copies", "whole", F.when(~F.col("whole"), F.col("spans")).alias("spans"))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key(_bytes(text_col)).alias("key"))
+    out = join_by_class(row, fate, "key", "copies", rows.count(), "left")
+    to_cut = F.when(F.col("spans").isNotNull(), _bytes(f"row.`{text_col}`"))
+    out = out.withColumn("cut", left.asNondeterministic()(to_cut, "spans")).withColumn(       # evaluated once a row
+        "left", F.when(F.col("whole"), F.lit("")).otherwise(F.col("cut")))
+    changed = F.col("left").isNotNull()
     new = {text_col: F.col("left"), **({length_col: F.length("left").cast(docs.schema[length_col].dataType)} if length_col else {})}
-    kept = out.where(~cut | F.col("left").rlike(WORD))
-    return kept.select(*[(F.when(cut, new[c]).otherwise(F.col(f"row.`{c}`")) if c in new else F.col(f"row.`{c}`")).alias(c)
+    kept = out.where(~changed | F.col("left").rlike(WORD))
+    return kept.select(*[(F.when(changed, new[c]).otherwise(F.col(f"row.`{c}`")) if c in new else F.col(f"row.`{c}`")).alias(c)
                          for c in docs.columns])
 
 
