@@ -1,5 +1,6 @@
 """Keyed upsert: latest row per key, merge into a target table, counts, and
-a versioned table layout that never overwrites the version being read.
+a versioned table in key buckets: a write stores the buckets it touches and
+never overwrites what is being read.
 
 Latest-per-key is an aggregation, not a window: ``max(struct(order..., row))``
 is combined map-side, so a key holding a third of all rows costs one row per
@@ -68,71 +69,118 @@ def merge_counts(merged: DataFrame) -> DataFrame:
                       F.count_if(F.col("op") == "update").alias("updated"))
 
 
+#: Key buckets of a table unless it says otherwise; a bucket is what an upsert rewrites at least, by one task.
+BUCKETS = 32
+
+
 class VersionedTable:
-    """A Parquet table stored as ``base/version=N``.  A write goes to N+1 and
-    becomes current only once complete, so a merge may read version N while
-    writing N+1, and a failed job leaves N in place."""
+    """A Parquet table in buckets of its key's hash, as ``base/version=N/bucket_of_<buckets>=B``.
 
-    def __init__(self, spark: SparkSession, base: str):
+    A version holds only the buckets that its write touched; the others stay where older versions left them, and the
+    table is the newest copy of each bucket.  A version counts once it is complete, so a merge may read while it
+    writes, readers see all of a write or nothing, and a failed job leaves the table as it was."""
+
+    def __init__(self, spark: SparkSession, base: str, key: str | None = None, buckets: int = BUCKETS):
         self.spark = spark
         self.base = base.rstrip("/")
+        self.key = key
+        self.buckets = buckets
+        self.column = f"bucket_of_{buckets}"
+
+    def _path(self, *parts: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.base, *parts]))
 
     def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.base)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, *parts: str) -> list[str]:
+        fs, p = self._fs(), self._path(*parts)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
     def versions(self) -> list[int]:
-        p, fs = self._fs()
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            done = st.getPath().toString() + "/_SUCCESS"
-            if name.startswith("version=") and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(done)):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+        fs = self._fs()
+        return sorted(int(n.split("=", 1)[1]) for n in self._names()
+                      if n.startswith("version=") and fs.exists(self._path(n, "_SUCCESS")))
 
     def current(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None
 
-    def read(self) -> DataFrame | None:
-        v = self.current()
-        return None if v is None else self.spark.read.parquet(f"{self.base}/version={v}")
+    def holdings(self, version: int) -> list[int]:
+        """The buckets that a version wrote."""
+        names = [n.split("=", 1) for n in self._names(f"version={version}") if n.startswith("bucket_of_")]
+        if any(n != self.column for n, _ in names):
+            raise ValueError(f"{self.base} has other buckets than {self.buckets}")
+        return sorted(int(b) for _, b in names)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int") if self.key else F.lit(0)
 
-    def write(self, df: DataFrame, partitions: int | None = None) -> int:
+    def touched(self, rows: DataFrame) -> list[int]:
+        """The buckets of some rows: as many numbers as the table has buckets, at most."""
+        return [r[0] for r in rows.select(self._bucket().alias("b")).distinct().collect()]
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame | None:
+        """The current rows (of some buckets only); None before the first write.  ``op`` tells what the last version
+        did, so rows of buckets that it left alone are kept ones."""
+        vs = self.versions()
+        if not vs:
+            return None
+        newest = {b: v for v in vs for b in self.holdings(v)}
+        paths = [f"{self.base}/version={v}/{self.column}={b}" for b, v in sorted(newest.items())
+                 if buckets is None or b in buckets]
+        # A leaf folder read by its own path has no partition columns.  Without any, all folders give the columns.
+        out = self.spark.read.option("mergeSchema", "true").parquet(*(paths or [
+            f"{self.base}/version={v}/{self.column}={b}" for b, v in newest.items()] or [f"{self.base}/version={vs[-1]}"]))
+        if "op" in out.columns:
+            last = F.col("_metadata.file_path").contains(f"/version={vs[-1]}/")
+            out = out.withColumn("op", F.when(last, F.col("op")).otherwise("keep"))
+        return out if paths else out.limit(0)
+
+    def write(self, df: DataFrame) -> int:
+        """The rows of ``df`` replace the buckets that they fall into, as the next version."""
         v = (self.current() or 0) + 1
-        out = df.repartition(partitions) if partitions else df
-        out.write.mode("overwrite").parquet(f"{self.base}/version={v}")
+        out = df.withColumn(self.column, self._bucket())
+        if self.key:
+            out = out.repartition(self.column)
+        out.write.mode("overwrite").partitionBy(self.column).parquet(f"{self.base}/version={v}")
+        if v == 1 and not self.holdings(v):          # an empty table has its columns at least
+            df.limit(0).write.mode("overwrite").parquet(f"{self.base}/version={v}")
         return v
 
     def retain(self, keep: int) -> None:
-        """Delete all but the newest ``keep`` complete versions (readers of an
-        older version must be done; a long-running stream keeps a few)."""
+        """Delete what only versions before the newest ``keep`` need (readers of an older version must be done; a
+        long-running stream keeps a few)."""
         vs = self.versions()
         if keep < 1 or len(vs) <= keep:
             return
-        jvm = self.spark.sparkContext._jvm
-        _, fs = self._fs()
-        for v in vs[:-keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.base}/version={v}"), True)
+        fs, seen = self._fs(), set()
+        for v in reversed(vs[:len(vs) - keep + 1]):
+            held = self.holdings(v)
+            old = [b for b in held if b in seen]
+            seen.update(held)
+            if v != vs[-keep]:
+                if len(old) == len(held) and seen:
+                    fs.delete(self._path(f"version={v}"), True)
+                else:
+                    for b in old:
+                        fs.delete(self._path(f"version={v}", f"{self.column}={b}"), True)
 
     def upsert(self, source: DataFrame, key: str, order: list[str],
                as_of: dt.datetime | None = None, drop: tuple[str, ...] = ()) -> tuple[int, DataFrame]:
-        """``drop``: columns of the source that only order it.  Merge ``source`` into the current version and write the next one.
-        Returns the new version and its counts (computed from the written table)."""
+        """Merge ``source`` into the buckets that its keys fall into and write these as the next version.  Returns the
+        new version and its counts (computed from what was written).  ``drop``: columns that only order the source."""
+        self.key = key
         source = latest_per_key(source, key, order).drop(*drop)
         order = [c for c in order if c not in drop] or [c for c in source.columns if c != key][:1]
-        cur = self.read()
+        cur = self.read(self.touched(source))
         if cur is None:
             cur = self.spark.createDataFrame([], source.schema).withColumns({
                 "created_at": F.lit(None).cast("timestamp_ntz"),
                 "updated_at": F.lit(None).cast("timestamp_ntz")})
         else:
             cur = cur.drop("op")
-        merged = merge(cur, source, key, order, as_of)
-        v = self.write(merged)
-        written = self.spark.read.parquet(f"{self.base}/version={v}")
-        return v, merge_counts(written)
+        v = self.write(merge(cur, source, key, order, as_of))
+        if not self.holdings(v):                     # nothing came
+            return v, merge_counts(self.spark.createDataFrame([], "op string"))
+        return v, merge_counts(self.spark.read.parquet(f"{self.base}/version={v}"))

@@ -3,8 +3,9 @@ a 300 s time to live, and look the live value up.
 
 The stream is stateless per message (``select``); the per-location state is
 a table merged in ``foreachBatch``: each micro-batch is reduced to one row
-per location (partial aggregation), unioned with the current table and
-reduced again, then written as the next table version.  Ordering is by
+per location (partial aggregation), unioned with the current rows of the key
+buckets it touches and reduced again, and these buckets are written as the
+next table version; the others stay as they are.  Ordering is by
 (event time, event id), so a replayed batch leaves the table unchanged and
 the at-least-once source becomes an idempotent sink.
 """
@@ -130,6 +131,15 @@ def lookup_live(enriched: DataFrame, lookups: DataFrame, key: str = "lookup_id",
     return out.select("q.*", *[F.col(f"m.{c}").alias(c) for c in metrics], (F.col("m.ts") + ttl).alias("expires_at"))
 
 
+def _fold(table: VersionedTable, enriched: DataFrame) -> None:
+    """Merge a batch into the table's buckets that it touches."""
+    fresh = latest_per_key(enriched, "location", ["ts", "event_id"]).persist()       # a row per location, read twice
+    try:
+        table.write(merge_latest(table.read(table.touched(fresh)), fresh))
+    finally:
+        fresh.unpersist()
+
+
 def start_metric_stream(spark: SparkSession, source: DataFrame, table_path: str, checkpoint: str,
                         available_now: bool = True, processing_time: str | None = None,
                         keep_versions: int = 3):
@@ -138,12 +148,10 @@ def start_metric_stream(spark: SparkSession, source: DataFrame, table_path: str,
     ``source`` is a streaming DataFrame of events (file or Kafka source parsed
     with :func:`parse_messages`).  Offsets live in ``checkpoint``; each batch
     writes the next version of the table at ``table_path``."""
-    table = VersionedTable(spark, table_path)
+    table = VersionedTable(spark, table_path, "location")
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich(batch, F.current_timestamp())
-        merged = merge_latest(table.read(), enriched)
-        table.write(merged)
+        _fold(table, enrich(batch, F.current_timestamp()))
         table.retain(keep_versions)   # one version per batch: keep the newest few
 
     w = source.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
@@ -162,7 +170,7 @@ def start_message_stream(spark: SparkSession, raw: DataFrame, table_path: str, r
     ``raw`` is a streaming DataFrame of JSON texts (``value_col``).  A batch has three outputs, each repeatable: its
     rejects and its counts are written over the folder of the batch id, and its metrics are merged by location, event
     time and id.  So a batch that is run again after a failure, at whatever point, leaves what it would have left."""
-    table = VersionedTable(spark, table_path)
+    table = VersionedTable(spark, table_path, "location")
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         held = batch.select(value_col).persist()              # read three times
@@ -172,7 +180,7 @@ def start_message_stream(spark: SparkSession, raw: DataFrame, table_path: str, r
             counts = held.agg(F.count(F.lit(1)).alias("n_read")).crossJoin(good.agg(F.count(F.lit(1)).alias("n_parsed")))
             counts.coalesce(1).write.mode("overwrite").parquet(f"{rejects_path}/counts/batch={batch_id}")
             events = good.withColumn("ts", F.col("ts").try_cast("timestamp_ntz"))
-            table.write(merge_latest(table.read(), enrich(events, F.current_timestamp())))
+            _fold(table, enrich(events, F.current_timestamp()))
             table.retain(keep_versions)
         finally:
             held.unpersist()
