@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence.
 
 Each text gives two histograms: characters by class, and common function
-words.  A language's reference is the sum of the histograms of its documents
+words, with all other words as one more bin.  A language's reference is the sum of the histograms of its documents
 that pass the base rules.  A text is kept if it passes the base rules and if,
 for both histograms, its Jensen-Shannon distance to the closest reference is
 within a limit.  A histogram of too little material is not judged (the guard).
@@ -39,10 +39,11 @@ CLASS_COUNT = len(CLASSES) + 1                       # and the rest
 
 #: Distances (0 to 1) up to which a text is kept.
 MAX_CLASS_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.75
-#: A histogram is judged from so many characters, and so many common words, on.
+#: A text without any common word is at 0.36 from its language, as a quarter of the words are missing.
+MAX_WORD_DISTANCE = 0.34
+#: A histogram is judged from so many characters, and so many words, on.
 MIN_CHARS = 200
-MIN_COMMON = 20
+MIN_JUDGED_WORDS = 50
 #: Base rules.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -116,17 +117,18 @@ def measures(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ke
 
 
 def references(measured: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
-    """Per language, the shares of each class and of each common word over its documents that pass the base rules."""
+    """Per language, the shares of each class and of each common word (and of all others together) over its documents that pass the base rules."""
     sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(CLASS_COUNT)]
     sums += [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(len(COMMON_WORDS))]
     rows = (measured.where(~F.col("base_failed") & F.col("lang").isin(*LANGUAGES))
-            .groupBy("lang").agg(*sums).collect())                       # a row per language
+            .groupBy("lang").agg(*sums, F.sum("n_words").alias("words")).collect())                       # a row per language
     out = {}
     for r in sorted(rows, key=lambda r: r["lang"]):
         classes = [r[f"c{i}"] for i in range(CLASS_COUNT)]
         common = [r[f"w{i}"] for i in range(len(COMMON_WORDS))]
         if sum(classes) and sum(common):
-            out[r["lang"]] = ([x / sum(classes) for x in classes], [x / sum(common) for x in common])
+            words = [*common, r["words"] - sum(common)]          # the last bin: words that are not common
+            out[r["lang"]] = ([x / sum(classes) for x in classes], [x / r["words"] for x in words])
     return out
 
 
@@ -163,11 +165,12 @@ def judge(measured: DataFrame, refs: dict) -> DataFrame:
         return F.aggregate(F.col(c), F.lit(0).cast("long"), lambda a, x: a + x)
 
     out = measured.withColumns({"n_chars_judged": total("classes"), "n_common": total("common")})
+    out = out.withColumn("words", F.concat("common", F.array(F.col("n_words") - F.col("n_common"))))
     out = out.withColumns({
         "class_distance": F.when(F.col("n_chars_judged") >= MIN_CHARS,
                                  _closest("classes", "n_chars_judged", [r[0] for r in refs.values()])),
-        "word_distance": F.when(F.col("n_common") >= MIN_COMMON,
-                                _closest("common", "n_common", [r[1] for r in refs.values()]))})
+        "word_distance": F.when(F.col("n_words") >= MIN_JUDGED_WORDS,
+                                _closest("words", "n_words", [r[1] for r in refs.values()]))})
     return out.withColumn("kept", ~F.col("base_failed")
                           & (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= MAX_CLASS_DISTANCE)
                           & (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= MAX_WORD_DISTANCE))
@@ -218,7 +221,7 @@ def _oracle() -> str:
         return f"sqrt(greatest(({' + '.join(terms)}) / 2, 0))"
 
     chars = " + ".join(f"f.{c}" for c in class_cols)
-    commons = " + ".join(f"f.{c}" for c in word_cols)
+    commons = " + ".join(word_cols)
     return f"""
 with d as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as t from documents),
 w as (select r, unnest(l) as w, generate_subscripts(l, 1) as i
@@ -236,13 +239,13 @@ f as (select d.r, doc_id, lang, coalesce(n_words, 0) as n_words, coalesce(word_c
         coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
         {', '.join(f'coalesce({c}, 0) as {c}' for c in word_cols)}, {class_sql}
       from d left join per using (r) left join lin using (r) left join cov using (r)),
-b as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed from f),
-ref as (select lang, {', '.join(f'sum({c}) as {c}' for c in class_cols + word_cols)} from b
+b as (select *, n_words - ({commons}) as k_other, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed from f),
+ref as (select lang, {', '.join(f'sum({c}) as {c}' for c in class_cols + [*word_cols, 'k_other'])} from b
         where not base_failed and lang in ('en', 'de', 'fr', 'es') group by lang
         having {' + '.join(f'sum({c})' for c in word_cols)} > 0),
 near as (select f.r,
            min(case when {chars} >= {MIN_CHARS} then {distance(class_cols, 'ref')} end) as cd,
-           min(case when {commons} >= {MIN_COMMON} then {distance(word_cols, 'ref')} end) as wd
+           min(case when f.n_words >= {MIN_JUDGED_WORDS} then {distance([*word_cols, 'k_other'], 'ref')} end) as wd
          from b as f, ref group by f.r)
 select doc_id, n_words, word_chars, n_symbols::bigint as n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and coalesce(cd, 0) <= {MAX_CLASS_DISTANCE} and coalesce(wd, 0) <= {MAX_WORD_DISTANCE} as kept

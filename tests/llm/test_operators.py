@@ -95,8 +95,17 @@ def test_quality_distances(spark, docs):
     out = quality_rules.quality_rules(frame).collect()
     judged = {r["kept_row"]["doc_id"]: (r["base_failed"], r["kept"]) for r in out}
     assert [judged[i] for i in range(6)] == [(False, True)] * 4 + [(False, False)] * 2
-    # The guard: without common words (signs hide those of 5), only the characters are judged.
-    assert all(r["class_distance"] is not None and (r["word_distance"] is None) == (r["kept_row"]["doc_id"] >= 5) for r in out)
+    # Words that are not common are a bin of their own, so a text without function words is judged too.
+    assert all(r["class_distance"] is not None and r["word_distance"] is not None for r in out)
+    # It goes for that alone if its characters are those of prose.  The guard: few words are judged by the base rules only.
+    names = [f"bra{chr(97 + i % 26)}{chr(97 + i // 26)}on" for i in range(90)]
+    lines = ". ".join(" ".join(names[i:i + 15]).capitalize() for i in range(0, 90, 15)) + "."
+    more = spark.createDataFrame([(8, lines, "en"), (9, "bread and salt", "en")], "doc_id long, text string, lang string")
+    out = {r["kept_row"]["doc_id"]: r for r in quality_rules.quality_rules(frame.union(more)).collect()}
+    assert (out[8]["base_failed"], out[8]["kept"]) == (False, False)
+    assert out[8]["class_distance"] <= quality_rules.MAX_CLASS_DISTANCE
+    assert out[8]["word_distance"] > quality_rules.MAX_WORD_DISTANCE
+    assert out[9]["word_distance"] is None and all(out[i]["kept"] for i in range(4))
 
 
 def test_lm_scores(docs, rows, empty):
