@@ -80,6 +80,19 @@ def q_stream_latest_metric(spark, sf):
     return table.read().select(*OUT)
 
 
+@register("stream_state_metric", ("R2", "R3", "R6", "K5"), with_views(LATEST_SQL.format(where=""), "traffic_events"))
+def q_stream_state_metric(spark, sf):
+    """The same table by the stream that keeps its state in RocksDB under a watermark."""
+    events = T.read_table(spark, sf, "events")
+    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+           .option("pathGlobFilter", "events.parquet").parquet(sf))
+    run = uuid.uuid4().hex[:12]
+    q, table = S.start_state_stream(spark, spark.sql(T.TRAFFIC_EVENTS_SQL, events=src), scratch_path(spark, f"state-{run}"),
+                                    scratch_path(spark, f"state-{run}-ckpt"))
+    q.awaitTermination()
+    return table.read().select(*OUT)
+
+
 @register("stream_rejects", ("S7", "N7", "R6"), with_views("""
 SELECT 'read' AS kind, CAST(count(*) AS BIGINT) AS n FROM traffic_events
 UNION ALL SELECT 'parsed', count(*) FILTER (WHERE event_id % 50 <> 0) FROM traffic_events

@@ -22,6 +22,9 @@ from roadlens import fixed_values as fv
 from roadlens.functions import derive as D
 from roadlens.operators.upsert import VersionedTable, latest_per_key
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Message schema: the consumer's keys plus the producer's names (speed, timestamp).  Fields are read
 # as text and cast one by one, so that a bad field is a missing one and not a lost message.
 MESSAGE_FIELDS = {"event_id": "string", "ts": "timestamp_ntz", "timestamp": "timestamp_ntz", "location": "string",
@@ -162,6 +165,52 @@ def start_metric_stream(spark: SparkSession, source: DataFrame, table_path: str,
     return w.start(), table
 
 
+def latest_in_windows(enriched: DataFrame, ttl_seconds: int = fv.METRIC_TTL_SECONDS,
+                      delay_seconds: int = fv.METRIC_TTL_SECONDS) -> DataFrame:
+    """The latest event of every location in each window of ``ttl_seconds``, under a watermark of ``delay_seconds``.
+
+    On a stream this is its state: one row per location and window, and a window leaves the state as soon as the
+    watermark has passed its end, so the state holds what may still change, however many locations there ever were.
+    Events without a time have no window and are left out.  An event that is older than the watermark's window is
+    late and left out; with a delay of a time to live or more its metric has expired by then."""
+    rest = [c for c in enriched.columns if c != "location"]
+    timed = enriched.withColumn("__at", F.col("ts").cast("timestamp")).withWatermark("__at", f"{delay_seconds} seconds")
+    latest = timed.groupBy(F.window("__at", f"{ttl_seconds} seconds").alias("__window"), "location").agg(
+        F.max_by(F.struct(*rest), F.struct("ts", "event_id")).alias("__m"))
+    return latest.select("location", "__m.*")
+
+
+def start_state_stream(spark: SparkSession, source: DataFrame, table_path: str, checkpoint: str,
+                       delay_seconds: int = fv.METRIC_TTL_SECONDS, available_now: bool = True,
+                       processing_time: str | None = None, keep_versions: int = 3):
+    """The latest-metric stream with its state in RocksDB, snapshots of which lie in ``checkpoint``.
+
+    Update mode: a batch hands on the locations and windows that it changed only, and these are merged into the table
+    by location, event time and id.  A query that stopped anywhere goes on from its checkpoint: a batch that was not
+    committed is run again from the state before it, and merging its rows again changes nothing."""
+    table = VersionedTable(spark, table_path, "location")
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        _fold(table, batch)
+        table.retain(keep_versions)
+
+    w = (latest_in_windows(enrich(source, F.current_timestamp()), delay_seconds=delay_seconds)
+         .writeStream.outputMode("update").foreachBatch(fold).option("checkpointLocation", checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)                      # a query keeps the settings it was started with
+    try:
+        return w.start(), table
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def start_message_stream(spark: SparkSession, raw: DataFrame, table_path: str, rejects_path: str, checkpoint: str,
                          available_now: bool = True, processing_time: str | None = None, keep_versions: int = 3,
                          value_col: str = "value"):

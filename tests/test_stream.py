@@ -2,8 +2,10 @@
 slotted live lookup equals a brute-force scan."""
 
 import datetime as dt
+import time
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadlens.session import scratch_path
@@ -136,3 +138,64 @@ def test_suffixes_are_few(spark):
         want += [(k, n, b) for b in ids or [None]]
     assert got == sorted(want, key=str)
     assert A.suffixes_of_lengths(lo, re_, "record_id", "file_name", "returned_name").count() <= len(returned) * 2
+
+
+def _event_files(spark, folder, n=5):
+    """The events in n files, in the order of their times, with one event that is late within the delay."""
+    events = T.traffic_events(spark, SF)
+    rows = events.orderBy("ts", "event_id").limit(4000).collect()
+    size = -(-len(rows) // n)
+    parts = [rows[i * size:(i + 1) * size] for i in range(n)]
+    parts[1].append(parts[0].pop())                           # comes a file later than it should
+    for i, part in enumerate(parts):
+        # Read in the order of their modification times.
+        spark.createDataFrame(part, events.schema).coalesce(1).write.mode("append").parquet(f"{folder}/part={i}")
+        time.sleep(1.1)
+    return events.schema, rows
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_state_stream_goes_on_from_its_checkpoint(spark, tmp_dir, monkeypatch, when):
+    """Stopped in a batch, before or after its rows were merged, and started again: the table of a batch run; and
+    windows that the watermark has passed are no longer in the state."""
+    schema, rows = _event_files(spark, f"{tmp_dir}/in")
+    merged, calls = S._fold, []
+
+    def failing(table, batch):
+        calls.append(1)
+        if len(calls) == 3 and when == "before":
+            raise RuntimeError("lost")
+        merged(table, batch)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(S, "_fold", failing)
+
+    def run():
+        src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in/part=*")
+        return S.start_state_stream(spark, src, f"{tmp_dir}/table", f"{tmp_dir}/ckpt")
+
+    q, _ = run()
+    with pytest.raises(Exception, match="lost"):
+        q.awaitTermination()
+    q, table = run()
+    q.awaitTermination()
+    cols = ["location", "event_id", "ts", "volume", "average_speed", "congestion_level", "expires_at"]
+    got = sorted(tuple(r) for r in table.read().select(*cols).collect())
+    batch = S.latest_metrics(S.enrich(spark.createDataFrame(rows, schema)))
+    assert got == sorted(tuple(r) for r in batch.select(*cols).collect()) and len(calls) > 5
+    state = spark.read.format("statestore").load(f"{tmp_dir}/ckpt").select("key.*").toDF("window", "location").collect()
+    ends = [r.window.end for r in state]
+    last = max(r.ts for r in rows)
+    groups = {(r.location, r.ts.replace(second=0, minute=r.ts.minute // 5 * 5)) for r in rows}
+    assert 0 < len(state) < len(groups) and all(e > last - dt.timedelta(seconds=300) for e in ends)
+
+
+def test_state_stream_cases(spark):
+    """As a batch: no time, no window; repeated events count once; an empty table."""
+    schema = "event_id string, ts timestamp_ntz, location string, volume double"
+    t = dt.datetime(2024, 1, 1, 0, 0, 10)
+    df = spark.createDataFrame([("a", t, "x", 1.0), ("b", t, "x", 2.0), ("b", t, "x", 2.0), ("c", None, "x", 3.0), (None, t, None, 4.0)], schema)
+    got = {(r.location, r.event_id, r.volume) for r in S.latest_in_windows(df).collect()}
+    assert got == {("x", "b", 2.0), (None, None, 4.0)}
+    assert S.latest_in_windows(df.limit(0)).count() == 0
