@@ -53,6 +53,8 @@ BUCKET_ENTRIES = 1_500_000
 #: K: the weight of the word probabilities, in tokens.
 PRIOR = 20.0
 ADDED = 0.1
+#: Tokens read from left to right in one go.
+STRETCH = 1024
 HELD_OUT = 10                    # a document is held out if this divides the CRC of its id
 END = b""                        # no word is empty
 
@@ -188,29 +190,52 @@ def answers(blocks: DataFrame, buckets: int) -> DataFrame:
 class Automaton:
     """The part of the automaton that the texts of a block walk through.
 
-    ``weight`` has, for every pair of a state and a word that a text asks for,
-    the arc's log-probability, or that of the failure arc and the root's arc."""
+    States are numbered by their words; the root comes last.  The arcs of a state lie side by side, by the word that
+    they read, which is also the state that they lead to.  Every state but the root has a failure arc, to the root,
+    which reads nothing.  The root has an arc for every word of the block."""
 
     def __init__(self, count: np.ndarray, grams: np.ndarray, gram_count: np.ndarray, total: int, different: int):
+        self.root = self.words = len(count)
         p = (count + ADDED) / (total + ADDED * (different + 1))
-        self.root = np.log10(p)                                  # the root's arcs
-        self.fail = np.log10(PRIOR / (count + PRIOR))            # from every state to the root
-        state, word = grams // len(count), grams % len(count)
-        arc = np.log10((gram_count + PRIOR * p[word]) / (count[state] + PRIOR))
-        self.weight = np.where(gram_count > 0, arc, self.fail[state] + self.root[word])
-
-    def read(self, steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The log-probability of each text.  ``steps``: the pair of state and word at each token.  All texts are
-        read at once, a token of each at a time, the longest first, so that those still being read are a prefix."""
-        order = np.argsort(-sizes, kind="stable")
-        at, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
-        reading = np.searchsorted(-sizes, -np.arange(int(sizes.max(initial=0))), side="left")
-        sums = np.zeros(len(at))
+        self.known = grams[gram_count > 0]                       # arcs by state and word, ascending; then the root's
+        state, word = np.divmod(self.known, self.words)
+        inner = np.log10((gram_count[gram_count > 0] + PRIOR * p[word]) / (count[state] + PRIOR))
+        self.weight = np.r_[inner, np.log10(p)]
+        self.failure = np.log10(PRIOR / (count + PRIOR))
+
+    def arc(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The number of the arc by which each state reads its word, -1 where there is none."""
+        wanted = state * self.words + word
+        at = np.minimum(np.searchsorted(self.known, wanted), max(len(self.known) - 1, 0))
+        has = self.known[at] == wanted if len(self.known) else np.zeros(len(wanted), bool)
+        return np.where(state == self.root, len(self.known) + word, np.where(has, at, -1))
+
+    def read(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The log-probability of each text, from left to right.
+
+        Texts are read in stretches of STRETCH tokens.  A stretch starts in the state that the token before it leads
+        to; before a text that is the end token.  All stretches are read at once, a token of each at a time, the
+        longest first, so that those still being read are a prefix."""
+        ends, cuts = np.cumsum(sizes), -(-sizes // STRETCH)
+        first = np.cumsum(cuts) - cuts
+        at = np.repeat(ends - sizes, cuts) + STRETCH * (np.arange(cuts.sum()) - np.repeat(first, cuts))
+        length = np.minimum(np.repeat(ends, cuts) - at, STRETCH)
+        order = np.argsort(-length, kind="stable")
+        at, length = at[order], length[order]
+        reading = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), side="left")
+        sums, state = np.zeros(len(at)), np.r_[0, words].astype(np.int64)[at]
         for step, n in enumerate(reading.tolist()):
-            sums[:n] += self.weight[steps[at[:n] + step]]
+            here, word = state[:n], words[at[:n] + step].astype(np.int64)
+            arc = self.arc(here, word)
+            stuck = np.flatnonzero(arc < 0)
+            sums[stuck] += self.failure[here[stuck]]             # the failure arcs, and on from the root
+            here[stuck] = self.root
+            arc[stuck] = self.arc(here[stuck], word[stuck])
+            sums[:n] += self.weight[arc]
+            state[:n] = word
         out = np.empty(len(sums))
         out[order] = sums
-        return out
+        return np.add.reduceat(out, first)
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,7 +254,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         row = block.to_pylist()[0]
         words, sizes = unpacked(row["words"]), unpacked(row["sizes"]).astype(np.int64)
         hashes = np.frombuffer(row["hashes"], np.uint64)
-        grams, steps = np.unique(_bigrams(words, len(hashes)), return_inverse=True)
+        grams = np.unique(_bigrams(words, len(hashes)))
         asked = _asked(grams, hashes, buckets)
         counts = []
         for level, (keys, order) in enumerate(asked, 1):
@@ -243,8 +268,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         ids = block["ids"].chunk(0).values
         return pa.table({
             "id": ids, "held_out": pa.array(held_out(row["ids"])), "n_tokens": pa.array(sizes), "n_known": pa.array(known),
-            "train_tokens": pa.array(np.full(len(sizes), train)), "base_score": pa.array(np.add.reduceat(automaton.root[words], starts)),
-            "score": pa.array(automaton.read(steps, sizes))})
+            "train_tokens": pa.array(np.full(len(sizes), train)), "base_score": pa.array(np.add.reduceat(automaton.weight[len(automaton.known):][words], starts)),
+            "score": pa.array(automaton.read(words, sizes))})
 
     parts = max(12, -(-tokens // (BLOCK_BYTES // 12)))
     out = (blocks.repartition(parts, "block").groupBy("block")
