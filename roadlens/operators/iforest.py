@@ -158,11 +158,10 @@ def score(df: DataFrame, nodes, features: list[str]) -> DataFrame:
 def detect(df: DataFrame, features: list[str], key: str, contamination: float = fv.IFOREST_CONTAMINATION,
            trees: int = fv.IFOREST_TREES, max_samples: int = fv.IFOREST_SAMPLE, seed: int = fv.SEED) -> DataFrame:
     """Fit on ``df`` and flag it: adds anomaly_score (decision value) and is_anomaly."""
-    from roadlens.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
+    from roadlens.session import written
     nodes = fit(df, features, key, trees, max_samples, seed).toPandas()
-    # Scores are read twice (offset, then flags): materialise them once.
-    scored = score(df, nodes, features).checkpoint(eager=True)
+    # Scores are read twice (offset, then flags): materialise them once, in files that are read in splits.
+    scored = written(score(df, nodes, features), "forest-scores")
     # Offset: the exact contamination quantile of the training scores, one row.
     from roadlens.operators.selection import quantiles
     off = quantiles(scored.withColumn("__all", F.lit(0)), "score_samples", "__all", (contamination,)).select(F.col("q0").alias("__off"))

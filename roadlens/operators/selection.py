@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGIT_BITS = 12
+#: Keys whose few prefixes are sent to all tasks; of more keys, only those with more than one row in HOT_SHARE are.
+SENT_KEYS = 100_000
+HOT_SHARE = 1000
 
 
 def _ordered_bits():
@@ -41,6 +44,17 @@ def _number(values: DataFrame, column: str) -> Column:
     return _ordered_bits()(F.col(column).cast("double"))
 
 
+def _near(base: DataFrame, asked: DataFrame, sizes: DataFrame, keys: int) -> DataFrame:
+    """The rows of the asked keys with their prefixes.  A key may have any share of the rows, so its rows stay where
+    they are: the prefixes go to them.  Only the rows of rare keys, if there are very many keys, are shuffled."""
+    if keys <= SENT_KEYS:
+        return base.join(F.broadcast(asked), "k")
+    total = sizes.agg(F.sum("n")).first()[0]
+    hot = F.broadcast(sizes.where(F.col("n") > total // HOT_SHARE).select("k"))
+    return (base.join(F.broadcast(asked.join(hot, "k", "left_semi")), "k")
+            .unionByName(base.join(hot, "k", "left_anti").join(asked, "k")))
+
+
 def select_ranks(df: DataFrame, value: str, key: str, wanted: dict[str, Column]) -> DataFrame:
     """Per key: n, min, max, and a column per entry of ``wanted``: the value of that rank (0 is the least).
 
@@ -54,6 +68,7 @@ def select_ranks(df: DataFrame, value: str, key: str, wanted: dict[str, Column])
     names = list(wanted)
     ranks = F.array(*[F.struct(F.lit(i).alias("i"), wanted[c].cast("long").alias("left")) for i, c in enumerate(names)])
     sizes = sizes.checkpoint(eager=True)
+    keys = sizes.count()
     open_ = sizes.select("k", F.inline(ranks)).withColumn("prefix", F.lit(0).cast("long"))
     settled, shift = None, 64
     while shift > 0:
@@ -63,7 +78,7 @@ def select_ranks(df: DataFrame, value: str, key: str, wanted: dict[str, Column])
         asked = open_.groupBy("k").agg(F.collect_set("prefix").alias("prefixes"))
         # A row belongs to at most one of the prefixes of its key.
         prefix = F.shiftright("u", done) if done < 64 else F.lit(0).cast("long")
-        near = base.join(asked, "k").withColumn("prefix", prefix).where(F.array_contains("prefixes", F.col("prefix")))
+        near = _near(base, asked, sizes, keys).withColumn("prefix", prefix).where(F.array_contains("prefixes", F.col("prefix")))
         digit = F.shiftright("u", shift) if done == 64 else F.shiftright("u", shift).bitwiseAND((1 << bits) - 1)
         bins = near.groupBy("k", "prefix", digit.alias("digit")).agg(
             F.count(F.lit(1)).alias("c"), F.min("u").alias("lo"), F.max("u").alias("hi"), F.min("v").alias("value"))

@@ -54,3 +54,26 @@ def test_plan_has_no_window_and_empty_input(spark):
     assert S.quantiles(empty, "v", "k", (0.5,)).count() == 0
     df = spark.createDataFrame([("a", float(i)) for i in range(50)], "k string, v double")
     assert "Window" not in S.quantiles(df, "v", "k", (0.5,))._jdf.queryExecution().toString()
+
+
+def test_rows_of_a_key_stay_where_they_are(spark, monkeypatch):
+    """A key with all rows is no task's: with few keys nothing is shuffled, with many the hot ones are not."""
+    base = spark.range(4000).selectExpr("if(id % 2 = 0, -1, id) k", "cast(id as double) v", "id u")
+    sizes = base.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    asked = sizes.select("k", F.array(F.lit(0).cast("long")).alias("prefixes")).checkpoint()
+    monkeypatch.setattr(S, "_number", lambda values, column: F.col("u"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = S._near(base, asked, sizes.checkpoint(), 2001)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        many = S._near(base, asked, sizes.checkpoint(), S.SENT_KEYS + 1)
+        assert many._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect())) and few.count() == 4000
+    monkeypatch.undo()
+    one = base.select("k", "v")
+    want = {r.k: (r.n, r.q0) for r in S.quantiles(one, "v", "k", (0.5,)).collect()}
+    monkeypatch.setattr(S, "SENT_KEYS", 10)
+    assert {r.k: (r.n, r.q0) for r in S.quantiles(one, "v", "k", (0.5,)).collect()} == want and want[-1] == (2000, 1999.0)
