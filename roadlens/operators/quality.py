@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from roadlens import fixed_values as fv
 from roadlens.functions import coerce as C
+from roadlens.session import written
 
 MAX_BROADCAST_ROWS = 100_000
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -49,13 +50,17 @@ def duplicates(df: DataFrame) -> DataFrame:
     """Rows repeating an earlier identical row (NULLs equal): count, %, acceptable.
 
     Rows are grouped by two 64-bit hashes first, so only these are shuffled;
-    the groups with several rows are then counted by their real columns.
-    Partial aggregation collapses hot groups before either shuffle."""
+    the groups with several rows are then counted by their real columns.  The
+    hashes of these groups are written once: few are broadcast, so the other
+    rows stay where they are.  Partial aggregation collapses hot groups before
+    either shuffle."""
     cols = [F.col(f"`{c}`") for c in df.columns]
     hashed = df.withColumns({"__h1": F.xxhash64(*cols), "__h2": F.xxhash64(F.lit(1), *reversed(cols))})
     groups = hashed.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__c"))
-    total = groups.agg(F.coalesce(F.sum("__c"), F.lit(0)).alias("__n"))
-    several = groups.filter(F.col("__c") > 1).select("__h1", "__h2")
+    total = df.agg(F.count(F.lit(1)).alias("__n"))
+    several = written(groups.filter(F.col("__c") > 1).select("__h1", "__h2"), "several")
+    if several.count() <= MAX_BROADCAST_ROWS:
+        several = F.broadcast(several)
     exact = hashed.join(several, ["__h1", "__h2"], "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("__c"))
     agg = exact.agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).alias("count")).crossJoin(total)
     share = F.try_divide(F.col("count"), F.col("__n"))

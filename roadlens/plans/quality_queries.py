@@ -5,6 +5,7 @@ from __future__ import annotations
 from roadlens import fixed_values as fv
 from roadlens.operators import quality as Q
 from roadlens.plans.registry import register, with_views
+from roadlens.session import written
 from roadlens.sources import tables as T
 
 # Column types of the derived views (as Spark names them).
@@ -172,7 +173,7 @@ SELECT round(greatest(CAST(0.0 AS DOUBLE), least(CAST(1.0 AS DOUBLE),
 FROM parts
 """, "devices"))
 def q_dataset_score(spark, sf):
-    return Q.quality_score(T.devices(spark, sf), numeric=DEVICE_NUMERIC)
+    return Q.quality_score(written(T.devices(spark, sf), "score"), numeric=DEVICE_NUMERIC)
 
 
 @register("recommendations", ("A19",), with_views(_sections_sql() + """
@@ -188,4 +189,4 @@ SELECT 4 AS seq, 'Address ' || CAST(count(*) AS VARCHAR) || ' high-severity busi
 FROM biz WHERE severity = 'high' HAVING count(*) > 0
 """, "devices"))
 def q_recommendations(spark, sf):
-    return Q.recommendations(T.devices(spark, sf), numeric=DEVICE_NUMERIC)
+    return Q.recommendations(written(T.devices(spark, sf), "recommendations"), numeric=DEVICE_NUMERIC)

@@ -53,3 +53,45 @@ def test_zscore_and_score(spark):
     assert kinds == {"no_variation"}
     s = Q.quality_score(spark.createDataFrame(ROWS, SCHEMA)).collect()[0]
     assert 0.0 <= s.quality_score <= 1.0
+
+
+def test_rows_that_repeat_nothing_are_not_shuffled(spark):
+    """Only hashes are: the rows of the few groups that repeat are found by broadcast."""
+    rows = spark.createDataFrame(ROWS, SCHEMA)
+    df = rows.crossJoin(spark.range(3).withColumnRenamed("id", "i"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dup = Q.duplicates(df)
+        plan = dup._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "LeftSemi, BuildRight" in plan
+    assert dup.first()["count"] == 3
+
+
+def test_inputs_that_are_read_several_times_are_written_once(spark, monkeypatch):
+    from roadlens.operators import iforest as I
+    from roadlens.operators import jobs as J
+    from roadlens.operators import model as M
+    from roadlens.plans import io_queries, model_queries, quality_queries
+    sf, read = "/root/testdata/sf0.001", []
+
+    class Seen(Exception):
+        pass
+
+    def see(df, *rest, **more):
+        read.append(df.inputFiles())
+        raise Seen
+
+    for place, name, query in ((Q, "quality_score", quality_queries.q_dataset_score), (Q, "recommendations", quality_queries.q_recommendations),
+                               (J, "run_quality_report", io_queries.q_quality_report_sections), (J, "dashboard_report", io_queries.q_dashboard_report),
+                               (J, "dashboard_report", io_queries.q_dashboard_report_values), (M, "impute_means", model_queries._linear),
+                               (I, "detect", model_queries.q_isolation_forest), (M, "complete_rows", model_queries.q_feature_importance)):
+        with monkeypatch.context() as m:
+            m.setattr(place, name, see)
+            try:
+                query(spark, sf)
+            except Seen:
+                pass
+    assert len(read) == 8
+    assert all(files and not any("testdata" in f for f in files) for files in read), read
