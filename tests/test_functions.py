@@ -129,3 +129,13 @@ def test_metrics_of_diverging_predictions(spark):
     assert r.n == 4 and r.mae == pytest.approx(sum(map(abs, errors)) / 4) and r.mse == pytest.approx(sum(e * e for e in errors) / 4)
     r = M.regression_metrics(spark.createDataFrame([(1.0, float("inf")), (2.0, 2.0)], "y double, p double"), "y", "p").first()
     assert r.mae == float("inf") and r.n == 2
+
+
+def test_a_date_is_read_by_few_matches(spark):
+    """Groups come from one match each: not one match per group, use and spelling."""
+    from roadlens.functions import coerce as C
+    df = spark.createDataFrame([("3/14/2024 10:15",), ("14 mar 24",), ("2024-3-9T25:00",), ("2024.3.9",), (None,)], "x string")
+    out = C.parse_dates(df, {"d": "x"})
+    assert [str(r.d) for r in out.collect()] == ["2024-03-14", "2024-03-14", "None", "2024-03-09", "None"]
+    assert [str(r[0]) for r in df.select(C.to_date("x")).collect()] == ["2024-03-14", "2024-03-14", "None", "2024-03-09", "None"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 0
