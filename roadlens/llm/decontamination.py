@@ -7,16 +7,15 @@ their length, on case-folded texts with single spaces.
   it writes the character under it, and random bits, drawn once per step and
   character, say whether it moves on.  Two windows at a small edit distance
   fall into step again after each edit, so their walks differ in few places.
-* Sampling.  A table's key is the characters at SAMPLED random steps of one
-  walk; windows that agree on a table's key are candidates.  The number of
-  tables follows from the target recall for windows whose walks agree at a
-  share AGREE of the steps.
-* Windows have half the size of the items, WINDOW characters at most.  They
-  start at grams of GRAM characters, whether words begin there or not: an item
-  gives the rarest one of each of STARTS parts, over all its length, and a text
-  is walked through wherever one of them occurs in it.  From a gram, windows go
-  on and, backwards, also to the text before it, as far as the item has room.
-  One start that survives the edits is enough.
+* Sampling.  A table's key is made of the characters at random steps of one
+  walk; windows that agree on a table's key are candidates.
+* Windows have a quarter to a half of the size of the items, 32 characters at
+  most.  Every place of every item and every place of every text starts one,
+  whatever stands there.  The walks from all places of a text are taken
+  together, from their last step to the first: a step's key is that of the step
+  behind it, here or one place on, so no walk is followed on its own.  An item
+  within the bound has many windows along its length, each with TABLES chances;
+  one that agrees is enough.
 * Verification.  Candidates whose walks differ nearly everywhere (a large
   Hamming distance) are dropped, and then those whose windows are more than
   MAX_WINDOW_EDITS apart.  The item of any other is aligned with the text
@@ -27,14 +26,13 @@ The items are the stated query set.  They go to the tasks in slices of bounded
 bytes, each against all documents, so neither side is ever sent out whole, and
 documents are searched where they are read: nothing is shuffled.
 
-Defined cases: an item shorter than a gram is only found as words of its own; a null or empty text has no match; a null or empty item matches
+Defined cases: an item shorter than the smallest window is only found as words of its own; a null or empty text has no match; a null or empty item matches
 nothing; items of equal text match each; repeated documents each get their
 rows; other columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -46,27 +44,30 @@ from pyspark.sql import functions as F
 from roadlens.llm.common import ship
 
 MAX_EDITS = 0.2
-WINDOW = 32
-#: Characters of a gram.
-GRAM = 8
+#: Sizes of windows; an item has the largest that fits into it twice, or the smallest.
+SIZES = (8, 16, 32)
 #: Steps of a walk per character of a window; a walk moves at every other step.
-STEPS = 1.5
-SAMPLED = 8
-AGREE = 0.7
-RECALL = 0.95
-WALKS = 3
-TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE ** SAMPLED))
-#: Parts of an item, each with a gram that starts windows: the one that the fewest places of the items have.
-STARTS = 16
+STEPS = 1.25
+#: Characters of a key, by the size of the windows.
+SAMPLED = {8: 6, 16: 9, 32: 12}
+#: Tables, by the size of the windows, and how many of them share a walk; smaller windows have shorter walks and are fewer.
+TABLES = {8: 12, 16: 6, 32: 3}
+SHARED = 3
 #: Share of the steps at which the walks of a candidate have to agree; unrelated ones agree at a tenth or so.
-LEAST_AGREE = 0.5
+LEAST_AGREE = 0.4
+#: Walks whose steps are compared.
+COMPARED = 1
 #: Share of a window's characters up to which it may be edited; an item with more edits there has fewer elsewhere.
 MAX_WINDOW_EDITS = 0.3
 #: Pairs of windows compared at once.
-PAIRS = 1 << 16
+PAIRS = 1 << 13
+#: Places of a text whose walks are taken together.
+BLOCK = 1 << 15
+#: First bits of a key, by which the keys that no item has are passed over.
+FILLED_BITS = 20
 SEED = 20
-#: Bytes of items in a slice.
-SLICE_BYTES = 16 << 20
+#: Bytes of items in a slice; its index has some 50 to 200 times that.
+SLICE_BYTES = 2 << 20
 #: Characters of texts walked through together.
 TOGETHER = 4 << 20
 
@@ -82,57 +83,64 @@ def _symbols(text: str) -> np.ndarray:
     return (codes ^ codes >> np.uint32(8)).astype(np.uint8)
 
 
-def _codes(symbols: np.ndarray) -> np.ndarray:
-    """The gram that starts at each symbol, as a number."""
-    codes = np.zeros(max(len(symbols) - GRAM + 1, 0), np.uint64)
-    for k in range(GRAM):
-        codes <<= np.uint64(8)
-        codes |= symbols[k:k + len(codes)]
-    return codes
-
-
 def window_size(length: int) -> int:
-    """The size of the windows of an item: half of it, in steps of four, so that items share few sizes."""
-    return length if length < GRAM else min(WINDOW, max(GRAM, length // 8 * 4))
+    """The size of the windows of an item."""
+    return max((size for size in SIZES if 2 * size <= length), default=min(length, SIZES[0]))
 
 
 class Walks:
     """The random walks and tables for one size of window."""
 
     def __init__(self, size: int):
-        self.size, self.steps = size, max(SAMPLED, int(STEPS * size))
+        self.size, self.steps, self.tables = size, int(STEPS * size), TABLES[size]
         rng = np.random.default_rng([SEED, size])
-        self.moves = rng.integers(0, 2, (WALKS, self.steps, 256), dtype=np.uint8)
-        # Per walk and step, the tables that read it.
-        self.samples: list[list[list[int]]] = [[[] for _ in range(self.steps)] for _ in range(WALKS)]
-        for table in range(TABLES):
-            for step in rng.choice(self.steps, SAMPLED, replace=False):
-                self.samples[table % WALKS][step].append(table)
+        self.moves = rng.integers(0, 2, (self.tables // SHARED, self.steps, 256), dtype=np.uint8)
+        #: The moves of a walk by symbol, 32 steps to a number.
+        self.bits = np.zeros((self.tables // SHARED, -(-self.steps // 32), 256), np.int32)
+        for step in range(self.steps):
+            self.bits[:, step // 32] |= (self.moves[:, step].astype(np.uint32) << np.uint32(step % 32)).view(np.int32)
+        #: By walk, table of the walk and step: whether the table reads the step.
+        self.reads = np.zeros((self.tables // SHARED, SHARED, self.steps), bool)
+        for table in self.reads.reshape(self.tables, self.steps):
+            table[rng.choice(self.steps, SAMPLED[size], replace=False)] = True
 
     def embed(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """What every walk writes, step by step, for every window."""
+        """What the compared walks write, step by step, for every window."""
         symbols = np.r_[symbols, np.zeros(self.steps + 1, np.uint8)]
-        out = np.empty((len(starts), WALKS, self.steps), np.uint8)
-        for walk in range(WALKS):
+        out = np.empty((len(starts), COMPARED, self.steps), np.uint8)
+        for walk in range(COMPARED):
             at = starts.astype(np.int64)
             for step in range(self.steps):
                 out[:, walk, step] = symbols[at]
                 at += self.moves[walk, step][out[:, walk, step]]
         return out
 
-    def keys(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Every table's key (row) for every window (column)."""
-        symbols = np.r_[symbols, np.zeros(self.steps + 1, np.uint8)]
-        out = np.zeros((TABLES, len(starts)), np.uint64)
-        for walk in range(WALKS):
-            at = starts.astype(np.int64)
-            for step in range(self.steps):
-                here = symbols[at]
-                wide = here.astype(np.uint64)
-                for table in self.samples[walk][step]:
-                    out[table] <<= np.uint64(8)
-                    out[table] |= wide
-                at += self.moves[walk, step][here]
+    def keys(self, symbols: np.ndarray) -> np.ndarray:
+        """Every table's key (row) for the window at every place (column) but the last ``steps``."""
+        out = np.empty((self.tables, max(len(symbols) - self.steps, 0)), np.uint32)
+        wide = symbols.astype(np.uint32) + np.uint32(1)
+        moved = np.empty(len(symbols), np.int32)
+        keys, other, mixed = (np.empty((SHARED, len(symbols)), np.uint32) for _ in range(3))
+        for walk, reads in enumerate(self.reads):
+            keys[:] = 0
+            n = len(symbols)
+            for step in range(self.steps - 1, -1, -1):
+                if step % 32 == 31 or step == self.steps - 1:
+                    bits = self.bits[walk, step // 32][symbols]
+                n -= 1
+                # All ones where the walk goes on: the key is that of the next place, else of this one, a step on.
+                np.left_shift(bits[:n], 31 - step % 32, out=moved[:n])
+                np.right_shift(moved[:n], 31, out=moved[:n])
+                np.bitwise_xor(keys[:, 1:n + 1], keys[:, :n], out=other[:, :n])
+                np.bitwise_and(other[:, :n], moved[:n].view(np.uint32), out=other[:, :n])
+                np.bitwise_xor(keys[:, :n], other[:, :n], out=keys[:, :n])
+                for table in np.flatnonzero(reads[:, step]).tolist():
+                    key, mix = keys[table, :n], mixed[table, :n]
+                    np.multiply(key, np.uint32(0x9E3779B1), out=key)
+                    np.right_shift(key, 15, out=mix)
+                    np.bitwise_xor(key, mix, out=key)
+                    np.add(key, wide[:n], out=key)
+            out[walk * SHARED:(walk + 1) * SHARED] = keys[:, :n]
         return out
 
 
@@ -143,108 +151,84 @@ class Items:
         self.ids = [i for i, t in items if normal(t)]
         self.texts = [normal(t) for _, t in items if normal(t)]
         self.limits = [int(MAX_EDITS * len(t)) for t in self.texts]
-        symbols = _symbols("\n".join(self.texts))
-        bases = np.cumsum([0, *(len(t) + 1 for t in self.texts)])
-        codes = _codes(symbols)
-        _, which, times = np.unique(codes, return_inverse=True, return_counts=True)
-        rank = times[which]
-        windows: dict[tuple[int, bool], list[tuple[int, int]]] = {}   # by size and whether they go backwards
-        self.words: dict[str, set[int]] = {}                          # sizes of the items shorter than a gram, by their first word
+        self.symbols = _symbols("\n".join(self.texts))
+        self.bases = np.cumsum([0, *(len(t) + 1 for t in self.texts)])
+        starts: dict[int, list[np.ndarray]] = {}                      # by size, where windows start
+        self.words: dict[str, list[int]] = {}                         # items shorter than a window, by their first word
         for n, text in enumerate(self.texts):
-            size, base, places = window_size(len(text)), int(bases[n]), len(text) - GRAM + 1
-            if places < 1:
-                windows.setdefault((size, False), []).append((n, 0))
-                self.words.setdefault(text.split(" ")[0], set()).add(size)
-                continue
-            cuts = np.linspace(0, places, min(STARTS, places) + 1).astype(int).tolist()
-            for low, high in zip(cuts, cuts[1:], strict=False):
-                at = low + int(rank[base + low:base + high].argmin())
-                if at + size <= len(text):
-                    windows.setdefault((size, False), []).append((n, at))
-                if at + GRAM >= size:
-                    windows.setdefault((size, True), []).append((n, at))
+            size = window_size(len(text))
+            if size < SIZES[0]:
+                self.words.setdefault(text.split(" ")[0], []).append(n)
+            else:
+                starts.setdefault(size, []).append(self.bases[n] + np.arange(len(text) - size + 1))
         self.tables = {}
-        grams = {}
-        for (size, back), places in windows.items():
-            walks = Walks(size)
-            at = np.array([bases[n] + at for n, at in places])
-            if size >= GRAM:
-                grams[size, back] = codes[at]
-            line, at = self._line(symbols, at, back)
-            keys, embedded = walks.keys(line, at), walks.embed(line, at)
-            patterns = line[at[:, None] + np.arange(size)]
-            filled = np.zeros((TABLES, 1 << 16), bool)
-            found: list[tuple[np.ndarray, np.ndarray]] = []               # the keys of a table, sorted, and their windows
-            for table in range(TABLES):
-                filled[table, self._slot(keys[table])] = True
+        for size, places in starts.items():
+            walks, at = Walks(size), np.concatenate(places)
+            keys = walks.keys(np.r_[self.symbols, np.zeros(walks.steps, np.uint8)])[:, at]
+            filled = np.zeros((walks.tables, 1 << FILLED_BITS), bool)
+            found: list[tuple[np.ndarray, np.ndarray]] = []           # the keys of a table, sorted, and where their windows start
+            for table in range(walks.tables):
+                filled[table, keys[table] >> np.uint32(32 - FILLED_BITS)] = True
                 order = np.argsort(keys[table], kind="stable")
-                found.append((keys[table][order], order))
-            self.tables[size, back] = walks, filled, found, places, embedded, patterns
-        self.grams = np.unique(np.concatenate([np.zeros(0, np.uint64), *grams.values()]))
-        self.has = {k: np.isin(self.grams, g) for k, g in grams.items()}
-        self.listed = np.zeros(1 << 20, bool)
-        self.listed[self._slot(self.grams, 20)] = True
-
-    @staticmethod
-    def _line(symbols: np.ndarray, grams: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols as they are walked through, and where the windows at some grams start there."""
-        return (symbols[::-1], len(symbols) - GRAM - grams) if back else (symbols, grams)
-
-    @staticmethod
-    def _slot(keys: np.ndarray, bits: int = 16) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
-
-    def _starts(self, texts: list[str], bases: np.ndarray, symbols: np.ndarray) -> dict[tuple[int, bool], np.ndarray]:
-        """Where windows start in the joined texts, by their size and direction."""
-        codes = _codes(symbols)
-        hits = np.flatnonzero(self.listed[self._slot(codes, 20)])
-        gram = np.searchsorted(self.grams, codes[hits])
-        same = gram < len(self.grams)
-        same[same] = self.grams[gram[same]] == codes[hits[same]]
-        hits, gram = hits[same], gram[same]
-        out = {k: hits[has[gram]] for k, has in self.has.items()}
-        if self.words:
-            words: dict[int, list[int]] = {}
-            for text, base in zip(texts, bases.tolist(), strict=False):
-                at = base
-                for word in text.split(" "):
-                    for size in self.words.get(word, ()):
-                        words.setdefault(size, []).append(at)
-                    at += len(word) + 1
-            out |= {(size, False): np.array(at) for size, at in words.items()}
-        return out
+                found.append((keys[table][order], at[order].astype(np.int32)))
+            self.tables[size] = walks, filled, found
+
+    def _pairs(self, size: int, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place in the texts, place in the items) of windows that share a key, for all places of the texts."""
+        walks, filled, found = self.tables[size]
+        symbols = np.r_[symbols, np.zeros(walks.steps, np.uint8)]
+        total = len(self.symbols)
+        pairs, n_pairs = [], 0
+        for base in range(0, len(symbols) - walks.steps, BLOCK):
+            keys = walks.keys(symbols[base:base + BLOCK + walks.steps])
+            for table, (known, places) in enumerate(found):
+                hits = np.flatnonzero(filled[table].take((keys[table] >> np.uint32(32 - FILLED_BITS)).astype(np.int64)))
+                some = keys[table].take(hits)
+                low = np.searchsorted(known, some)
+                equal = known.take(low, mode="clip") == some
+                hits, low = hits[equal], low[equal]
+                if not len(hits):
+                    continue
+                ends = np.cumsum(np.searchsorted(known, some[equal], "right") - low)
+                done = 0
+                while done < len(hits):                               # places with many equal windows are taken in parts
+                    before = int(ends[done - 1]) if done else 0
+                    upto = max(done + 1, int(np.searchsorted(ends, before + 64 * PAIRS, "right")))
+                    n = np.diff(ends[done:upto], prepend=before)
+                    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    pairs.append(np.repeat(hits[done:upto] + base, n) * total + places[np.repeat(low[done:upto], n) + nth])
+                    n_pairs += len(nth)
+                    done = upto
+                    if n_pairs >= PAIRS:
+                        yield from self._parts(pairs)
+                        pairs, n_pairs = [], 0
+        yield from self._parts(pairs)
+
+    def _parts(self, pairs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        both = np.unique(np.concatenate([np.zeros(0, np.int64), *pairs]))
+        for part in range(0, len(both), PAIRS):
+            yield np.divmod(both[part:part + PAIRS], len(self.symbols))
 
     def candidates(self, texts: list[str]) -> set[tuple[int, int, int]]:
-        """(text, item, where the item would start in the text) for all windows that share a key."""
+        """(text, item, where the item would start in the text) for all windows that share a key and are close."""
         out = set()
         bases = np.cumsum([0, *(len(t) + 1 for t in texts)])
         symbols = _symbols("\n".join(texts))
-        for (size, back), starts in self._starts(texts, bases, symbols).items():
-            if not len(starts):
-                continue
-            walks, filled, found, places, embedded, patterns = self.tables[size, back]
-            line, at = self._line(symbols, starts, back)
-            keys = walks.keys(line, at)
-            pairs, kept = [], []
-            for table in range(TABLES):
-                hits = np.flatnonzero(filled[table, self._slot(keys[table])])
-                known, order = found[table]
-                low, high = (np.searchsorted(known, keys[table, hits], side) for side in ("left", "right"))
-                n = high - low
-                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                pairs.append(np.repeat(hits, n) * len(places) + order[np.repeat(low, n) + nth])
-            hits, windows = np.divmod(np.unique(np.concatenate(pairs)), len(places))
-            for part in range(0, len(hits), PAIRS):
-                h, w = hits[part:part + PAIRS], windows[part:part + PAIRS]
-                different, which = np.unique(h, return_inverse=True)
-                close = (walks.embed(line, at[different])[which] == embedded[w]).mean(axis=2).max(axis=1) >= LEAST_AGREE
-                h, w = h[close], w[close]
-                close = _apart(patterns[w], line, at[h]) <= MAX_WINDOW_EDITS * size
-                kept += zip(h[close].tolist(), w[close].tolist(), strict=True)
-            for hit, window in kept:
-                item, offset = places[window]
-                text = int(np.searchsorted(bases, starts[hit], side="right")) - 1
-                out.add((text, item, int(starts[hit] - bases[text]) - offset))
+        for size, (walks, *_) in self.tables.items():
+            for at, of in self._pairs(size, symbols):
+                (texts_at, which), (items_at, what) = (np.unique(x, return_inverse=True) for x in (at, of))
+                close = (walks.embed(symbols, texts_at)[which] == walks.embed(self.symbols, items_at)[what]).mean(axis=2).max(axis=1) >= LEAST_AGREE
+                at, of, what = at[close], of[close], what[close]
+                close = _apart(self.symbols[items_at[:, None] + np.arange(size)], what, symbols, at) <= MAX_WINDOW_EDITS * size
+                at, of = at[close], of[close]
+                text, item = (np.searchsorted(b, x, side="right") - 1 for b, x in ((bases, at), (self.bases, of)))
+                out.update(zip(text.tolist(), item.tolist(), (at - bases[text] - of + self.bases[item]).tolist(), strict=True))
+        if self.words:
+            for n, text in enumerate(texts):
+                at = 0
+                for word in text.split(" "):
+                    out.update((n, item, at) for item in self.words.get(word, ()))
+                    at += len(word) + 1
         return out
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
@@ -266,25 +250,30 @@ class Items:
         return [(text, item, start, end, edits) for (text, item), (edits, start, end) in best.items()]
 
 
-def _apart(patterns: np.ndarray, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The least edit distance of each pattern (row, up to 63 symbols) to what starts at its place in the symbols:
-    Myers's bit vectors, all rows at once."""
-    one, size = np.uint64(1), patterns.shape[1]
+def _apart(patterns: np.ndarray, which: np.ndarray, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The least edit distance of a pattern (row of 8, 16 or 32 symbols), one for each place in the symbols, to what starts
+    there: Myers's bit vectors, all places at once."""
+    size = patterns.shape[1]
+    kind = np.dtype(f"<u{size // 8}")
+    has = np.zeros((len(patterns), 256), kind)                    # where a pattern has a symbol
+    for bit in range(size):
+        has[np.arange(len(patterns)), patterns[:, bit]] |= kind.type(1 << bit)
+    has, which = has.ravel(), which.astype(np.int64) << 8
+    one, top = kind.type(1), kind.type(size - 1)
     reach = size + int(MAX_WINDOW_EDITS * size)
     symbols = np.r_[symbols, np.zeros(reach + 1, np.uint8)]
-    bits = one << np.arange(size, dtype=np.uint64)
-    mask, top = np.uint64((1 << size) - 1), np.uint64(size - 1)
-    plus, minus = np.full(len(starts), mask), np.zeros(len(starts), np.uint64)
-    score = np.full(len(starts), size, np.int64)
+    plus, minus = np.full(len(starts), ~kind.type(0)), np.zeros(len(starts), kind)
+    score = np.full(len(starts), size, np.int8)
     least = score.copy()
     for step in range(reach):
-        eq = ((patterns == symbols[starts + step][:, None]) * bits).sum(axis=1, dtype=np.uint64)
+        eq = has[which | symbols[starts + step]]
         across = (((eq & plus) + plus) ^ plus) | eq | minus
-        up, down = (minus | ~(across | plus)) & mask, plus & across
-        score += (up >> top & one).astype(np.int64) - (down >> top & one).astype(np.int64)
-        up, down = (up << one | one) & mask, down << one & mask
+        up, down = minus | ~(across | plus), plus & across
+        score += (up >> top).astype(np.int8)
+        score -= (down >> top).astype(np.int8)
+        up, down = up << one | one, down << one
         vertical = eq | minus
-        plus, minus = (down | ~(vertical | up)) & mask, up & vertical
+        plus, minus = down | ~(vertical | up), up & vertical
         np.minimum(least, score, out=least)
     return least
 

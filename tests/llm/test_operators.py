@@ -363,6 +363,19 @@ def test_decontamination_all_over_an_item():
     assert {m[:2] for m in items.matches(["漢字" * 30 + han + "文字" * 30, line(80) + head + line(80), line(80) + tail + line(80)])} == {(0, 0), (1, 1), (2, 1)}
 
 
+def test_decontamination_without_a_whole_gram(spark):
+    """Every sixth or seventh character replaced, so that no gram of 8 is left whole; and spaces written otherwise."""
+    texts = [decontamination.normal(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    other = lambda t, k: "".join("#" if i % k == k - 1 else c for i, c in enumerate(t))       # noqa: E731
+    items = decontamination.Items(list(enumerate(texts)))
+    short = [t[:40] for t in texts]
+    for searched, cases in ((items, [[other(t, 6) for t in texts], [other(t, 7) for t in texts], [t.replace(" ", "_") for t in texts]]),
+                            (decontamination.Items(list(enumerate(short))), [[other(t, 7) for t in short]])):
+        for near in cases:
+            wanted = {(k, k) for k, t in enumerate(near) if min(_distances(searched.texts[k], t)) <= searched.limits[k]}
+            assert len(wanted & {m[:2] for m in searched.matches([f"{PROSE} {t} {PROSE}" for t in near])}) >= 0.9 * len(wanted) > 0
+
+
 def _distances(pattern, text):
     """Least edit distances of the pattern to parts of the text that end at each place, by the plain table."""
     row = [0] * (len(text) + 1)
