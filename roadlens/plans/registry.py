@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadlens.session import limit_methods
 from roadlens.sources import tables as T
 
 
@@ -25,7 +27,11 @@ REGISTRY: dict[str, Query] = {}
 
 def register(name: str, operators: tuple[str, ...] = (), oracle: str | None = None, note: str = ""):
     def deco(fn):
-        REGISTRY[name] = Query(name, fn, oracle, tuple(operators), note)
+        @wraps(fn)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            limit_methods(spark)
+            return fn(spark, sf_dir)
+        REGISTRY[name] = Query(name, build, oracle, tuple(operators), note)
         return fn
     return deco
 
