@@ -199,3 +199,15 @@ def test_state_stream_cases(spark):
     got = {(r.location, r.event_id, r.volume) for r in S.latest_in_windows(df).collect()}
     assert got == {("x", "b", 2.0), (None, None, 4.0)}
     assert S.latest_in_windows(df.limit(0)).count() == 0
+
+
+def test_a_message_is_parsed_once(spark):
+    """The filter on the parsed message repeats neither the parsing nor what the text is made of."""
+    made = spark.createDataFrame([("1",), (None,), ("x",)], "a string").select(
+        F.when(F.col("a") == "x", F.lit("no json")).otherwise(
+            F.to_json(F.struct(F.regexp_replace("a", "1", "one").alias("event_id")))).alias("value"))
+    parsed = S.parse_messages(made)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+    assert sorted(str(r.event_id) for r in parsed.collect()) == ["None", "one"]
+    assert [r.value for r in S.rejected_messages(made).collect()] == ["no json"]
