@@ -124,9 +124,9 @@ def best_matches(names: DataFrame, refs: DataFrame, name_col: str = "name", ref_
 def apply_matches(df: DataFrame, cols: list[str], refs: DataFrame, threshold: float = fv.FUZZY_THRESHOLD,
                   lower: bool = True) -> DataFrame:
     """Replace each listed column by its best reference (or keep it); '' stays ''."""
-    from functools import reduce
     from roadlens.session import checkpoint_dir
-    names = reduce(lambda a, b: a.unionByName(b), [df.select(F.col(c).alias("name")) for c in cols])
+    # The names of all columns in one pass: a union would run what is behind ``df`` once per column.
+    names = df.select(F.explode(F.array(*cols)).alias("name"))
     # The mapping (one row per distinct name) is joined once per column: write
     # it once; its exact size then lets the planner broadcast it when small.
     checkpoint_dir(df.sparkSession)

@@ -117,3 +117,21 @@ def test_few_rows_are_joined(spark):
     assert len(joined) <= 0.1 * len(n) * len(r)
     overlap = lambda a, b: sum((Counter(a) & Counter(b)).values())
     assert sorted(joined) == sorted((a, b) for a in n for b in r if 2 * overlap(a, b) >= 0.7 * (len(a) + len(b)) - 1e-9)
+
+
+def test_names_of_all_columns_in_one_pass(spark, monkeypatch):
+    """What is behind the rows is planned once for the names, however many columns are matched."""
+    seen = []
+    best = Z.best_matches
+
+    def spy(names, *args, **kw):
+        seen.append(names)
+        return best(names, *args, **kw)
+    monkeypatch.setattr(Z, "best_matches", spy)
+    rows = spark.range(4).selectExpr("id", "'main st' AS a", "CASE WHEN id = 1 THEN NULL ELSE 'oak st' END AS b", "'' AS c")
+    refs = spark.createDataFrame([("Main St", 0), ("Oak St", 1)], "ref_name string, ref_pos int")
+    out = Z.apply_matches(rows, ["a", "b", "c"], refs)
+    assert sorted((r.id, r.a, r.b, r.c) for r in out.collect()) == [
+        (0, "Main St", "Oak St", ""), (1, "Main St", None, ""), (2, "Main St", "Oak St", ""), (3, "Main St", "Oak St", "")]
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 4") == 1
