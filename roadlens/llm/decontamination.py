@@ -83,6 +83,13 @@ def _symbols(text: str) -> np.ndarray:
     return (codes ^ codes >> np.uint32(8)).astype(np.uint8)
 
 
+def _reaching(symbols: np.ndarray, starts: np.ndarray, ahead: int) -> np.ndarray:
+    """The symbols, with zeros behind them if what is read ahead of a start goes over their end; else no copy is made,
+    as the symbols of many texts are passed for a few thousand places at a time."""
+    over = int(starts.max(initial=0)) + ahead - len(symbols)
+    return np.r_[symbols, np.zeros(over, np.uint8)] if over > 0 else symbols
+
+
 def window_size(length: int) -> int:
     """The size of the windows of an item."""
     return max((size for size in SIZES if 2 * size <= length), default=min(length, SIZES[0]))
@@ -106,7 +113,7 @@ class Walks:
 
     def embed(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """What the compared walks write, step by step, for every window."""
-        symbols = np.r_[symbols, np.zeros(self.steps + 1, np.uint8)]
+        symbols = _reaching(symbols, starts, self.steps + 1)
         out = np.empty((len(starts), COMPARED, self.steps), np.uint8)
         for walk in range(COMPARED):
             at = starts.astype(np.int64)
@@ -261,7 +268,7 @@ def _apart(patterns: np.ndarray, which: np.ndarray, symbols: np.ndarray, starts:
     has, which = has.ravel(), which.astype(np.int64) << 8
     one, top = kind.type(1), kind.type(size - 1)
     reach = size + int(MAX_WINDOW_EDITS * size)
-    symbols = np.r_[symbols, np.zeros(reach + 1, np.uint8)]
+    symbols = _reaching(symbols, starts, reach + 1)
     plus, minus = np.full(len(starts), ~kind.type(0)), np.zeros(len(starts), kind)
     score = np.full(len(starts), size, np.int8)
     least = score.copy()
