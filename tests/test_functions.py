@@ -139,3 +139,21 @@ def test_a_date_is_read_by_few_matches(spark):
     assert [str(r.d) for r in out.collect()] == ["2024-03-14", "2024-03-14", "None", "2024-03-09", "None"]
     assert [str(r[0]) for r in df.select(C.to_date("x")).collect()] == ["2024-03-14", "2024-03-14", "None", "2024-03-09", "None"]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 0
+
+
+def test_trim_by_the_ends(spark):
+    """Visible ASCII at both ends leaves a text as it is; any other is trimmed of all that Python's strip removes."""
+    texts = ["", " ", "a", "a b", " a", "a ", "\x1fa\x1c", "　a\xa0", "　 a \xa0", "é", "aé", "éa", "a\x7f", "\x7fa", "\x00a", "​a", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    want = {i: (t or "").strip() for i, t in enumerate(texts)}
+    assert {r["i"]: r["v"] for r in df.select("i", C.to_str("t").alias("v")).collect()} == want
+    assert {r["i"]: r["v"] for r in C.trim_columns(df, {"v": "t"}).collect()} == want
+    assert "trim" not in str(C.to_str("t")).lower().split("else")[0]
+
+
+def test_iso_date_equals_the_formatter(spark):
+    """A date's text by a cast, for any year, as the formatter writes it; short texts are no dates."""
+    days = spark.sql("select date_add(date'0001-01-01', cast(n * 1000 - 2000000 as int)) as d from range(6000) t(n)")
+    assert days.filter(C.iso_date("d") != F.date_format("d", "yyyy-MM-dd")).count() == 0
+    got = spark.createDataFrame([("1/1/76",), ("1/1/7",), ("12",), ("19990101",), (None,)], "t string").select(C.to_date("t").cast("string"))
+    assert [r[0] for r in got.collect()] == ["1976-01-01", None, None, "1999-01-01", None]
