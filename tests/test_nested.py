@@ -1,8 +1,12 @@
 """The export's old columns, whatever their types and texts."""
 
+import json
+
 from pyspark.sql import functions as F
 
+from roadlens import fixed_values as fv
 from roadlens.operators import nested as N
+from tests.conftest import SF_SMALL
 
 
 def test_old_columns_as_texts(spark):
@@ -15,3 +19,20 @@ def test_old_columns_as_texts(spark):
     year0 = df.filter("k = 2").select(F.date_format("old_0", "yyyy-MM-dd")).first()[0]
     assert got == {1: ("2020-02-03", "45", "2020-02-03", "ab"), 2: (year0, "2020-02-03", "12", " 2020-02-03"),
                    3: ("-0005-06-01", "-7", "1976-01-01", "2020-02-03x"), 4: ("", "", "", "")}
+
+
+def test_export_is_stored_small(spark, tmp_dir):
+    """A session built elsewhere writes the export with the field names found again (they were most of its files)."""
+    from roadlens.plans import load_all
+    other = spark.newSession()
+    other.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    df = load_all()["nested_export"].build(other, SF_SMALL)
+    assert other.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+    df.limit(2000).write.parquet(f"{tmp_dir}/zstd")
+    df.limit(2000).write.option("compression", "snappy").parquet(f"{tmp_dir}/snappy")
+
+    def size(path):
+        import pathlib
+        return sum(p.stat().st_size for p in pathlib.Path(path).glob("*.parquet"))
+    assert size(f"{tmp_dir}/zstd") * 2 < size(f"{tmp_dir}/snappy")
+    assert len(json.loads(df.first()["json"])["legacy_data"]) == len(fv.LEGACY_DEVICE_FIELDS) + len(fv.LEGACY_OLD_FIELDS)
