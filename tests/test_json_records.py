@@ -117,3 +117,33 @@ def test_lines_are_judged_once(spark, tmp_dir, monkeypatch):
     spans = J.export_spans(spark, f"{tmp_dir}/judged.json")
     assert not any("judged.json" in f for f in spans.inputFiles())
     assert sorted((r.ok, r.text) for r in spans.collect()) == [(False, "tail"), (True, '{"a": 1}'), (True, '{"a": 2}'), (True, '{"a": 3}')]
+
+
+def test_round_trip_keeps_little_on_disk(spark, tmp_dir, monkeypatch):
+    """The export and its judged lines are stored small, and the joins behind the export leave no shuffle files."""
+    import pathlib
+    import time
+
+    from roadlens.plans import io_queries
+    from roadlens.sources import tables as T
+    from tests.conftest import SF_SMALL
+    monkeypatch.setattr(io_queries, "_run_dir", lambda spark, name: f"{tmp_dir}/{name}")
+    local = pathlib.Path(spark.conf.get("spark.local.dir"))
+
+    def shuffled():
+        return {p for p in local.rglob("shuffle_*.data")}
+
+    before = shuffled()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = io_queries.q_json_export_roundtrip(spark, SF_SMALL)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    stored = sum(p.stat().st_size for p in pathlib.Path(f"{tmp_dir}/json-export/export.json").glob("part-*"))
+    text = spark.read.text(f"{tmp_dir}/json-export/export.json").selectExpr("sum(octet_length(value) + 1) n").first()["n"]
+    assert stored * 5 < text
+    assert df.count() == T.devices(spark, SF_SMALL).count()
