@@ -36,3 +36,13 @@ def test_export_is_stored_small(spark, tmp_dir):
         return sum(p.stat().st_size for p in pathlib.Path(path).glob("*.parquet"))
     assert size(f"{tmp_dir}/zstd") * 2 < size(f"{tmp_dir}/snappy")
     assert len(json.loads(df.first()["json"])["legacy_data"]) == len(fv.LEGACY_DEVICE_FIELDS) + len(fv.LEGACY_OLD_FIELDS)
+
+
+def test_rows_without_a_text_to_read_are_not_read(spark):
+    """No text of such a row goes into an array; other rows are read as before."""
+    df = spark.sql("""select * from values (1, 'v1', 'a\tb'), (2, cast(null as string), '2020/2/3'), (3, '2020-02-03', 'v\r\n'),
+      (4, '', ' '), (5, 'x\ufffd', cast(null as string)) as t(k, old_0, old_1)""")
+    out = N._old_texts(df, ["old_0", "old_1"])
+    got = {r["k"]: (r["__old_dates"], r["__old_0"], r["__old_1"]) for r in out.collect()}
+    assert got == {1: (None, "v1", "ab"), 2: ([None, "2020-02-03"], "", "2020-02-03"), 3: (["2020-02-03", None], "2020-02-03", "v"),
+                   4: (None, "", " "), 5: (None, "x", "")}
