@@ -120,30 +120,44 @@ def test_lines_are_judged_once(spark, tmp_dir, monkeypatch):
 
 
 def test_round_trip_keeps_little_on_disk(spark, tmp_dir, monkeypatch):
-    """The export and its judged lines are stored small, and the joins behind the export leave no shuffle files."""
+    """The export is stored small, and its write frees the shuffle files of the joins behind it."""
     import pathlib
-    import time
 
     from roadlens.plans import io_queries
     from roadlens.sources import tables as T
     from tests.conftest import SF_SMALL
+    key, seen, write = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], io_queries.W.write_json_records
+
+    def see(*args, **more):
+        seen.append(spark.conf.get(key))
+        write(*args, **more)
+
     monkeypatch.setattr(io_queries, "_run_dir", lambda spark, name: f"{tmp_dir}/{name}")
+    monkeypatch.setattr(io_queries.W, "write_json_records", see)
+    before = spark.conf.get(key)
+    df = io_queries.q_json_export_roundtrip(spark, SF_SMALL)
+    assert seen == ["true"] and spark.conf.get(key) == before
+    stored = sum(p.stat().st_size for p in pathlib.Path(f"{tmp_dir}/json-export/export.json").glob("part-*"))
+    text = spark.read.text(f"{tmp_dir}/json-export/export.json").selectExpr("sum(octet_length(value) + 1) n").first()["n"]
+    assert stored * 5 < text
+    assert df.count() == T.devices(spark, SF_SMALL).count()
+
+
+def test_freed_shuffles_leave_no_files(spark, tmp_dir):
+    import pathlib
+    import time
+
+    from roadlens.session import shuffles_freed
     local = pathlib.Path(spark.conf.get("spark.local.dir"))
 
     def shuffled():
-        return {p for p in local.rglob("shuffle_*.data")}
+        return set(local.rglob("shuffle_*.data"))
 
     before = shuffled()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = io_queries.q_json_export_roundtrip(spark, SF_SMALL)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with shuffles_freed(spark):
+        spark.range(1000).repartition(5, "id").write.parquet(f"{tmp_dir}/x")
     until = time.time() + 20
     while shuffled() - before and time.time() < until:
         time.sleep(0.2)
     assert not shuffled() - before
-    stored = sum(p.stat().st_size for p in pathlib.Path(f"{tmp_dir}/json-export/export.json").glob("part-*"))
-    text = spark.read.text(f"{tmp_dir}/json-export/export.json").selectExpr("sum(octet_length(value) + 1) n").first()["n"]
-    assert stored * 5 < text
-    assert df.count() == T.devices(spark, SF_SMALL).count()
+    assert spark.read.parquet(f"{tmp_dir}/x").count() == 1000
